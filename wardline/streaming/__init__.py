@@ -1,0 +1,6 @@
+"""Use on streaming DataFrames.
+
+There is no streaming operator of its own. Row-local operators (``validate_rows``, the expressions in
+``functions``) and joins with stored tables (``crosstab_score``, ``map_lookup``) take a DataFrame from
+``spark.readStream`` as they take a batch one.
+"""
