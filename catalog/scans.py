@@ -7,6 +7,7 @@ from wardline.session import scratch_path
 from wardline.functions.useragent import user_agent_fields
 from wardline.sources.dimension import incremental_dimension
 from wardline.sources.tables import (
+    RAW_COLUMNS,
     checkpoint_table,
     read_parquet,
     read_processed_csv,
@@ -32,9 +33,6 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch_path(spark, "raw-csv")
     raw = raw_log(spark, sf, keep_id=False)
-    # File order of the raw layout.
-    from wardline.sources.tables import RAW_COLUMNS
-
     write_csv(raw.select(*[F.col(f"`{n}`") for n, _ in RAW_COLUMNS]), path)
     c = lambda n: F.col(f"`{n}`")
     return read_raw_csv(spark, path).select(

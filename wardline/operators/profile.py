@@ -37,7 +37,8 @@ def value_counts_null_sorted(df: DataFrame, col: str, target: str) -> DataFrame:
     """Counts with null kept, ordered by value: over all rows (``class`` null) and per class."""
     counted = (
         df.where(F.col(target).isNotNull())
-        .rollup(F.col(col).alias("value"), F.col(target).alias("class"))
+        .select(F.col(col).alias("value"), F.col(target).alias("class"))
+        .rollup("value", "class")
         .agg(F.count(F.lit(1)).alias("n"), F.grouping("value").alias("all_values"))
     )
     return counted.where("all_values = 0").drop("all_values").orderBy("value", "class")
