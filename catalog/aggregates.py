@@ -9,7 +9,7 @@ from .base import WITH_LOG, geo_ranges, ip_number_sql, netlog, query, rounded, t
 from .scalars import _BUCKET_SQL, _PRIVATE
 from wardline.functions.network import is_private_ip
 from wardline.functions.timeparts import hour_bucket
-from wardline.operators.lookup import ip_geolocate
+from wardline.operators.lookup import ip_geolocate_all
 from .base import GEO_SQL
 
 _CLASSES = ("DDoS", "Intrusion", "Malware")
@@ -341,8 +341,7 @@ _GEO_POINTS = """SELECT '{0}' AS side, attack_type AS class, latitude AS lat, lo
 )
 def _(spark, sf):
     log, ranges = netlog(spark, sf).select("attack_type", "anomaly", "src_ip", "dst_ip"), geo_ranges(spark, sf)
-    log = ip_geolocate(log, "src_ip", ranges, prefix="src_")
-    log = ip_geolocate(log, "dst_ip", ranges, prefix="dst_")
+    log = ip_geolocate_all(log, {"src_ip": "src_", "dst_ip": "dst_"}, ranges)
     sides = {"source": ("src_latitude", "src_longitude"), "destination": ("dst_latitude", "dst_longitude")}
     return P.geo_points(log, "attack_type", "anomaly", sides)
 

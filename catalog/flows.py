@@ -1,16 +1,18 @@
 """Flow links and category paths."""
 
+from pyspark.sql import functions as F
+
 from wardline.operators import flows as W
-from wardline.operators.lookup import ip_geolocate
+from wardline.operators.lookup import ip_geolocate_all
 
 from .base import GEO_SQL, WITH_LOG, geo_ranges, ip_number_sql, netlog, query, rounded, table
 
 
 def _countries(spark, sf):
     log, ranges = netlog(spark, sf).select("src_ip", "proxy", "dst_ip"), geo_ranges(spark, sf)
-    for ip, side in (("src_ip", "source"), ("proxy", "via"), ("dst_ip", "destination")):
-        log = ip_geolocate(log, ip, ranges, prefix=f"{side}_", fields=["country"]).withColumnRenamed(f"{side}_country", side)
-    return log.select("source", "via", "destination")
+    sides = {"src_ip": "source_", "proxy": "via_", "dst_ip": "destination_"}
+    log = ip_geolocate_all(log, sides, ranges, fields=["country"])
+    return log.select(*[F.col(f"{p}country").alias(p[:-1]) for p in sides.values()])
 
 
 _GEO_JOIN = " ".join(

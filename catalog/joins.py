@@ -7,6 +7,7 @@ from wardline.operators import lookup as L
 from wardline.operators.bias import crosstab_score
 from wardline.operators.binning import range_lookup
 from wardline.operators.crosstab import crosstab_bias
+from wardline.session import store
 from wardline.operators.profile import fan_out, suspicious_ips
 
 from .base import GEO_SQL, WITH_LOG, geo_ranges, ip_number_sql, netlog, query, rounded, table
@@ -135,6 +136,6 @@ def tier_sql(pct: str, n: str) -> str:
 )
 def _(spark, sf):
     log = netlog(spark, sf).select("event_id", "dst_port", "severity", "attack_type", "packet_type")
-    stored = crosstab_bias(log.where("packet_type = 'Data'"), ["dst_port", "severity"], "attack_type")
+    stored = store(crosstab_bias(log.where("packet_type = 'Data'"), ["dst_port", "severity"], "attack_type"))
     stored = stored.withColumn("dst_port", F.col("dst_port").cast("string"))  # stored keys are text
     return crosstab_score(log, ["dst_port", "severity"], stored, "Malware", output="level").select("event_id", "level")

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from wardline.operators.columns import preview
 from wardline.session import scratch_path
-from wardline.functions.useragent import user_agent_fields
+from wardline.functions.useragent import with_user_agent_fields
 from wardline.sources.dimension import incremental_dimension
 from wardline.sources.tables import (
     RAW_COLUMNS,
@@ -101,7 +101,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path = scratch_path(spark, "devices")
-    resolve = lambda keys: keys.withColumn("family", user_agent_fields("device")["Device family"])
+    resolve = lambda keys: with_user_agent_fields(keys, "device").select("device", F.col("`Device family`").alias("family"))
     log = netlog(spark, sf).select("event_id", "device")
     # The lookup starts with the texts of one browser; the second run resolves the others.
     incremental_dimension(log.where(F.col("device").contains("Firefox")), path, "device", resolve).count()

@@ -6,7 +6,7 @@ database. The first rule that matches wins, as an ordered ``when`` chain on the
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # (family, pattern); groups 1 and 2 are major and minor version where the family has them.
@@ -60,13 +60,22 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _first_match(ua: Column, rules, value) -> Column:
-    return F.coalesce(*[F.when(ua.rlike(rule[-1]), value(rule)) for rule in rules])
+def _first_match(ua: Column, rules, parts) -> Column:
+    """Struct of the first rule that matches; ``parts`` gives its fields from a rule."""
+    return F.coalesce(*[F.when(ua.rlike(rule[-1]), F.struct(*parts(rule))) for rule in rules])
 
 
-def _version(ua: Column, rules, group: int) -> Column:
-    text = _first_match(ua, rules, lambda r: F.regexp_extract(ua, r[-1], group))
-    return F.nullif(text, F.lit(""))
+def _versions(ua: Column, names):
+    """Family and the numbered groups of a rule, an empty group as null."""
+
+    def parts(rule):
+        groups = [
+            F.nullif(F.regexp_extract(ua, rule[-1], i), F.lit("")).alias(n)
+            for i, n in enumerate(names, 1)
+        ]
+        return [F.lit(rule[0]).alias("family"), *groups]
+
+    return parts
 
 
 def device_type(ua: Column | str, default: str | None = None) -> Column:
@@ -80,25 +89,37 @@ def device_type(ua: Column | str, default: str | None = None) -> Column:
     )
 
 
-def user_agent_fields(ua: Column | str) -> dict[str, Column]:
-    """The eleven fields by name. An empty or null text gives null in every field."""
-    c = F.nullif(F.trim(_col(ua)), F.lit(""))
-    known = c.isNotNull()
-
-    def family(rules) -> Column:
-        match = _first_match(c, rules, lambda r: F.lit(r[0]))
-        return F.when(known, F.coalesce(match, F.lit("Other")))
-
-    return {
-        "Browser family": family(BROWSER_RULES),
-        "Browser major": _version(c, BROWSER_RULES, 1),
-        "Browser minor": _version(c, BROWSER_RULES, 2),
-        "OS family": family(OS_RULES),
-        "OS major": _version(c, OS_RULES, 1),
-        "OS minor": _version(c, OS_RULES, 2),
-        "OS patch": _version(c, OS_RULES, 3),
-        "Device family": family(DEVICE_RULES),
-        "Device brand": _first_match(c, DEVICE_RULES, lambda r: F.lit(r[1])),
-        "Device type": F.when(known, device_type(c)),
-        "Device bot": F.when(known, c.rlike(BOT_PATTERN)),
-    }
+def with_user_agent_fields(df: DataFrame, ua_col: str) -> DataFrame:
+    """Add the eleven fields. An empty or null text gives null in every field.
+
+    The matched rules are columns of their own first, so that each rule chain runs once per row.
+    """
+    c = F.nullif(F.trim(_col(f"`{ua_col}`")), F.lit(""))
+    matched = df.withColumns(
+        {
+            "__browser": _first_match(c, BROWSER_RULES, _versions(c, ("major", "minor"))),
+            "__os": _first_match(c, OS_RULES, _versions(c, ("major", "minor", "patch"))),
+            "__device": _first_match(
+                c, DEVICE_RULES, lambda r: [F.lit(r[0]).alias("family"), F.lit(r[1]).alias("brand")]
+            ),
+        }
+    )
+
+    def family(match: str) -> Column:
+        return F.when(c.isNotNull(), F.coalesce(F.col(f"{match}.family"), F.lit("Other")))
+
+    return matched.withColumns(
+        {
+            "Browser family": family("__browser"),
+            "Browser major": F.col("__browser.major"),
+            "Browser minor": F.col("__browser.minor"),
+            "OS family": family("__os"),
+            "OS major": F.col("__os.major"),
+            "OS minor": F.col("__os.minor"),
+            "OS patch": F.col("__os.patch"),
+            "Device family": family("__device"),
+            "Device brand": F.col("__device.brand"),
+            "Device type": F.when(c.isNotNull(), device_type(c)),
+            "Device bot": F.when(c.isNotNull(), c.rlike(BOT_PATTERN)),
+        }
+    ).drop("__browser", "__os", "__device")

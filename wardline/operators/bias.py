@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.encoding import dynamic_threshold
-from ..session import materialize
-from .binning import assign_trained_bins, attach_bins, bin_label, min_count_bins
+from ..session import store
+from .binning import assign_trained_bins, attach_bins, min_count_bins
 from .columns import class_labels
 from .crosstab import N_OBS, crosstab_bias, crosstab_name
 from .joins import attach
@@ -66,7 +66,7 @@ def bias_levels(
 ) -> DataFrame:
     """Add ``"{name} , bias {class}"`` per class: the level of the row's key combination, else 0."""
     name = name or crosstab_name(keys)
-    levels = level_table(crosstab, keys, classes, tiers=tiers, pars=pars, floor=floor, name=name)
+    levels = store(level_table(crosstab, keys, classes, tiers=tiers, pars=pars, floor=floor, name=name))
     out = attach(df, levels, keys, spread_by=spread_by)
     return out.withColumns(
         {
@@ -76,35 +76,45 @@ def bias_levels(
     )
 
 
-def crosstab_score(
+def crosstab_scores(
     df: DataFrame,
     keys: Sequence[str],
     crosstab: DataFrame,
-    target_class: object,
+    classes: Sequence[object],
     *,
     tiers: Sequence[float] = TIERS,
     pars: Sequence[float] = THRESHOLD_PARS,
     floor: float | None = None,
-    output: str | None = None,
+    outputs: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Level of one class for new rows from a stored crosstab; unknown keys score 0.
+    """Level of each class for new rows from a stored crosstab; unknown keys score 0.
 
     Keys are compared as text on both sides, so a stored text key meets a numeric column.
     """
-    output = output or bias_column(crosstab_name(keys), target_class)
+    outputs = list(outputs or [bias_column(crosstab_name(keys), c) for c in classes])
     named = [f"__k{i}" for i in range(len(keys))]
-    level = tier_level(F.col(f"`{target_class}`"), F.col(f"`{N_OBS}`"), tiers, pars, floor)
+    n = F.col(f"`{N_OBS}`")
     dim = crosstab.select(
-        *[F.col(f"`{k}`").cast("string").alias(a) for k, a in zip(keys, named)], level.alias("__level")
+        *[F.col(f"`{k}`").cast("string").alias(a) for k, a in zip(keys, named)],
+        *[tier_level(F.col(f"`{c}`"), n, tiers, pars, floor).alias(o) for c, o in zip(classes, outputs)],
     )
     keyed = df.withColumns({a: F.col(f"`{k}`").cast("string") for k, a in zip(keys, named)})
     return (
         attach(keyed, dim, named)
-        .withColumn(output, F.coalesce("__level", F.lit(0).cast("byte")))
-        .drop("__level", *named)
+        .withColumns({o: F.coalesce(F.col(f"`{o}`"), F.lit(0).cast("byte")) for o in outputs})
+        .drop(*named)
     )
 
 
+def crosstab_score(
+    df: DataFrame, keys: Sequence[str], crosstab: DataFrame, target_class: object, *,
+    output: str | None = None, **settings,
+) -> DataFrame:
+    """Level of one class."""
+    outputs = [output] if output else None
+    return crosstab_scores(df, keys, crosstab, [target_class], outputs=outputs, **settings)
+
+
 @dataclass(frozen=True)
 class BiasGroup:
     """One crosstab: the columns to bin first and the key columns as they are."""
@@ -183,20 +193,30 @@ def fit_bias_features(
     """
     chosen = [g for g in groups if only is None or g.name in only]
     model = BiasModel(class_labels(df, target), chosen, tiers=tiers, pars=pars, floor=floor)
-    out = df
+    settings = {"tiers": tiers, "pars": pars, "floor": floor}
+    by_value: dict[str, DataFrame] = {}
     for c in dict.fromkeys(c for g in chosen for c in g.binned):
-        by_value, bins = min_count_bins(df, c, n_obs)
-        model.bins[c] = bins
-        out = attach_bins(out, by_value, c)
+        by_value[c], bins = min_count_bins(df, c, n_obs)
+        model.bins[c] = store(bins)
+    out = df
     for g in chosen:
         keys, name = g.key_columns, crosstab_name(g.key_columns)
-        # Written once: the crosstab is read for the levels and again when scoring.
-        model.crosstabs[name] = materialize(
-            crosstab_bias(out, keys, target, classes=model.classes, null_key=null_key)
-        )
-        out = bias_levels(
-            out, keys, model.crosstabs[name], model.classes, tiers=tiers, pars=pars, floor=floor, name=name
-        )
+        # Only the columns of this group, so a crosstab does not repeat the joins of the others.
+        rows = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*g.binned, *g.keys, target])])
+        for c in g.binned:
+            rows = attach_bins(rows, by_value[c], c)
+        crosstab = crosstab_bias(rows, keys, target, classes=model.classes, null_key=null_key)
+        model.crosstabs[name] = store(crosstab)
+        for c in g.binned:
+            if f"{c} classes" not in out.columns:
+                out = attach_bins(out, by_value[c], c)
+        if null_key is not None:
+            # The crosstab counts nulls under this name, so the rows must look it up under it.
+            named = {f"__key {k}": F.coalesce(F.col(f"`{k}`").cast("string"), F.lit(null_key)) for k in keys}
+            lookup = model.crosstabs[name].withColumnsRenamed(dict(zip(keys, named)))
+            out = bias_levels(out.withColumns(named), list(named), lookup, model.classes, name=name, **settings).drop(*named)
+        else:
+            out = bias_levels(out, keys, model.crosstabs[name], model.classes, name=name, **settings)
     return out, model
 
 
@@ -219,9 +239,7 @@ def apply_bias_features(df: DataFrame, model: BiasModel) -> DataFrame:
         if not set(keys) <= set(out.columns):
             out = out.withColumns({bias_column(name, c): F.lit(0).cast("byte") for c in model.classes})
             continue
-        for c in model.classes:
-            out = crosstab_score(
-                out, keys, model.crosstabs[name], c,
-                tiers=model.tiers, pars=model.pars, floor=model.floor, output=bias_column(name, c),
-            )
+        out = crosstab_scores(
+            out, keys, model.crosstabs[name], model.classes, tiers=model.tiers, pars=model.pars, floor=model.floor
+        )
     return out

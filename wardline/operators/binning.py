@@ -10,7 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, store
+from .joins import attach
 from .ordered import exact_quantiles, floor_lookup, ordered_counts, running
 
 # Packet length edges and labels, score quartile labels.
@@ -112,19 +113,20 @@ def min_count_bins(
     first value by pointer doubling over this small table (log2 of the number of chunks rounds).
     """
     chunk_rows = max(chunk_rows, n_obs)
-    # _before of a value is the row number at which the value starts.
+    # n_before of a value is the row number at which the value starts.
     counts = ordered_counts(df.select(_col(col).alias("value")), "value").select(
-        "value", "n", F.col("n_before").alias("start"), "n_total"
-    ).withColumn("chunk", F.floor(F.col("start") / F.lit(chunk_rows)).cast("long"))
-    counts = materialize(counts)
-    total = counts.select(F.max("n_total")).first()[0] or 0
-    chunks = max(1, math.ceil(total / chunk_rows))
-    entries = (
-        counts.where("start = 0").select("chunk", F.col("start").alias("entry"))
-        if chunks == 1
-        else _chunk_entries(counts, n_obs, math.ceil(math.log2(chunks)) + 1)
+        "value", "n", F.col("n_before").alias("start"),
+        F.floor(F.col("n_before") / F.lit(chunk_rows)).cast("long").alias("chunk"),
     )
-    walked = _walk_chunks(counts.join(entries, "chunk", "left"), n_obs)
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    chunks = max(1, math.ceil(total / chunk_rows))
+    if chunks == 1:
+        entered = counts.withColumn("entry", F.lit(0).cast("long"))
+    else:
+        counts = materialize(counts)
+        entries = _chunk_entries(counts, n_obs, math.ceil(math.log2(chunks)) + 1)
+        entered = counts.join(entries, "chunk", "left")
+    walked = materialize(_walk_chunks(entered, n_obs))
     # Values before a chunk's first bin start belong to the last bin of an earlier chunk; one row
     # per chunk, so the window is small.
     last = walked.groupBy("chunk").agg(F.max("bin_start").alias("__last"))
@@ -136,9 +138,8 @@ def min_count_bins(
     bins = placed.groupBy("bin_start").agg(
         F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("n").alias("n")
     )
-    bins = materialize(bins)
     by_value = placed.join(bins.drop("n"), "bin_start").select(F.col("value").alias(col), "lo", "hi")
-    return by_value, bins.select("lo", "hi", "n")
+    return store(by_value), bins.select("lo", "hi", "n")
 
 
 def _walk_chunks(chunked: DataFrame, n_obs: int) -> DataFrame:
@@ -223,6 +224,7 @@ def bin_min_count(
 
 
 def attach_bins(df: DataFrame, by_value: DataFrame, col: str, prefix: str | None = None) -> DataFrame:
+    """Bring stored ``(col, lo, hi)`` rows to every row with that value."""
     prefix = prefix or col
     label = bin_label(F.col("lo"), F.col("hi"))
     named = by_value.select(
@@ -231,7 +233,7 @@ def attach_bins(df: DataFrame, by_value: DataFrame, col: str, prefix: str | None
         F.col("hi").alias(f"{prefix}_hi"),
         label.alias(f"{col} classes"),
     )
-    return df.join(named, col, "left")
+    return attach(df, named, [col])
 
 
 def bin_label(lo: Column, hi: Column) -> Column:
@@ -249,7 +251,7 @@ def bin_equal_count(df: DataFrame, col: str, n_classes: int, prefix: str | None
     number = F.floor(F.col("n_before") * F.lit(n_classes) / F.col("n_total")).cast("long")
     placed = ranked.select(col, number.alias("__bin"))
     bounds = placed.groupBy("__bin").agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
-    by_value = placed.join(bounds, "__bin").select(col, "lo", "hi")
+    by_value = store(placed.join(bounds, "__bin").select(col, "lo", "hi"))
     return attach_bins(df, by_value, col, prefix)
 
 
@@ -259,22 +261,18 @@ def assign_trained_bins(df: DataFrame, col: str, bins: DataFrame, output: str |
     Inside a bin: that bin. Below all bins: the first. In a gap or above: the last. Null: none.
     Bins must not overlap. Distinct values are looked up once, then joined back.
     """
-    output = output or col
+    output, bins = output or col, store(bins.select("lo", "hi"))
     last_lo = bins.agg(F.max("lo")).scalar()
     first_lo = bins.agg(F.min("lo")).scalar()
-    found = range_lookup(df, col, bins.select("lo", "hi"), "lo", "hi", [])
+    found = range_lookup(df, col, bins, "lo", "hi", [])
     resolved = found.select(
         col,
         F.when(F.col("lo").isNotNull(), F.col("lo"))
         .when(F.col(col) < first_lo, first_lo)
         .otherwise(last_lo)
         .alias("lo"),
-    ).join(bins.select("lo", "hi"), "lo", "left")
-    named = resolved.select(
-        col, F.col("lo").alias(f"{output}_lo"), F.col("hi").alias(f"{output}_hi"),
-        bin_label(F.col("lo"), F.col("hi")).alias(f"{output} classes"),
-    )
-    return df.join(named, col, "left")
+    ).join(bins, "lo", "left")
+    return attach_bins(df, store(resolved.select(col, "lo", "hi")), col, output)
 
 
 def range_lookup(

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.encoding import equals_flag
+from ..session import store
+from .joins import attach
 from .ordered import dense_codes
 
 MAX_CLASSES = 1000
@@ -92,15 +94,17 @@ def class_labels(df: DataFrame, target: str) -> list:
 
 def label_encode(df: DataFrame, target: str, output: str = "label") -> tuple[DataFrame, DataFrame]:
     """Class to 0..k-1 in sorted order: the encoded rows and the ``(class, code)`` map."""
-    codes = dense_codes(df, [target]).select(
-        F.col("value").alias(target), F.col("code").cast("int").alias(output)
+    codes = store(
+        dense_codes(df, [target]).select(
+            F.col("value").alias(target), F.col("code").cast("int").alias(output)
+        )
     )
-    return df.join(codes, target, "left"), codes
+    return attach(df, codes, [target]), codes
 
 
 def label_decode(df: DataFrame, codes: DataFrame, target: str, code: str = "label") -> DataFrame:
     """Codes back to class names."""
-    return df.join(codes.select(F.col("label").alias(code), F.col(target)), code, "left")
+    return attach(df, codes.select(F.col("label").alias(code), F.col(target)), [code])
 
 
 def one_hot_labels(df: DataFrame, label: str, classes: Sequence[object]) -> DataFrame:
@@ -112,13 +116,13 @@ def one_hot_labels(df: DataFrame, label: str, classes: Sequence[object]) -> Data
 
 def category_codes(df: DataFrame, cols: Sequence[str], suffix: str = "_code") -> DataFrame:
     """Sorted category code per column, -1 for null. Values are compared as text."""
-    codes = dense_codes(df, cols)
+    codes = store(dense_codes(df, cols))
     out = df
     for c in cols:
         one = codes.where(F.col("feature") == c).select(
             F.col("value").alias("__v"), F.col("code").alias(f"{c}{suffix}")
         )
-        out = out.join(one, F.col(f"`{c}`").cast("string") == F.col("__v"), "left").drop("__v")
+        out = attach(out.withColumn("__v", F.col(f"`{c}`").cast("string")), one, ["__v"]).drop("__v")
         out = out.withColumn(f"{c}{suffix}", F.coalesce(f"`{c}{suffix}`", F.lit(-1)).cast("long"))
     return out
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, store
 from .joins import attach
 from .ordered import long_form
 from .split import stratified_kfold
@@ -57,7 +57,7 @@ def target_encode_cv(
         "__fold",
         ((F.col("ws") - F.col("s")) / F.nullif(F.col("wn") - F.col("n"), F.lit(0))).alias("te"),
     )
-    out = _join_codes(folded, materialize(codes), cols, ["__fold"], suffix).drop("__fold")
+    out = _join_codes(folded, store(codes), cols, ["__fold"], suffix).drop("__fold")
     overall = _mean(df, target)
     return out.withColumns({f"{c}{suffix}": F.coalesce(f"`{c}{suffix}`", overall) for c in cols})
 
@@ -74,13 +74,13 @@ def target_means(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
 
 def target_encode_full(df: DataFrame, cols: Sequence[str], target: str, suffix: str = "_te") -> DataFrame:
     """Mean target per value over all rows. Leaks the target into training; null stays null."""
-    return _join_codes(df, materialize(target_means(df, cols, target)), cols, [], suffix)
+    return _join_codes(df, store(target_means(df, cols, target)), cols, [], suffix)
 
 
 def target_encode_fit(train: DataFrame, cols: Sequence[str], target: str) -> tuple[DataFrame, float]:
     """Means per value from training rows, and the overall mean."""
     overall = train.agg(F.avg(target)).first()[0]
-    return materialize(target_means(train, cols, target)), overall
+    return store(target_means(train, cols, target)), overall
 
 
 def target_encode_apply(

@@ -7,9 +7,33 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .crosstab import crosstab_grand_pct
+from ..session import materialize
+from .columns import class_labels
 from .ordered import dense_codes
-from .profile import row_total, top_k_other
+
+OTHER = "other"
+
+
+def _paths(df: DataFrame, cols: Sequence[str], n: int, top_cols: Sequence[str]) -> DataFrame:
+    """``(cols..., n)``: rows per combination without nulls, ``top_cols`` cut to their n top values.
+
+    The rows are read once; the top values are then found from the combinations. A value's rank
+    counts all its rows, also those whose other columns are null.
+    """
+    paths = materialize(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")))
+    out = paths
+    for c in top_cols:
+        top = (
+            paths.where(F.col(c).isNotNull()).groupBy(F.col(c).alias("__top")).agg(F.sum("n").alias("__n"))
+            .orderBy(F.desc("__n"), "__top").limit(n).select("__top")
+        )
+        kept = F.when(F.col(c).isNull() | F.col("__top").isNotNull(), F.col(c).cast("string"))
+        out = (
+            out.join(F.broadcast(top), F.col(c) == F.col("__top"), "left")  # n rows
+            .withColumn(c, kept.otherwise(F.lit(OTHER)))
+            .drop("__top")
+        )
+    return out.dropna(subset=list(cols)).groupBy(*cols).agg(F.sum("n").alias("n"))
 
 
 def flow_counts(df: DataFrame, levels: Sequence[str], n: int = 10) -> DataFrame:
@@ -17,10 +41,7 @@ def flow_counts(df: DataFrame, levels: Sequence[str], n: int = 10) -> DataFrame:
 
     Paths with a null level are dropped. The usual levels are source, proxy and destination country.
     """
-    out = df.select(*levels)
-    for c in levels:
-        out = top_k_other(out, c, n)
-    return out.dropna().groupBy(*levels).agg(F.count(F.lit(1)).alias("n"))
+    return _paths(df, levels, n, levels)
 
 
 def flow_links(paths: DataFrame, levels: Sequence[str], weight: str = "n", labelled: bool = True) -> DataFrame:
@@ -48,22 +69,23 @@ def feature_flow_links(
     df: DataFrame, cols: Sequence[str], target: str, n: int = 10, top_cols: Sequence[str] = ()
 ) -> DataFrame:
     """Links through the chosen columns to the class; ``top_cols`` are first cut to n values."""
-    out = df.select(*cols, target)
-    for c in top_cols:
-        out = top_k_other(out, c, n)
-    paths = out.dropna().groupBy(*cols, target).agg(F.count(F.lit(1)).alias("n"))
-    return flow_links(paths, [*cols, target])
+    return flow_links(_paths(df, [*cols, target], n, top_cols), [*cols, target])
 
 
 def feature_flow_table(
     df: DataFrame, cols: Sequence[str], target: str, n: int = 10, top_cols: Sequence[str] = (),
     classes: Sequence[object] | None = None,
 ) -> DataFrame:
-    """The same combinations as percentages of the grand total per class."""
-    out = df.select(*cols, target)
-    for c in top_cols:
-        out = top_k_other(out, c, n)
-    return crosstab_grand_pct(out, cols, target, classes)
+    """The same combinations as percentages of the grand total, one column per class."""
+    paths = materialize(_paths(df, [*cols, target], n, top_cols))
+    classes = list(classes) if classes is not None else class_labels(paths, target)
+    total = paths.agg(F.sum("n")).scalar()
+    return paths.groupBy(*cols).agg(
+        *[
+            (F.sum(F.when(F.col(target) == F.lit(c), F.col("n")).otherwise(0)) * 100.0 / F.first(total)).alias(str(c))
+            for c in classes
+        ]
+    )
 
 
 def category_paths(
@@ -74,14 +96,10 @@ def category_paths(
     color_by = color_by or target
     if color_by not in (*dims, target):
         raise ValueError("color_by must be one of the dimensions or the class")
-    out = df.select(*dims, target)
-    for c in top_cols:
-        out = top_k_other(out, c, n)
-    out = out.dropna()
-    paths = out.groupBy(*dims, target).agg(F.count(F.lit(1)).alias("n"))
-    codes = dense_codes(out, [color_by]).select(F.col("value").alias("__c"), F.col("code").alias("color"))
+    paths = materialize(_paths(df, [*dims, target], n, top_cols))
+    codes = dense_codes(paths, [color_by]).select(F.col("value").alias("__c"), F.col("code").alias("color"))
     return (
         paths.join(codes, F.col(color_by).cast("string") == F.col("__c"))
         .drop("__c")
-        .withColumn("probability", F.col("n") / row_total(out))
+        .withColumn("probability", F.col("n") / paths.agg(F.sum("n")).scalar())
     )

@@ -7,9 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+BROADCAST_ROWS = 250_000
 DEFAULT_SALTS = 16
 
 
+def is_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether the table has at most ``rows`` rows. Runs a count: pass a stored table, for which only
+    file footers are read."""
+    return table.count() <= rows
+
+
 def attach(
     df: DataFrame,
     dim: DataFrame,
@@ -18,13 +25,15 @@ def attach(
     spread_by: Sequence[str] = (),
     salts: int = DEFAULT_SALTS,
 ) -> DataFrame:
-    """Left join of ``dim`` (one row per key tuple) to ``df``; a null key never matches.
+    """Left join of ``dim`` (a stored table with one row per key tuple); a null key never matches.
 
-    No broadcast hint: adaptive execution broadcasts ``dim`` when its measured size allows it and
-    splits skewed partitions otherwise. When one key may hold a large part of ``df`` and ``dim`` is
-    too big to broadcast, name in ``spread_by`` columns that differ between the rows of a key (a row
-    id): each key is then spread over ``salts`` partitions and ``dim`` is repeated that often.
+    A ``dim`` of checked size is broadcast, so ``df`` is not shuffled. A larger one is joined by
+    shuffle, where adaptive execution splits skewed partitions; when one key may hold a large part of
+    ``df``, name in ``spread_by`` columns that differ between the rows of a key (a row id): each key
+    is then spread over ``salts`` partitions and ``dim`` is repeated that often.
     """
+    if is_small(dim):
+        return df.join(F.broadcast(dim), list(keys), "left")
     if not spread_by:
         return df.join(dim, list(keys), "left")
     salted = df.withColumn("__salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.network import ip_to_long
-from ..functions.useragent import user_agent_fields
+from ..functions.useragent import with_user_agent_fields
 from .binning import range_lookup
-from .joins import attach
+from ..session import materialize, store
+from .joins import attach, is_small
 
 GEO_FIELDS = ("latitude", "longitude", "country", "city")
 
@@ -34,12 +35,13 @@ def map_lookup(
 
 def in_set(df: DataFrame, cols: Sequence[str], members: DataFrame, output: str = "in_set") -> DataFrame:
     """True where any of the columns holds a member; ``members`` has one column."""
-    unique = members.distinct()
+    unique = store(members.distinct())
+    small = is_small(unique)
     out, flags = df, []
     for i, c in enumerate(cols):
         flag = f"__m{i}"
         unique_i = unique.toDF(f"__k{i}").withColumn(flag, F.lit(True))
-        out = out.join(unique_i, F.col(f"`{c}`") == F.col(f"__k{i}"), "left").drop(f"__k{i}")
+        out = out.join(F.broadcast(unique_i) if small else unique_i, F.col(f"`{c}`") == F.col(f"__k{i}"), "left").drop(f"__k{i}")
         flags.append(flag)
     hit = F.greatest(*[F.coalesce(f, F.lit(False)) for f in flags]) if len(flags) > 1 else F.coalesce(flags[0], F.lit(False))
     return out.withColumn(output, hit).drop(*flags)
@@ -47,12 +49,9 @@ def in_set(df: DataFrame, cols: Sequence[str], members: DataFrame, output: str =
 
 def in_set_multi(df: DataFrame, keys: Sequence[str], members: DataFrame, output: str = "in_set") -> DataFrame:
     """True where the key tuple is in ``members``; a tuple with a null is never a member."""
-    unique = members.select(*[F.col(f"`{k}`") for k in keys]).distinct().withColumn("__hit", F.lit(True))
-    return (
-        df.join(unique, list(keys), "left")
-        .withColumn(output, F.coalesce("__hit", F.lit(False)))
-        .drop("__hit")
-    )
+    unique = store(members.select(*[F.col(f"`{k}`") for k in keys]).distinct())
+    flagged = attach(df, unique.withColumn("__hit", F.lit(True)), keys)
+    return flagged.withColumn(output, F.coalesce("__hit", F.lit(False))).drop("__hit")
 
 
 def not_in_set(test: DataFrame, train: DataFrame, key: str) -> DataFrame:
@@ -75,14 +74,12 @@ def enrich_distinct(
     ``resolve`` gets a table with the one column ``key`` and returns it with added columns.
     """
     keys = df.select(key).where(F.col(f"`{key}`").isNotNull()).distinct()
-    return attach(df, resolve(keys), [key], spread_by=spread_by)
+    return attach(df, store(resolve(keys)), [key], spread_by=spread_by)
 
 
 def parse_user_agent(df: DataFrame, ua_col: str, spread_by: Sequence[str] = ()) -> DataFrame:
     """Add the eleven user-agent fields; each distinct text is matched once."""
-    return enrich_distinct(
-        df, ua_col, lambda keys: keys.withColumns(user_agent_fields(F.col(f"`{ua_col}`"))), spread_by
-    )
+    return enrich_distinct(df, ua_col, lambda keys: with_user_agent_fields(keys, ua_col), spread_by)
 
 
 def geo_dimension(ranges: DataFrame, start: str, end: str) -> DataFrame:
@@ -105,18 +102,39 @@ def ip_geolocate(
     Any miss (bad address, no range) gives nulls. Where the city table has nothing,
     ``country_ranges`` may still supply the country. Each distinct address is resolved once.
     """
+    return ip_geolocate_all(
+        df, {ip: prefix}, ranges, fields=fields, country_ranges=country_ranges, spread_by=spread_by
+    )
 
-    def resolve(keys: DataFrame) -> DataFrame:
-        numbered = keys.withColumn("__ip", ip_to_long(F.col(f"`{ip}`")))
-        hits = range_lookup(numbered, "__ip", ranges, "ip_start", "ip_end", list(fields))
-        out = numbered.join(hits.select("__ip", *fields), "__ip", "left")
-        if country_ranges is not None:
-            coarse = range_lookup(numbered, "__ip", country_ranges, "ip_start", "ip_end", ["country"])
-            out = out.join(coarse.select("__ip", F.col("country").alias("__country")), "__ip", "left")
-            out = out.withColumn("country", F.coalesce("country", "__country")).drop("__country")
-        return out.select(F.col(f"`{ip}`"), *[F.col(f).alias(f"{prefix}{f}") for f in fields])
-
-    return enrich_distinct(df, ip, resolve, spread_by)
+
+def ip_geolocate_all(
+    df: DataFrame,
+    ips: Mapping[str, str],
+    ranges: DataFrame,
+    *,
+    fields: Sequence[str] = GEO_FIELDS,
+    country_ranges: DataFrame | None = None,
+    spread_by: Sequence[str] = (),
+) -> DataFrame:
+    """Geolocate several address columns; ``ips`` maps each to the prefix of its fields.
+
+    The addresses of all columns are collected in one pass and resolved together.
+    """
+    pairs = F.array(*[F.col(f"`{c}`") for c in ips])
+    keys = df.select(F.explode(pairs).alias("__text")).where(F.col("__text").isNotNull()).distinct()
+    numbered = materialize(keys.withColumn("__ip", ip_to_long("__text")))
+    hits = range_lookup(numbered, "__ip", ranges, "ip_start", "ip_end", list(fields))
+    found = numbered.join(hits.select("__ip", *fields), "__ip", "left")
+    if country_ranges is not None:
+        coarse = range_lookup(numbered, "__ip", country_ranges, "ip_start", "ip_end", ["country"])
+        found = found.join(coarse.select("__ip", F.col("country").alias("__country")), "__ip", "left")
+        found = found.withColumn("country", F.coalesce("country", "__country"))
+    located = store(found.select("__text", *fields))
+    out = df
+    for ip, prefix in ips.items():
+        dim = located.select(F.col("__text").alias(ip), *[F.col(f).alias(f"{prefix}{f}") for f in fields])
+        out = attach(out, dim, [ip], spread_by=spread_by)
+    return out
 
 
 def column_join(tables: Sequence[DataFrame], row_id: str) -> DataFrame:

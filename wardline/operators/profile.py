@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.network import is_private_ip
+from ..session import materialize, store
 from .columns import class_labels
+from .joins import attach
 from .ordered import exact_quantiles, long_form, ordered_counts, quantiles_of_counts
 
 
@@ -240,35 +242,44 @@ def ip_stats(df: DataFrame, src: str, dst: str) -> DataFrame:
     )
 
 
-def daily_mode_table(df: DataFrame, ts: str, col: str) -> DataFrame:
-    """``(day, value, n)``: most frequent value per day, ties to the value more frequent overall,
-    then to the smaller value."""
-    counts = (
-        df.where(F.col(ts).isNotNull() & F.col(col).isNotNull())
-        .groupBy(F.to_date(ts).alias("day"), F.col(col).alias("value"))
+def daily_modes(df: DataFrame, ts: str, cols: Sequence[str]) -> DataFrame:
+    """``(day, feature, value, n)``: most frequent value per day and column, in one pass.
+
+    Ties go to the value more frequent overall, then to the smaller one (numbers by size, text by
+    alphabet).
+    """
+    counts = materialize(
+        long_form(df.withColumn("__day", F.to_date(ts)), cols, keep=["__day"])
+        .where(F.col("__day").isNotNull() & F.col("value").isNotNull())
+        .groupBy(F.col("__day").alias("day"), "feature", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    overall = counts.groupBy("value").agg(F.sum("n").alias("overall"))
+    overall = counts.groupBy("feature", "value").agg(F.sum("n").alias("overall"))
     # A minimum over a struct combines before the shuffle; a ranking window would not.
-    best = F.min(F.struct((-F.col("n")).alias("n"), (-F.col("overall")).alias("o"), F.col("value").alias("value")))
+    best = F.min(
+        F.struct(
+            (-F.col("n")).alias("n"), (-F.col("overall")).alias("o"),
+            F.col("value").try_cast("double").alias("size"), F.col("value").alias("value"),
+        )
+    )
     return (
-        counts.join(overall, "value")
-        .groupBy("day")
+        counts.join(overall, ["feature", "value"])
+        .groupBy("day", "feature")
         .agg(best.alias("best"))
-        .select("day", F.col("best.value").alias("value"), (-F.col("best.n")).alias("n"))
+        .select("day", "feature", F.col("best.value").alias("value"), (-F.col("best.n")).alias("n"))
     )
 
 
 def daily_mode(df: DataFrame, ts: str, cols: Sequence[str]) -> DataFrame:
     """Add ``"{col} max n d"`` holding ``"{ value }"``, the most frequent value of the row's day."""
-    out = df.withColumn("__day", F.to_date(ts))
-    for c in cols:
-        modes = daily_mode_table(df, ts, c).select(
-            F.col("day").alias("__day"),
-            F.concat(F.lit("{ "), F.col("value").cast("string"), F.lit(" }")).alias(f"{c} max n d"),
-        )
-        out = out.join(modes, "__day", "left")
-    return out.drop("__day")
+
+    def label(c: str):
+        value = F.max(F.when(F.col("feature") == c, F.col("value")))
+        return F.concat(F.lit("{ "), value, F.lit(" }")).alias(f"{c} max n d")
+
+    per_day = store(daily_modes(df, ts, cols).groupBy("day").agg(*[label(c) for c in cols]))
+    dim = per_day.withColumnRenamed("day", "__day")
+    return attach(df.withColumn("__day", F.to_date(ts)), dim, ["__day"]).drop("__day")
 
 
 def mode_all_ties(df: DataFrame, ts: str, col: str) -> DataFrame:

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import store
+from .joins import attach
 from .ordered import running
 
 
@@ -31,7 +33,7 @@ def runs(df: DataFrame, col: str) -> DataFrame:
 
 def run_group_id(df: DataFrame, col: str) -> DataFrame:
     """Add ``run``, the running count of changes in sort order."""
-    return df.join(runs(df, col).select(col, "run"), col, "left")
+    return attach(df, store(runs(df, col).select(col, "run")), [col])
 
 
 def run_sizes(df: DataFrame, col: str) -> DataFrame:
@@ -49,7 +51,7 @@ def change_flag(df: DataFrame, col: str, tie_break: Sequence[str]) -> DataFrame:
     )
     here = F.struct(*tie_break) == F.col("__first")
     return (
-        df.join(first, col, "left")
+        attach(df, store(first), [col])
         .withColumn("changed", F.coalesce(here, F.lit(False)).cast("int"))
         .drop("__first")
     )
@@ -58,7 +60,7 @@ def change_flag(df: DataFrame, col: str, tie_break: Sequence[str]) -> DataFrame:
 def partition_min_max(df: DataFrame, part: str, col: str) -> DataFrame:
     """Add the smallest and largest value of the row's partition."""
     extremes = df.groupBy(part).agg(F.min(col).alias(f"{col}_min"), F.max(col).alias(f"{col}_max"))
-    return df.join(extremes, part, "left")
+    return attach(df, store(extremes), [part])
 
 
 def row_argmax(df: DataFrame, part: str, value: str, order: str) -> DataFrame:

@@ -10,6 +10,7 @@ from ..functions.network import port_category, port_diff
 from ..functions.timeparts import parse_ts, time_features
 from ..operators.encoders import target_encode_cv, target_encode_full
 from ..operators.joins import attach
+from ..session import store
 from ..operators.lookup import parse_user_agent
 
 # Alert columns, numeric and binary features, encoded categories, dropped columns.
@@ -79,7 +80,7 @@ def serving_ports_features(df: DataFrame, src_means: DataFrame, dst_means: DataF
     """
     out = base_features(df, serving=True)
     for col, means in (("Source Port", src_means), ("Destination Port", dst_means)):
-        dim = means.select(F.col("value").cast("string").alias("__port"), F.col("te").alias(f"{col}_te"))
+        dim = store(means.select(F.col("value").cast("string").alias("__port"), F.col("te").alias(f"{col}_te")))
         out = attach(out.withColumn("__port", F.col(f"`{col}`").cast("string")), dim, ["__port"]).drop("__port")
         out = out.withColumn(f"{col}_te", F.coalesce(F.col(f"`{col}_te`"), F.lit(DEFAULT_ENCODING)))
     return out.withColumns({f"{c}_te": F.lit(DEFAULT_ENCODING) for c in ENCODED_CATEGORIES})

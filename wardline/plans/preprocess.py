@@ -11,7 +11,7 @@ from ..functions.text import signature_prefix, split_city_state
 from ..functions.timeparts import parse_ts, serving_time_buckets, time_buckets, time_indicators
 from ..functions.useragent import device_type
 from ..operators.columns import drop_columns, equality_indicator, rename_columns
-from ..operators.lookup import ip_geolocate, parse_user_agent
+from ..operators.lookup import ip_geolocate_all, parse_user_agent
 from ..operators.profile import daily_mode
 
 # Columns with a daily mode.
@@ -31,12 +31,12 @@ def enrich_log(df: DataFrame, geo_ranges: DataFrame | None = None, daily: bool =
         out = out.withColumns({f"{side} IP {n}octet": ipv4_prefix(ip, n) for n in (1, 2, 3)})
     out = out.withColumn("Proxy usage", null_flag("Proxy Information"))
     if geo_ranges is not None:
-        for ip, prefix in (
-            ("Source IP Address", "Source IP "),
-            ("Destination IP Address", "Destination IP "),
-            ("Proxy Information", "Proxy "),
-        ):
-            out = ip_geolocate(out, ip, geo_ranges, prefix=prefix)
+        prefixes = {
+            "Source IP Address": "Source IP ",
+            "Destination IP Address": "Destination IP ",
+            "Proxy Information": "Proxy ",
+        }
+        out = ip_geolocate_all(out, prefixes, geo_ranges)
     # Indicator columns, their values and names.
     for col, values, names in (
         ("Protocol", ["UDP", "ICMP"], None),

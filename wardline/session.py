@@ -55,7 +55,18 @@ def materialize(df: DataFrame) -> DataFrame:
     Used where later steps must all see one and the same set of rows (partition numbers, rounds of
     an iteration), also when an executor is lost in between.
     """
-    shared_dir(df.sparkSession)
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
+    folder, context = shared_dir(df.sparkSession), df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def store(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
+
+    For lookup tables that are joined to many rows: they are computed once, and their row count is
+    in the file footers, so a join can check it before it broadcasts.
+    """
+    path = scratch_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
