@@ -20,6 +20,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .columns import class_labels
 from .metrics import accuracy, macro_f1
 from .split import row_uniform, stratified_kfold
 
@@ -85,22 +86,13 @@ def gradient_boosting(features: str = "features", label: str = "label", **params
 
 def dummy_stratified(train: DataFrame, test: DataFrame, label: str, id_col: str, seed: int = 42) -> DataFrame:
     """Add ``prediction``: a class drawn by its share in training, from the hash of the row id."""
-    counts = train.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    # One entry per class, so the array of cumulative shares is small.
-    priors = counts.agg(F.array_sort(F.collect_list(F.struct(F.col(label).alias("c"), "n"))).alias("p"))
-    total = F.aggregate("p", F.lit(0).cast("long"), lambda a, x: a + x["n"])
-    upto = F.transform(
-        "p",
-        lambda x: F.struct(
-            x["c"].alias("c"),
-            (F.aggregate(F.filter("p", lambda y: y["c"] <= x["c"]), F.lit(0).cast("long"), lambda a, y: a + y["n"]) / total).alias("u"),
-        ),
-    )
-    steps = priors.select(upto.alias("s")).scalar()
+    classes = class_labels(train, label)
+    shares = train.where(F.col(label).isNotNull()).agg(
+        *[F.avg((F.col(label) <= F.lit(c)).cast("int")) for c in classes]
+    ).first()  # one cumulative share per class
     u = row_uniform(id_col, seed)
-    return test.withColumn(
-        "prediction", F.get(F.filter(steps, lambda s: u < s["u"]), F.lit(0))["c"]
-    )
+    drawn = F.coalesce(*[F.when(u < F.lit(s), F.lit(c)) for c, s in zip(classes, shares)])
+    return test.withColumn("prediction", drawn)
 
 
 class MacroF1(Evaluator):

@@ -250,7 +250,7 @@ def daily_modes(df: DataFrame, ts: str, cols: Sequence[str]) -> DataFrame:
     """
     counts = materialize(
         long_form(df.withColumn("__day", F.to_date(ts)), cols, keep=["__day"])
-        .where(F.col("__day").isNotNull() & F.col("value").isNotNull())
+        .where(F.col("value").isNotNull())
         .groupBy(F.col("__day").alias("day"), "feature", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -263,7 +263,8 @@ def daily_modes(df: DataFrame, ts: str, cols: Sequence[str]) -> DataFrame:
         )
     )
     return (
-        counts.join(overall, ["feature", "value"])
+        counts.where(F.col("day").isNotNull())
+        .join(overall, ["feature", "value"])
         .groupBy("day", "feature")
         .agg(best.alias("best"))
         .select("day", "feature", F.col("best.value").alias("value"), (-F.col("best.n")).alias("n"))
