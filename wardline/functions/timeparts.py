@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -33,10 +34,21 @@ def parse_ts(col: Column | str, fmt: str | None = None, strict: bool = False) ->
     return F.try_to_timestamp(c, *pattern)
 
 
+def layout_pattern(fmt: str) -> str:
+    """Regular expression for texts that have the shape of a timestamp layout."""
+    tokens = {"yyyy": r"\d{4}", "a": "[AaPp][Mm]", **{t: r"\d{1,2}" for t in "MdHhms"}}
+    return "^" + re.sub(r"yyyy|[MdHhmsa]", lambda m: tokens[m[0]], fmt) + "$"
+
+
 def parse_any_ts(col: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
-    """First layout that reads the text, after trimming and squeezing white space."""
+    """First layout that reads the text, after trimming and squeezing white space.
+
+    A layout is only tried on texts of its shape: a failed parse costs an exception per row.
+    """
     text = F.trim(F.regexp_replace(_col(col), r"\s+", " "))
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    return F.coalesce(
+        *[F.when(text.rlike(layout_pattern(f)), F.try_to_timestamp(text, F.lit(f))) for f in formats]
+    )
 
 
 def day_floor(ts: Column | str) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.encoding import equals_flag
 from ..session import store
-from .joins import attach
+from .joins import attach, is_small
 from .ordered import dense_codes
 
 MAX_CLASSES = 1000
@@ -117,12 +117,12 @@ def one_hot_labels(df: DataFrame, label: str, classes: Sequence[object]) -> Data
 def category_codes(df: DataFrame, cols: Sequence[str], suffix: str = "_code") -> DataFrame:
     """Sorted category code per column, -1 for null. Values are compared as text."""
     codes = store(dense_codes(df, cols))
-    out = df
+    out, small = df, is_small(codes) or None
     for c in cols:
         one = codes.where(F.col("feature") == c).select(
             F.col("value").alias("__v"), F.col("code").alias(f"{c}{suffix}")
         )
-        out = attach(out.withColumn("__v", F.col(f"`{c}`").cast("string")), one, ["__v"]).drop("__v")
+        out = attach(out.withColumn("__v", F.col(f"`{c}`").cast("string")), one, ["__v"], small=small).drop("__v")
         out = out.withColumn(f"{c}{suffix}", F.coalesce(f"`{c}{suffix}`", F.lit(-1)).cast("long"))
     return out
 

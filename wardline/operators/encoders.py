@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, store
-from .joins import attach
+from .joins import attach, is_small
 from .ordered import long_form
 from .split import stratified_kfold
 
@@ -18,13 +18,14 @@ def _mean(df: DataFrame, target: str):
 
 
 def _join_codes(df: DataFrame, codes: DataFrame, cols: Sequence[str], extra: Sequence[str], suffix: str):
-    """Join ``(feature, value, extra..., te)`` once per column."""
-    out = df
+    """Join stored ``(feature, value, extra..., te)`` rows once per column."""
+    out, small = df, is_small(codes) or None
     for c in cols:
         one = codes.where(F.col("feature") == c).select(
             F.col("value").alias("__v"), *extra, F.col("te").alias(f"{c}{suffix}")
         )
-        out = attach(out.withColumn("__v", F.col(f"`{c}`").cast("string")), one, ["__v", *extra]).drop("__v")
+        keyed = out.withColumn("__v", F.col(f"`{c}`").cast("string"))
+        out = attach(keyed, one, ["__v", *extra], small=small).drop("__v")
     return out
 
 

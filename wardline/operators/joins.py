@@ -24,15 +24,17 @@ def attach(
     *,
     spread_by: Sequence[str] = (),
     salts: int = DEFAULT_SALTS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Left join of ``dim`` (a stored table with one row per key tuple); a null key never matches.
 
     A ``dim`` of checked size is broadcast, so ``df`` is not shuffled. A larger one is joined by
     shuffle, where adaptive execution splits skewed partitions; when one key may hold a large part of
     ``df``, name in ``spread_by`` columns that differ between the rows of a key (a row id): each key
-    is then spread over ``salts`` partitions and ``dim`` is repeated that often.
+    is then spread over ``salts`` partitions and ``dim`` is repeated that often. ``small`` passes on the
+    result of a size check already made.
     """
-    if is_small(dim):
+    if is_small(dim) if small is None else small:
         return df.join(F.broadcast(dim), list(keys), "left")
     if not spread_by:
         return df.join(dim, list(keys), "left")

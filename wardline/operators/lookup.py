@@ -130,10 +130,10 @@ def ip_geolocate_all(
         found = found.join(coarse.select("__ip", F.col("country").alias("__country")), "__ip", "left")
         found = found.withColumn("country", F.coalesce("country", "__country"))
     located = store(found.select("__text", *fields))
-    out = df
+    out, small = df, is_small(located)
     for ip, prefix in ips.items():
         dim = located.select(F.col("__text").alias(ip), *[F.col(f).alias(f"{prefix}{f}") for f in fields])
-        out = attach(out, dim, [ip], spread_by=spread_by)
+        out = attach(out, dim, [ip], spread_by=spread_by, small=small)
     return out
 
 

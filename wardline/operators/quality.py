@@ -108,15 +108,14 @@ def valid_domain(col: Column | str, allowed: Sequence[str], optional: bool = Fal
     return F.when(_blank(c), F.lit(optional)).otherwise(F.trim(c.cast("string")).isin(*allowed))
 
 
-def _rules(df: DataFrame, as_of, required, optional) -> list[Column]:
-    """One message-or-null column per rule, in reporting order."""
+def _rules(df: DataFrame, day: Column, as_of, required, optional) -> list[Column]:
+    """One message-or-null column per rule, in reporting order; ``day`` is the parsed timestamp."""
     present = set(df.columns)
 
     def get(name: str, default: str = "") -> Column:
         return F.col(f"`{name}`").cast("string") if name in present else F.lit(default)
 
     ts = get("Timestamp")
-    day = F.to_date(parse_any_ts(ts))
     limit = as_of if isinstance(as_of, Column) else F.lit(as_of)
     out = [
         F.when(_blank(ts), F.lit("Timestamp is required"))
@@ -179,7 +178,11 @@ def validate_rows(
 ) -> DataFrame:
     """Add ``errors`` (messages), ``is_valid`` and, with ``row_id`` (counted from 0), the report
     text ``message``. Row-local, so it also runs on a streaming DataFrame."""
-    out = df.withColumn("errors", F.array_compact(F.array(*_rules(df, as_of, required, optional))))
+    text = F.col("Timestamp").cast("string") if "Timestamp" in df.columns else F.lit("")
+    rules = _rules(df, F.col("__day"), as_of, required, optional)
+    # The day is a column of its own, so that the layouts are tried once per row.
+    out = df.withColumn("__day", F.to_date(parse_any_ts(text)))
+    out = out.withColumn("errors", F.array_compact(F.array(*rules))).drop("__day")
     out = out.withColumn("is_valid", F.size("errors") == 0)
     if row_id is None:
         return out

@@ -30,13 +30,6 @@ def enrich_log(df: DataFrame, geo_ranges: DataFrame | None = None, daily: bool =
         ip = F.col(f"{side} IP Address")
         out = out.withColumns({f"{side} IP {n}octet": ipv4_prefix(ip, n) for n in (1, 2, 3)})
     out = out.withColumn("Proxy usage", null_flag("Proxy Information"))
-    if geo_ranges is not None:
-        prefixes = {
-            "Source IP Address": "Source IP ",
-            "Destination IP Address": "Destination IP ",
-            "Proxy Information": "Proxy ",
-        }
-        out = ip_geolocate_all(out, prefixes, geo_ranges)
     # Indicator columns, their values and names.
     for col, values, names in (
         ("Protocol", ["UDP", "ICMP"], None),
@@ -56,7 +49,16 @@ def enrich_log(df: DataFrame, geo_ranges: DataFrame | None = None, daily: bool =
     out = parse_user_agent(out, "Device Information")
     city, state = split_city_state(F.col("`Geo-location Data`"))
     out = out.withColumns({"Geo-location City": city, "Geo-location State": state})
-    return daily_mode(out, "date", DAILY_MODE_COLUMNS) if daily else out
+    if daily:
+        out = daily_mode(out, "date", DAILY_MODE_COLUMNS)
+    if geo_ranges is not None:
+        prefixes = {
+            "Source IP Address": "Source IP ",
+            "Destination IP Address": "Destination IP ",
+            "Proxy Information": "Proxy ",
+        }
+        out = ip_geolocate_all(out, prefixes, geo_ranges)
+    return out
 
 
 def serving_preprocess(df: DataFrame) -> DataFrame:
