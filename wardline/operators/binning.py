@@ -45,22 +45,19 @@ def cut_quartiles(
     cuts = exact_quantiles(df, col, probs).agg(
         *[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(f"q{i}") for i, p in enumerate(probs)]
     )
-    cut = cuts.select(F.struct("q0", "q1", "q2")).scalar()
     c = _col(col)
-    return df.withColumn(
-        output,
-        F.when(c <= cut["q0"], labels[0])
-        .when(c <= cut["q1"], labels[1])
-        .when(c <= cut["q2"], labels[2])
-        .when(c.isNotNull(), labels[3]),
-    )
-
-
-def _whole_range(df: DataFrame, col: str):
-    bounds = df.agg(
-        F.floor(F.min(_col(col))).cast("long").alias("lo"), F.ceil(F.max(_col(col))).cast("long").alias("hi")
+    # The one-row result is a column first, so that the subquery appears once in the plan.
+    return (
+        df.withColumn("__cut", cuts.select(F.struct("q0", "q1", "q2")).scalar())
+        .withColumn(
+            output,
+            F.when(c <= F.col("__cut.q0"), labels[0])
+            .when(c <= F.col("__cut.q1"), labels[1])
+            .when(c <= F.col("__cut.q2"), labels[2])
+            .when(c.isNotNull(), labels[3]),
+        )
+        .drop("__cut")
     )
-    return bounds.select(F.struct("lo", "hi")).scalar()
 
 
 def bin_equal_width(df: DataFrame, train: DataFrame, col: str, n: int, prefix: str | None = None) -> DataFrame:
@@ -71,10 +68,15 @@ def bin_equal_width(df: DataFrame, train: DataFrame, col: str, n: int, prefix: s
     open ends) and the label ``{col} classes``.
     """
     prefix = prefix or col
-    r = _whole_range(train, col)
-    lo, step = r["lo"], F.floor((r["hi"] - r["lo"]) / F.lit(n)).cast("long")
-    bins = F.ceil((r["hi"] - lo) / F.nullif(step, F.lit(0))).cast("long")
-    raw = F.floor((_col(col) - lo) / F.nullif(step, F.lit(0))).cast("long")
+    bounds = train.agg(
+        F.floor(F.min(_col(col))).cast("long").alias("lo"), F.ceil(F.max(_col(col))).cast("long").alias("hi")
+    )
+    width = F.floor((F.col("hi") - F.col("lo")) / F.lit(n)).cast("long")
+    grid = bounds.select("lo", "hi", F.nullif(width, F.lit(0)).alias("step")).select(
+        F.struct("lo", "step", F.ceil((F.col("hi") - F.col("lo")) / F.col("step")).cast("long").alias("bins"))
+    )
+    lo, step, bins = F.col("__grid.lo"), F.col("__grid.step"), F.col("__grid.bins")
+    raw = F.col("__raw")
     # With a single bin the lower-open label wins and only values below its upper edge get it.
     index = F.greatest(F.least(raw, F.greatest(bins - 1, F.lit(0))), F.lit(0))
     single_above = (bins == 1) & (raw > 0)
@@ -90,7 +92,12 @@ def bin_equal_width(df: DataFrame, train: DataFrame, col: str, n: int, prefix: s
             F.coalesce(high.cast("string"), F.lit("max")),
         ),
     )
-    return df.withColumns({f"{prefix}_lo": low, f"{prefix}_hi": high, f"{col} classes": label})
+    return (
+        df.withColumn("__grid", grid.scalar())
+        .withColumn("__raw", F.floor((_col(col) - lo) / step).cast("long"))
+        .withColumns({f"{prefix}_lo": low, f"{prefix}_hi": high, f"{col} classes": label})
+        .drop("__grid", "__raw")
+    )
 
 
 # --- bins with a minimum number of rows -----------------------------------------------------------
@@ -251,7 +258,8 @@ def bin_equal_count(df: DataFrame, col: str, n_classes: int, prefix: str | None
     number = F.floor(F.col("n_before") * F.lit(n_classes) / F.col("n_total")).cast("long")
     placed = ranked.select(col, number.alias("__bin"))
     bounds = placed.groupBy("__bin").agg(F.min(col).alias("lo"), F.max(col).alias("hi"))
-    by_value = store(placed.join(bounds, "__bin").select(col, "lo", "hi"))
+    # At most n_classes rows.
+    by_value = store(placed.join(F.broadcast(bounds), "__bin").select(col, "lo", "hi"))
     return attach_bins(df, by_value, col, prefix)
 
 
@@ -271,7 +279,8 @@ def assign_trained_bins(df: DataFrame, col: str, bins: DataFrame, output: str |
         .when(F.col(col) < first_lo, first_lo)
         .otherwise(last_lo)
         .alias("lo"),
-    ).join(bins, "lo", "left")
+    )
+    resolved = attach(resolved, bins, ["lo"], spread_by=[col])
     return attach_bins(df, store(resolved.select(col, "lo", "hi")), col, output)
 
 
@@ -283,8 +292,10 @@ def range_lookup(
     A miss has nulls. Ranges must not overlap. The greatest start not above the value is found by an
     ordered merge, then an equi join fetches the range, so no comparison of all pairs takes place.
     """
-    found = floor_lookup(values.select(col), col, ranges, lo)
-    joined = found.join(ranges.select(lo, hi, *payload), lo, "left")
+    stored = store(ranges.select(lo, hi, *payload))
+    found = floor_lookup(values.select(col), col, stored, lo)
+    # One wide range may hold most of the values.
+    joined = attach(found, stored, [lo], spread_by=[col])
     hit = F.coalesce(F.col(col) <= F.col(hi), F.lit(False))
     return joined.select(col, *[F.when(hit, F.col(c)).alias(c) for c in (lo, hi, *payload)])
 
@@ -305,11 +316,9 @@ def histogram_bin(value: Column, lo: Column, hi: Column, n: int) -> Column:
 
 def histogram(df: DataFrame, col: str, n: int = 50, by: Sequence[str] = ()) -> DataFrame:
     """``(by..., bin, n)`` counts of ``n`` equal-width bins over the range of the column."""
-    b = _bounds(df, col)
-    rows = df.where(_col(col).isNotNull())
-    return rows.groupBy(*by, histogram_bin(_col(col), b["lo"], b["hi"], n).alias("bin")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    rows = df.where(_col(col).isNotNull()).withColumn("__b", _bounds(df, col))
+    number = histogram_bin(_col(col), F.col("__b.lo"), F.col("__b.hi"), n)
+    return rows.groupBy(*by, number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def histogram_by_class(df: DataFrame, col: str, target: str, n: int = 200) -> DataFrame:
@@ -323,10 +332,10 @@ def bias_level_histogram(
     levels = F.array(
         *[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("int").alias("level")) for c in level_cols]
     )
-    b = _bounds(df, score)
-    rows = df.select(target, score, F.inline(levels)).where(
-        (F.col("level") > 0) & F.col(score).isNotNull()
-    )
-    return rows.groupBy(target, "feature", "level", histogram_bin(F.col(score), b["lo"], b["hi"], n).alias("bin")).agg(
-        F.count(F.lit(1)).alias("n")
+    rows = (
+        df.select(target, score, F.inline(levels))
+        .where((F.col("level") > 0) & F.col(score).isNotNull())
+        .withColumn("__b", _bounds(df, score))
     )
+    number = histogram_bin(F.col(score), F.col("__b.lo"), F.col("__b.hi"), n)
+    return rows.groupBy(target, "feature", "level", number.alias("bin")).agg(F.count(F.lit(1)).alias("n"))

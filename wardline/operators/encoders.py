@@ -37,13 +37,20 @@ def target_encode_cv(
     n_splits: int = 5,
     seed: int = 42,
     suffix: str = "_te",
+    fold_col: str | None = None,
 ) -> DataFrame:
     """``{col}_te``: mean of the numeric target over the other folds' rows with the same value.
 
+    ``fold_col`` names folds already assigned.
+
     Values seen in one fold only, and nulls, get the overall mean. Sums per (column, value, fold) are
     taken in one pass for all columns; subtracting a row's own fold gives the other folds.
     """
-    folded = stratified_kfold(df, target, id_col, n_splits, seed, output="__fold")
+    folded = (
+        df.withColumn("__fold", F.col(fold_col))
+        if fold_col
+        else stratified_kfold(df, target, id_col, n_splits, seed, output="__fold")
+    )
     sums = (
         long_form(folded, cols, keep=["__fold", target])
         .where(F.col("value").isNotNull())

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, store
 from .columns import class_labels
+from .joins import attach
 from .ordered import dense_codes
 
 OTHER = "other"
@@ -97,9 +98,11 @@ def category_paths(
     if color_by not in (*dims, target):
         raise ValueError("color_by must be one of the dimensions or the class")
     paths = materialize(_paths(df, [*dims, target], n, top_cols))
-    codes = dense_codes(paths, [color_by]).select(F.col("value").alias("__c"), F.col("code").alias("color"))
+    codes = store(
+        dense_codes(paths, [color_by]).select(F.col("value").alias("__c"), F.col("code").alias("color"))
+    )
     return (
-        paths.join(codes, F.col(color_by).cast("string") == F.col("__c"))
+        attach(paths.withColumn("__c", F.col(color_by).cast("string")), codes, ["__c"])
         .drop("__c")
         .withColumn("probability", F.col("n") / paths.agg(F.sum("n")).scalar())
     )

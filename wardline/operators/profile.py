@@ -290,10 +290,12 @@ def mode_all_ties(df: DataFrame, ts: str, col: str) -> DataFrame:
         .groupBy(F.to_date(ts).alias("day"), F.col(col).cast("string").alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    top = counts.groupBy("day").agg(F.max("n").alias("n"))
+    counts = materialize(counts)
+    top = store(counts.groupBy("day").agg(F.max("n").alias("most")))
     names = F.concat_ws(" + ", F.array_sort(F.collect_list("value")))
     return (
-        counts.join(top, ["day", "n"])
+        attach(counts, top, ["day"])
+        .where("n = most")
         .groupBy("day")
         .agg(F.concat(F.lit("{ "), names, F.lit(" }")).alias("label"))
     )
@@ -335,7 +337,7 @@ def box_stats(df: DataFrame, value: str, target: str) -> DataFrame:
     )
     inside = F.col(value).between(F.col("low"), F.col("high"))
     return (
-        ranked.join(quartiles, target)
+        attach(ranked, store(quartiles), [target])
         .groupBy(target, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col(value))).alias("whisker_low"),
@@ -350,7 +352,8 @@ def strip_points(df: DataFrame, value: str, target: str) -> DataFrame:
     classes = class_labels(df, target)
     rank = F.coalesce(*[F.when(F.col(target) == F.lit(c), F.lit(i)) for i, c in enumerate(classes)])
     sizes = df.groupBy(target).agg(F.count(F.lit(1)).alias("n_class"))
-    return df.join(sizes, target).select(
+    # One row per class, and class_labels() has checked their number.
+    return df.join(F.broadcast(sizes), target).select(
         rank.alias("class_rank"), F.col(target).alias("class"), F.col(value).alias("value"), "n_class"
     )
 
@@ -372,7 +375,7 @@ def geo_points(
     ranges = points.groupBy("side", "class").agg(
         F.min("score").alias("min_score"), F.max("score").alias("max_score")
     )
-    return points.join(ranges, ["side", "class"])
+    return attach(points.dropna(subset=["class"]), store(ranges), ["side", "class"])
 
 
 def dataset_summary(df: DataFrame, roles: Mapping[str, str]) -> DataFrame:

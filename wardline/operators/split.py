@@ -12,6 +12,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import store
+from .joins import attach
+
 _HEX = 4  # leading hex digits of the hash that form the bucket: 65,536 buckets per class
 
 
@@ -41,16 +44,16 @@ def _class_cuts(
         "__class", "bucket", "n", F.sum("n").over(upto).alias("upto"), F.sum("n").over(w).alias("total")
     )
     wanted = F.array(*[p.cast("long") for p in positions(F.col("total"))])
-    places = (
+    places = store(
         ranked.withColumn("place", F.explode(wanted))
         .where((F.col("place") > F.col("upto") - F.col("n")) & (F.col("place") <= F.col("upto")))
-        .select("__class", "bucket", (F.col("place") - F.col("upto") + F.col("n")).alias("nth"))
-    )
-    wanted_rows = rows.join(
-        places.groupBy("__class", "bucket").agg(F.collect_list("nth").alias("nths")), ["__class", "bucket"]
+        .groupBy("__class", "bucket")
+        .agg(F.collect_list((F.col("place") - F.col("upto") + F.col("n"))).alias("nths"))
     )
+    # A few rows per class: only the rows of the buckets with a cut are shuffled.
+    wanted_rows = attach(rows, places, ["__class", "bucket"]).where("nths IS NOT NULL")
     rank = F.row_number().over(Window.partitionBy("__class", "bucket").orderBy("h", "id"))
-    return (
+    return store(
         wanted_rows.withColumn("rank", rank)
         .withColumn("nth", F.explode("nths"))
         .where("rank = nth")
@@ -62,7 +65,7 @@ def _class_cuts(
 def _cuts_passed(df: DataFrame, target: str, id_col: str, seed: int, cuts: DataFrame) -> DataFrame:
     """Add ``__passed``: how many cuts of its class the row lies beyond (null without cuts)."""
     here = F.struct(row_hash(id_col, seed).alias("h"), F.col(f"`{id_col}`").alias("id"))
-    joined = df.join(cuts, F.col(f"`{target}`") == F.col("__class"), "left")
+    joined = attach(df.withColumn("__class", F.col(f"`{target}`")), cuts, ["__class"])
     passed = F.size(F.filter("__cuts", lambda c: here > c))
     return joined.withColumn("__passed", F.when(F.col("__cuts").isNotNull(), passed)).drop("__class", "__cuts")
 

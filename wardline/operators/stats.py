@@ -9,8 +9,9 @@ from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, store
 from .columns import category_codes
+from .joins import attach
 from .ordered import long_form
 
 
@@ -28,9 +29,9 @@ def _with_margins(cells: DataFrame) -> DataFrame:
     rows = cells.groupBy("feature", "value").agg(F.sum("n").alias("n_value"))
     classes = cells.groupBy("feature", "class").agg(F.sum("n").alias("n_class"))
     totals = cells.groupBy("feature").agg(F.sum("n").alias("total"))
-    return (
-        cells.join(rows, ["feature", "value"]).join(classes, ["feature", "class"]).join(totals, "feature")
-    )
+    # Few classes and features against many values: those two are attached, not shuffled.
+    out = attach(cells.join(rows, ["feature", "value"]), store(classes), ["feature", "class"])
+    return attach(out, store(totals), ["feature"])
 
 
 def mcc(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:

@@ -12,6 +12,7 @@ from ..operators.encoders import target_encode_cv, target_encode_full
 from ..operators.joins import attach
 from ..session import store
 from ..operators.lookup import parse_user_agent
+from ..operators.split import stratified_kfold
 
 # Alert columns, numeric and binary features, encoded categories, dropped columns.
 ALERT_COLUMNS = ("Malware Indicators", "Alerts/Warnings", "Firewall Logs", "IDS/IPS Alerts")
@@ -67,9 +68,11 @@ def ports_features(
     Categories are encoded out of fold. Ports too, unless ``full_ports`` asks for the means over all
     rows, which leak the class.
     """
-    out = base_features(df).drop(*DROPPED)
+    # Folds first, while the rows are still cheap to read.
+    folded = stratified_kfold(df, target, id_col, n_splits, seed, output="fold")
+    out = base_features(folded).drop(*DROPPED)
     cv_cols = ENCODED_CATEGORIES if full_ports else (*ENCODED_CATEGORIES, *ENCODED_PORTS)
-    out = target_encode_cv(out, cv_cols, target, id_col, n_splits, seed)
+    out = target_encode_cv(out, cv_cols, target, id_col, fold_col="fold").drop("fold")
     return target_encode_full(out, ENCODED_PORTS, target) if full_ports else out
 
 
