@@ -1,14 +1,14 @@
 """Metrics, models, training and scoring runs."""
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from wardline.functions.encoding import class_confidence
 from wardline.operators import metrics as M
 from wardline.operators import models as L
-from wardline.operators.bias import BiasGroup
+from wardline.operators.bias import RAW_ROW_GROUPS
 from wardline.operators.columns import select_feature_vector
 from wardline.operators.split import train_test
+from wardline.plans.preprocess import serving_preprocess
 from wardline.plans.training import (
     leakage_comparison,
     serving_bias_features,
@@ -16,9 +16,9 @@ from wardline.plans.training import (
     train_ports_model,
 )
 from wardline.session import materialize, scratch_path
-from wardline.sources.bundle import load_model_bundle
+from wardline.sources.bundle import load_model_bundle, save_model_bundle
 
-from .base import netlog, query, raw_log, rounded, table
+from .base import WITH_LOG, netlog, query, raw_log, rounded, table
 
 # --- metrics, on a prediction and scores made from the row number -------------------------------
 
@@ -236,31 +236,34 @@ def _(spark, sf):
     return L.feature_importance(L.random_forest(numTrees=5, maxDepth=5).fit(train), _NUMERIC, 5)
 
 
-@query("save_load_model_bundle")
+@query(
+    "save_model_bundle",
+    WITH_LOG
+    + """ SELECT CASE WHEN packet_length > 1200 THEN 0 WHEN k % 3 = 0 THEN 1 ELSE 2 END AS label, count(*) AS n FROM netlog GROUP BY 1""",
+)
 def _(spark, sf):
     path = scratch_path(spark, "bundle")
-    train, test = _split(spark, sf)
+    rows = _vectors(spark, sf)
+    classes = rows.groupBy("label").agg(F.count("*").alias("n"))
+    save_model_bundle(L.decision_tree(maxDepth=3).fit(rows), {"classes": classes}, path, {"features": list(_NUMERIC)})
+    return load_model_bundle(spark, path)[1]["classes"]
 
-    def fit():
-        model = L.decision_tree(maxDepth=6).fit(train)
-        classes = train.groupBy("label").agg(F.count("*").alias("n"))
-        return model, {"classes": classes}, {"features": list(_NUMERIC)}
 
+@query("load_model_bundle")
+def _(spark, sf):
+    path = scratch_path(spark, "bundle")
+    train, test = _split(spark, sf)
+    fit = lambda: (L.decision_tree(maxDepth=6).fit(train), {}, {"features": list(_NUMERIC)})
     load_model_bundle(spark, path, fit)  # trains and saves
-    model, tables, _ = load_model_bundle(spark, path)
-    assert isinstance(model, PipelineModel)
-    return L.predict(model, test).join(tables["classes"], "label").select("event_id", "label", "prediction", "n")
-
-
-_GROUPS = (
-    BiasGroup("length", binned=("Packet Length",)),
-    BiasGroup("network", keys=("Protocol", "Traffic Type", "Destination Port")),
-)
+    model, _, _ = load_model_bundle(spark, path)
+    return L.predict(model, test).select("event_id", "label", "prediction")
 
 
 def _bias_model(spark, sf, **settings):
+    """Trained on raw rows prepared as they are for scoring, with three of the seven groups."""
     return train_bias_classifier(
-        raw_log(spark, sf), "Attack Type", "event_id", lambda n: L.logit(n_train=n, maxIter=20), groups=_GROUPS, **settings
+        serving_preprocess(raw_log(spark, sf)), "Attack Type", "event_id", lambda n: L.logit(n_train=n, maxIter=20),
+        groups=RAW_ROW_GROUPS, only=("length", "network", "time"), **settings,
     )
 
 

@@ -50,6 +50,20 @@ def _(spark, sf):
     return rounded(S.acf(series, "series", "day", "x", 10), "acf")
 
 
+@query(
+    "pacf_two_lags",
+    f"""WITH {_SERIES}, i AS (SELECT series, row_number() OVER (PARTITION BY series ORDER BY day) AS t, x - avg(x) OVER (PARTITION BY series) AS x,
+  count(*) OVER (PARTITION BY series) AS n FROM s),
+ c AS (SELECT a.series, b.t - a.t AS lag, sum(a.x * b.x) / (max(a.n) - (b.t - a.t)) AS c FROM i a JOIN i b ON a.series = b.series AND b.t - a.t BETWEEN 0 AND 2 GROUP BY 1, 2),
+ r AS (SELECT series, max(c) FILTER (lag = 1) / max(c) FILTER (lag = 0) AS r1, max(c) FILTER (lag = 2) / max(c) FILTER (lag = 0) AS r2 FROM c GROUP BY 1)
+ SELECT series, 0 AS lag, 1.0::DOUBLE AS pacf FROM r UNION ALL SELECT series, 1, round(r1, 6) FROM r
+ UNION ALL SELECT series, 2, round((r2 - r1 * r1) / (1 - r1 * r1), 6) FROM r""",
+)
+def _(spark, sf):
+    series = S.daily_series(table(spark, sf, "lineitem"), "l_shipdate", "l_returnflag")
+    return rounded(S.pacf(series, "series", "day", "x", 2), "pacf")
+
+
 @query("pacf")
 def _(spark, sf):
     series = S.daily_series(table(spark, sf, "lineitem"), "l_shipdate", "l_returnflag")

@@ -124,6 +124,9 @@ def test_user_agent_families(spark):
 
 
 def test_parse_any_ts(spark):
-    df = column(spark, ["2023-05-30 06:33:58", "5/30/2023 06:33:58 AM", "5/30/2023  06:33", "2023/05/30 6:33:58", "nope", None])
+    good = ["2023-05-30 06:33:58", "2023-05-30 23:33:58", "5/30/2023 06:33:58 AM", "5/30/2023 06:33:58 pm", "5/30/2023  06:33",
+            "5/30/2023 18:33:58", " 2023/05/30 6:33:58", "2023-05-30 03:33:58 PM", "2023-05-30 03:33"]
+    bad = ["nope", None, "", "2023-02-30 06:33:58", "13/30/2023 06:33", "2023-05-30 13:33", "5/30/2023 13:33:58 PM", "2023-05-30"]
+    df = column(spark, good + bad)
     got = [r[0] for r in df.select(F.to_date(T.parse_any_ts("v")).cast("string")).collect()]
-    assert got == ["2023-05-30"] * 4 + [None, None]
+    assert got == ["2023-05-30"] * len(good) + [None] * len(bad)

@@ -157,6 +157,21 @@ BIAS_GROUPS = (
 )
 
 
+# The seven groups that need no geolocation, on the columns of ``serving_preprocess``;
+# models that score raw rows are trained on these.
+RAW_ROW_GROUPS = (
+    *[g for g in BIAS_GROUPS if g.name in ("ports", "score", "length", "day")],
+    BiasGroup(
+        "network",
+        keys=(
+            "Protocol", "Packet Type", "Traffic Type", "Attack Signature patA",
+            "Network Segment", "Proxy usage", *_DEVICE,
+        ),
+    ),
+    *[g for g in BIAS_GROUPS if g.name in ("security", "time")],
+)
+
+
 @dataclass
 class BiasModel:
     """Everything fitted: bins per column, crosstab per group, classes and settings."""
