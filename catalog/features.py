@@ -228,7 +228,7 @@ def _(spark, sf):
  l AS (SELECT n.*, CASE attack_type WHEN 'DDoS' THEN 0 WHEN 'Intrusion' THEN 1 ELSE 2 END AS y FROM x n),
  f AS (SELECT *, CAST(floor((rn - 1) * 5 / cn) AS INT) AS fold FROM """
     + _md5_rank("y", 42, "l")
-    + """ s) SELECT event_id, hour(ts) AS hour, isodow(ts) - 1 AS dayofweek, CAST(isodow(ts) >= 6 AS INT) AS is_weekend,
+    + """ s) SELECT event_id, CAST(hour(ts) AS INT) AS hour, CAST(isodow(ts) - 1 AS INT) AS dayofweek, CAST(isodow(ts) >= 6 AS INT) AS is_weekend,
  abs(src_port - dst_port) AS port_diff, CAST(proxy IS NOT NULL AS INT) AS has_proxy,
  CAST(malware IS NOT NULL AS INT) + CAST(alert IS NOT NULL AS INT) + CAST(firewall IS NOT NULL AS INT) + CAST(ids IS NOT NULL AS INT) AS total_alerts"""
     + "".join(f", round(coalesce(t{i}.te, (SELECT avg(y) FROM l)), 6) AS {n}" for i, n in enumerate(("protocol_te", "src_cat_te", "dst_port_te")))

@@ -64,10 +64,10 @@ _REPORT = (
     "classification_report",
     _REPORT
     + """ SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM f
- UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support) FROM f
+ UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT) FROM f
  UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
-  round(sum(f1 * support) / sum(support), 6), sum(support) FROM f
- UNION ALL SELECT 'accuracy', round(sum(hit) / sum(support), 6), round(sum(hit) / sum(support), 6), round(sum(hit) / sum(support), 6), sum(support) FROM f""",
+  round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f
+ UNION ALL SELECT 'accuracy', round(sum(hit) / sum(support), 6), round(sum(hit) / sum(support), 6), round(sum(hit) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f""",
 )
 def _(spark, sf):
     return rounded(M.classification_report(_pred(spark, sf), "label", "prediction"), "precision", "recall", "f1")

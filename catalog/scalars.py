@@ -73,7 +73,7 @@ def _(spark, sf):
 
 @query(
     "time_features",
-    """SELECT event_id, coalesce(hour(t), 12) AS hour, coalesce(isodow(t) - 1, 0) AS dayofweek,
+    """SELECT event_id, CAST(coalesce(hour(t), 12) AS INT) AS hour, CAST(coalesce(isodow(t) - 1, 0) AS INT) AS dayofweek,
  CAST(coalesce(isodow(t) >= 6, false) AS INT) AS is_weekend
  FROM (SELECT event_id, CASE WHEN event_id % 9 <> 0 THEN ts END AS t FROM events) s""",
 )

@@ -207,17 +207,21 @@ def fit_bias_features(
     fitting on all rows leaks the class into the features.
     """
     chosen = [g for g in groups if only is None or g.name in only]
-    model = BiasModel(class_labels(df, target), chosen, tiers=tiers, pars=pars, floor=floor)
+    model = BiasModel([], chosen, tiers=tiers, pars=pars, floor=floor)
     settings = {"tiers": tiers, "pars": pars, "floor": floor}
+    needed = dict.fromkeys(c for g in chosen for c in (*g.binned, *g.keys))
+    # Every bin and crosstab reads the rows once, each only its own columns of this copy.
+    base = store(df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*needed, target])]))
+    model.classes = class_labels(base, target)
     by_value: dict[str, DataFrame] = {}
     for c in dict.fromkeys(c for g in chosen for c in g.binned):
-        by_value[c], bins = min_count_bins(df, c, n_obs)
+        by_value[c], bins = min_count_bins(base, c, n_obs)
         model.bins[c] = store(bins)
     out = df
     for g in chosen:
         keys, name = g.key_columns, crosstab_name(g.key_columns)
         # Only the columns of this group, so a crosstab does not repeat the joins of the others.
-        rows = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*g.binned, *g.keys, target])])
+        rows = base.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*g.binned, *g.keys, target])])
         for c in g.binned:
             rows = attach_bins(rows, by_value[c], c)
         crosstab = crosstab_bias(rows, keys, target, classes=model.classes, null_key=null_key)

@@ -76,8 +76,7 @@ def crosstab_grand_pct(
     """Cells in percent of the grand total."""
     classes = list(classes) if classes is not None else class_labels(df, target)
     counts = crosstab_margins(df, rows, target, classes)
-    kept = df.dropna(subset=[*rows, target])
-    total = row_total(kept)
+    total = counts.agg(F.sum(f"`{N_OBS}`")).scalar()
     return counts.select(
         *[F.col(f"`{c}`") for c in rows],
         *[(F.col(f"`{c}`") * 100.0 / total).alias(str(c)) for c in classes],

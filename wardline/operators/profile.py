@@ -26,7 +26,7 @@ def value_counts(
     present = df.where(F.col(col).isNotNull())
     out = present.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
     if share:
-        out = out.withColumn("share", F.round(F.col("n") * 100.0 / row_total(present.select(col)), 2))
+        out = share_of_total(out)
     if labels is not None:
         label = F.col("value").cast("string")
         for value, text in labels.items():
@@ -225,6 +225,7 @@ def fan_threshold_report(degrees: DataFrame) -> DataFrame:
 
 def suspicious_ips(degrees: DataFrame, prob: float = 0.95) -> DataFrame:
     """Keys whose degree is strictly above the quantile."""
+    degrees = materialize(degrees)  # read for the quantile and for the filter
     cut = exact_quantiles(degrees, "degree", [prob]).select("quantile").scalar()
     return degrees.where(F.col("degree") > cut)
 
@@ -284,7 +285,10 @@ def daily_mode(df: DataFrame, ts: str, cols: Sequence[str]) -> DataFrame:
 
 
 def mode_all_ties(df: DataFrame, ts: str, col: str) -> DataFrame:
-    """``(day, label)``: all values tied for the most rows of the day, ``"{ a + b }"``."""
+    """``(day, label)``: all values tied for the most rows of the day, ``"{ a + b }"``.
+
+    The label lists every tied category, so it is meant for columns with few of them.
+    """
     counts = (
         df.where(F.col(ts).isNotNull() & F.col(col).isNotNull())
         .groupBy(F.to_date(ts).alias("day"), F.col(col).cast("string").alias("value"))
@@ -431,6 +435,6 @@ def top_k_other(df: DataFrame, col: str, n: int, other: str = "other", output: s
 
 
 def share_of_total(counts: DataFrame, n: str = "n", digits: int = 2) -> DataFrame:
-    """Percentage of the column total."""
+    """Percentage of the column total. The total reuses the shuffle of the counts, not the rows."""
     total = counts.agg(F.sum(n)).scalar()
     return counts.withColumn("share", F.round(F.col(n) * 100.0 / total, digits))
