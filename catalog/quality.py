@@ -64,6 +64,7 @@ def _(spark, sf):
   WHEN event_id % 97 = 2 AND 10 + event_id % 19 > 20 THEN 'Timestamp: {Q.FUTURE_DATE}' END,
  CASE WHEN "Source IP Address" IS NULL THEN 'Source IP Address is required' WHEN NOT {_ipv4('"Source IP Address"')} THEN 'Source IP Address: {Q.BAD_IP}' END,
  CASE WHEN {_NUM.format('"Source Port"')} IS NULL THEN 'Source Port must be numeric' WHEN {_NUM.format('"Source Port"')} > 65535 THEN 'Source Port: {Q.BAD_PORT}' END,
+ CASE WHEN packet_length NOT BETWEEN 0 AND 2000 THEN 'Packet Length: {Q.BAD_LENGTH}' END,
  CASE WHEN "Anomaly Scores" = '100.5' THEN 'Anomaly Scores: {Q.BAD_SCORE}' WHEN "Anomaly Scores" = 'high' THEN 'Anomaly Scores must be numeric' END,
  CASE WHEN trim("Protocol") = '' THEN 'Protocol is required and must be TCP or UDP or ICMP' WHEN "Protocol" = 'SCTP' THEN 'Protocol must be TCP or UDP or ICMP' END,
  CASE WHEN "Malware Indicators" = 'maybe' THEN 'Malware Indicators must be None or IoC Detected' END,
