@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from wardline.operators import binning as B
 
-from .base import WITH_LOG, netlog, query, rounded, table
+from .base import WITH_LOG, netlog, query, table
 
 _CUT = """CASE WHEN {0} > 0 AND {0} <= 64 THEN '0-64' WHEN {0} > 64 AND {0} <= 128 THEN '64-128' WHEN {0} > 128 AND {0} <= 256 THEN '128-256'
  WHEN {0} > 256 AND {0} <= 512 THEN '256-512' WHEN {0} > 512 AND {0} <= 1024 THEN '512-1024' WHEN {0} > 1024 AND {0} <= 2048 THEN '1024-2048'

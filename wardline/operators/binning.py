@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, store
 from .joins import attach
-from .ordered import exact_quantiles, floor_lookup, ordered_counts, running
+from .ordered import exact_quantiles, floor_lookup, ordered_counts
 
 # Packet length edges and labels, score quartile labels.
 PACKET_EDGES = (0, 64, 128, 256, 512, 1024, 2048, math.inf)

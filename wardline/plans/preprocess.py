@@ -9,7 +9,6 @@ from ..functions.encoding import SEVERITY_ORDER, equals_flag, null_flag, ordinal
 from ..functions.network import ipv4_prefix
 from ..functions.text import signature_prefix, split_city_state
 from ..functions.timeparts import parse_ts, serving_time_buckets, time_buckets, time_indicators
-from ..functions.useragent import device_type
 from ..operators.columns import drop_columns, equality_indicator, rename_columns
 from ..operators.lookup import ip_geolocate_all, parse_user_agent
 from ..operators.profile import daily_mode
