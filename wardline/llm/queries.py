@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 
 from .chat import canonical_turns, format_turns, read_back
 from .exact import exact_groups
+from .line_templates import drop_recurring_lines
 from .packing import pack
+from .quality import fit_quality, held_out, score_quality
+from .secret_scan import scan_secrets
 from .simhash import near_duplicate_groups
+from .suffix_dedup import remove_repeats
 from .url_cascade import Cascade, rule_of, url_host, url_path
 from .wu_manber import benchmark_hits
 
@@ -137,3 +141,54 @@ def op6_decontaminate(spark, sf):
 @query("op9_pack")
 def op9_pack(spark, sf):
     return pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), size=2048)
+
+
+@query("op10_suffix_dedup")
+def op10_suffix_dedup(spark, sf):
+    return remove_repeats(table(spark, sf, "documents"), length=100, digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+@query("op3_quality")
+def op3_quality(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = fit_quality(docs, table(spark, sf, "labels"), "quality")
+    scored = docs.select("doc_id", held_out().alias("held_out"), score_quality(docs, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query("op8_secret_scan")
+def op8_secret_scan(spark, sf):
+    scanned = scan_secrets(table(spark, sf, "documents"))
+    joined = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return scanned.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+    )
+
+
+@query(
+    "op1_line_dedup",
+    r"""WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
+ unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS line_no FROM documents),
+ f AS (SELECT doc_id, line_no, raw,
+ regexp_replace(regexp_replace(trim(translate(raw, chr(9) || chr(13) || chr(12) || chr(11), '    '), ' '), '  +', ' ', 'g'), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS masked FROM l),
+ k AS (SELECT *, string_split(masked, ' ') AS tokens FROM f),
+ c AS (SELECT *, len(tokens) AS n, tokens[1:3] AS lead FROM k WHERE masked <> '' AND len(tokens) >= 4),
+ d AS (SELECT DISTINCT n, lead, masked, tokens FROM c),
+ v AS (SELECT n, lead, place, token, count(*) AS votes FROM (SELECT n, lead, unnest(tokens) AS token, unnest(range(n)) AS place FROM d) GROUP BY ALL),
+ t AS (SELECT n, lead, place, arg_min(token, (-votes, token)) AS token FROM v GROUP BY ALL),
+ e AS (SELECT n, lead, list(token ORDER BY place) AS centre FROM t GROUP BY ALL),
+ a AS (SELECT d.n, d.lead, d.masked,
+ CASE WHEN len(list_filter(list_zip(d.tokens, e.centre), lambda x: x[1] = x[2])) >= CAST(0.6 AS DOUBLE) * d.n THEN '' ELSE d.masked END AS own
+ FROM d JOIN e ON d.n = e.n AND d.lead = e.lead),
+ r AS (SELECT a.n, a.lead, a.own FROM c JOIN a ON c.n = a.n AND c.lead = a.lead AND c.masked = a.masked
+ GROUP BY a.n, a.lead, a.own HAVING count(DISTINCT c.doc_id) >= 10),
+ g AS (SELECT a.masked FROM a JOIN r ON a.n = r.n AND a.lead = r.lead AND a.own = r.own)
+ SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN g.masked IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
+ sha256(coalesce(string_agg(raw, chr(10) ORDER BY line_no) FILTER (g.masked IS NULL), '')) AS kept_sha256
+ FROM f LEFT JOIN g ON f.masked = g.masked GROUP BY doc_id""",
+)
+def op1_line_dedup(spark, sf):
+    kept = drop_recurring_lines(table(spark, sf, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
