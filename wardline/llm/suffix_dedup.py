@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,7 +147,7 @@ def _cut(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(size), buffers)
 
 
-def _surroundings(length: int, gram: int):
+def _surroundings(length: int):
     """Around each anchor the text of its windows: bytes from the anchor on, bytes before it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,12 +161,10 @@ def _surroundings(length: int, gram: int):
                     place, row = every[i : i + _CHUNK_ROWS], doc[i : i + _CHUNK_ROWS]
                     at = offsets[row] + (place >> 16)
                     left, right = (place >> 8) & 255, length - (place & 255)
-                    gram_bytes = data[at[:, None] + np.arange(gram)]
-                    hashed = np.array([xxhash.xxh3_64_intdigest(x) for x in gram_bytes.view(f"V{gram}").ravel().tolist()], np.uint64)
                     own = batch.column(0).slice(first, end - first).take(pa.array(row))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(hashed.view(np.int64)), _cut(data, at, right), _cut(data, at - left, left), own, pa.array((place >> 16) - left)],
-                        ["hash", "right", "left", "doc", "low"],
+                        [_cut(data, at, right), _cut(data, at - left, left), own, pa.array((place >> 16) - left)],
+                        ["right", "left", "doc", "low"],
                     )
 
     return run
@@ -197,20 +195,22 @@ def _matrix(column: pa.Array, width: int, reverse: bool = False) -> tuple[np.nda
 
 
 class _Induction:
-    """Repeated windows of one chunk of rows, sorted by anchor hash, right and left text, document and place."""
+    """Repeated windows of one chunk of rows, sorted by right and left text, document and place."""
 
     def __init__(self, length: int, gram: int, max_group: int):
-        self.length, self.reach, self.max_group = length, length - gram + 1, max_group
-        self.crowded: int | None = None  # hash of an anchor whose rows were handed on as windows
+        self.length, self.gram, self.reach, self.max_group = length, gram, length - gram + 1, max_group
+        self.crowded: bytes | None = None  # an anchor whose rows were handed on as windows
 
     def rows(self, table: pa.Table) -> Iterator[pa.RecordBatch]:
         table = table.combine_chunks()
         column = lambda n: table.column(n).chunk(0) if table.column(n).num_chunks else None
         if not table.num_rows:
             return
-        keys, doc, low = (column(n).to_numpy(zero_copy_only=False) for n in ("hash", "doc", "low"))
+        doc, low = (column(n).to_numpy(zero_copy_only=False) for n in ("doc", "low"))
         right, n_right = _matrix(column("right"), self.length)
         left, n_left = _matrix(column("left"), self.reach, reverse=True)
+        # Rows of one anchor are neighbours, as the right side starts with it.
+        keys = np.concatenate(([0], np.cumsum((right[1:, : self.gram] != right[:-1, : self.gram]).any(axis=1))))
         copy = np.zeros(len(keys), bool)
         copy[1:] = (
             (keys[1:] == keys[:-1]) & (n_right[1:] == n_right[:-1]) & (n_left[1:] == n_left[:-1])
@@ -221,7 +221,9 @@ class _Induction:
             yield _marks(doc[copy], low[copy], (low + n_left + n_right)[copy])
         _, group, count = np.unique(keys[~copy], return_inverse=True, return_counts=True)
         single = np.flatnonzero(~copy)
-        crowded = (count[group] > self.max_group) | (keys[single] == self.crowded if self.crowded is not None else False)
+        crowded = count[group] > self.max_group
+        if self.crowded is not None:
+            crowded |= (right[single, : self.gram] == np.frombuffer(self.crowded, np.uint8)).all(axis=1)
         keep, big = single[(count[group] > 1) & ~crowded], single[crowded]
         if len(big):
             for i in range(0, len(big), 2_000):
@@ -307,35 +309,40 @@ class _Induction:
         lows = np.array(lows, np.int64)
         yield _marks(np.array(docs), lows, lows + self.length, np.frombuffer(b"".join(keys), ">u8").astype(np.uint64).reshape(-1, 2))
 
+    def last_anchor(self, table: pa.Table) -> int:
+        """First row of the last anchor."""
+        last = table.column("right")[-1].as_py()[: self.gram]
+        low, high = 0, table.num_rows - 1
+        while low < high:
+            middle = (low + high) // 2
+            if table.column("right")[middle].as_py()[: self.gram] < last:
+                low = middle + 1
+            else:
+                high = middle
+        return low
+
     def stream(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        n_held = 0
+        self.crowded, held, n_held = None, [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, _CHUNK_ROWS):
-                part = batch.slice(at, _CHUNK_ROWS)
-                keys = part.column(0).to_numpy(zero_copy_only=False)
-                cut = int(np.flatnonzero(keys == keys[-1])[0])
-                if n_held + cut >= _CHUNK_ROWS and cut:
-                    yield from self.rows(pa.Table.from_batches([*held, part.slice(0, cut)]))
-                    held, n_held = [], 0
-                    part = part.slice(cut)
-                held.append(part)
-                n_held += part.num_rows
-                if n_held > 4 * self.max_group + _CHUNK_ROWS:
-                    # One anchor fills it all: drop its copies; with too many rows left hand on their windows.
-                    table = pa.Table.from_batches(held)
-                    keys = table.column(0).to_numpy()
-                    cut = int(np.flatnonzero(keys == keys[-1])[0])
+                held.append(batch.slice(at, _CHUNK_ROWS))
+                n_held += held[-1].num_rows
+                if n_held < _CHUNK_ROWS:
+                    continue
+                table = pa.Table.from_batches(held)
+                cut = self.last_anchor(table)
+                if cut:
                     yield from self.rows(table.slice(0, cut))
-                    distinct, copies = self.without_copies(table.slice(cut))
+                    table = table.slice(cut)
+                elif n_held > 4 * self.max_group + _CHUNK_ROWS:
+                    # One anchor fills it all: drop its copies; with too many rows left hand on their windows.
+                    table, copies = self.without_copies(table)
                     yield copies
-                    if distinct.num_rows > self.max_group:
-                        self.crowded = int(keys[-1])
-                        yield from self.rows(distinct)
-                        held = []
-                    else:
-                        held = distinct.to_batches()
-                    n_held = sum(h.num_rows for h in held)
+                    if table.num_rows > self.max_group:
+                        self.crowded = table.column("right")[0].as_py()[: self.gram]
+                        yield from self.rows(table)
+                        table = table.slice(0, 0)
+                held, n_held = table.to_batches(), table.num_rows
         if held:
             yield from self.rows(pa.Table.from_batches(held))
 
@@ -352,29 +359,39 @@ class _Induction:
         return table.filter(pa.array(~copy)), _marks(doc[copy], low[copy], (low + n_left + n_right)[copy])
 
 
-def _spans(marks: DataFrame, length: int) -> DataFrame:
-    """Marked stretches ``(doc, low, high)``; windows given by their hash are compared first."""
-    direct = marks.where("key1 IS NULL").select("doc", "low", "high")
-    hashed = marks.where("key1 IS NOT NULL")
-    if hashed.isEmpty():
-        return direct
-    first = hashed.groupBy("key1", "key2").agg(F.min(F.struct("doc", "low")).alias("first"))
-    later = hashed.join(first, ["key1", "key2"]).where(F.struct("doc", "low") > F.col("first"))
-    return direct.unionByName(later.select("doc", "low", "high"))
+def _spans(marks: DataFrame) -> DataFrame:
+    """Marked stretches ``(doc, low, high)``; of windows given by their hash all but the earliest."""
+    own = [F.coalesce("key1", "doc"), F.coalesce("key2", F.lit(0))]
+    first = F.min(F.when(F.col("key1").isNotNull(), F.struct("doc", "low"))).over(Window.partitionBy(*own))
+    later = marks.withColumn("first", first).where("key1 IS NULL OR struct(doc, low) > first")
+    return later.select("doc", "low", "high")
+
+
+def _copies(docs: DataFrame, length: int) -> DataFrame:
+    """``(doc, n_bytes)`` of the documents of ``length`` bytes or more whose whole text is that of an earlier one."""
+    rows = docs.select("doc", F.octet_length("text").cast("long").alias("n_bytes"), F.md5(F.col("text").cast("binary")).alias("digest"))
+    rows = rows.where(F.col("n_bytes") >= length)
+    first = rows.groupBy("digest", "n_bytes").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return rows.join(first, ["digest", "n_bytes"]).where("doc > first").select("doc", "n_bytes")
 
 
 def repeated_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, max_group: int = MAX_GROUP) -> DataFrame:
-    """``(doc, low, high)``: stretches of bytes covered by repeated windows, from ``(doc long, text)`` with distinct ids.
-    They may overlap and come in any order; their union is what is to be removed."""
-    rows = docs.select("doc", "text").mapInArrow(_anchor_rows(length, gram), "hash long, doc long, place long")
+    """``(doc, spans)`` from ``(doc long, text)`` with distinct ids and no null: stretches ``struct(low, high)`` of bytes
+    covered by repeated windows. They may overlap and come in any order; their union is what is to be removed.
+
+    Copies of whole texts are found by length and digest and go as one stretch; only the first is cut up.
+    """
+    copies = store(_copies(docs, length))
+    rows = docs.mapInArrow(_anchor_rows(length, gram), "hash long, doc long, place long")
     sorted_rows = rows.repartition("hash").sortWithinPartitions("hash")
     places = sorted_rows.mapInArrow(_repeated, "doc long, place long").groupBy("doc").agg(F.collect_list("place").alias("places"))
-    around = docs.select("doc", "text").join(places, "doc").select("doc", "text", "places").mapInArrow(
-        _surroundings(length, gram), "hash long, right binary, left binary, doc long, low long"
-    )
-    shards = around.repartition("hash").sortWithinPartitions("hash", "right", "left", "doc", "low")
-    induction = _Induction(length, gram, max_group)
-    return _spans(store(shards.mapInArrow(induction.stream, _MARKS)), length)
+    places = places.join(copies, "doc", "left_anti")
+    cut = docs.join(places, "doc").select("doc", "text", "places")
+    around = cut.mapInArrow(_surroundings(length), "right binary, left binary, doc long, low long")
+    shards = around.repartition(F.xxhash64(F.substring("right", 1, gram))).sortWithinPartitions("right", "left", "doc", "low")
+    marks = _spans(shards.mapInArrow(_Induction(length, gram, max_group).stream, _MARKS))
+    marks = marks.unionByName(copies.select("doc", F.lit(0).cast("long").alias("low"), F.col("n_bytes").alias("high")))
+    return marks.groupBy("doc").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
 
 
 def _removed(digest: bool):
@@ -423,21 +440,21 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, m
     """
     text = F.coalesce("text", F.lit("")).alias("text")
     kind = docs.schema["doc_id"].dataType
-    whole = isinstance(kind, (T.LongType, T.IntegerType, T.ShortType, T.ByteType))
-    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    if whole and ids.where("n > 1 OR doc_id IS NULL").isEmpty():
-        keyed = docs.select(F.col("doc_id").cast("long").alias("doc"), text)
-        own = docs.select(F.col("doc_id").alias("__id"), F.col("doc_id").cast("long").alias("doc"), text)
-        distinct = keyed
-    else:
-        hashed = docs.select(F.col("doc_id").alias("__id"), text).withColumn("__hash", F.xxhash64("text"))
-        order = hashed.select("__id", "__hash").distinct().withColumn("n", F.lit(1).cast("long"))
-        order = store(running(order, ["__id", "__hash"], sums=["n"]).select(F.col("__id").alias("__i"), F.col("__hash").alias("__h"), F.col("n_before").alias("doc")))
-        same = F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__hash") == F.col("__h"))
-        own = store(hashed.join(order, same).select("__id", "doc", "text"))
-        distinct = own.groupBy("doc").agg(F.first("text").alias("text"))
-    spans = repeated_spans(distinct, length=length, gram=gram, max_group=max_group)
-    by_doc = spans.groupBy("doc").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    joined = own.join(by_doc, "doc", "left").select("__id", "text", "spans")
+    parameters = {"length": length, "gram": gram, "max_group": max_group}
     schema = f"doc_id {kind.simpleString()}, n_bytes long, n_removed long, n_spans long, kept {'string' if digest else 'binary'}"
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if isinstance(kind, T.LongType) and ids.where("n > 1 OR doc_id IS NULL").isEmpty():
+        # No id is null here; saying so makes both joins read the same shuffle of the texts.
+        rows = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("doc"), text)
+        joined = rows.join(repeated_spans(rows, **parameters), "doc", "left").select("doc", "text", "spans")
+        return joined.mapInArrow(_removed(digest), schema)
+    # Other ids are numbered in their order first.
+    hashed = docs.select(F.col("doc_id").alias("__id"), text).withColumn("__hash", F.xxhash64("text"))
+    order = hashed.select("__id", "__hash").distinct().withColumn("n", F.lit(1).cast("long"))
+    order = running(order, ["__id", "__hash"], sums=["n"])
+    order = store(order.select(F.col("__id").alias("__i"), F.col("__hash").alias("__h"), F.col("n_before").alias("doc")))
+    same = F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__hash") == F.col("__h"))
+    own = store(hashed.join(order, same).select("__id", "doc", "text"))
+    rows = own.groupBy("doc").agg(F.first("text").alias("text"))
+    joined = own.join(repeated_spans(rows, **parameters), "doc", "left").select("__id", "text", "spans")
     return joined.mapInArrow(_removed(digest), schema)
