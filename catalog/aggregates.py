@@ -304,7 +304,12 @@ def _(spark, sf):
 
 @query("pivot_daily", WITH_LOG + " SELECT CAST(ts AS DATE) AS day, " + _counts("", ("ICMP", "TCP", "UDP"), "protocol") + " FROM netlog GROUP BY 1")
 def _(spark, sf):
-    return P.pivot_daily(netlog(spark, sf), "ts", "protocol")
+    return P.pivot_daily(netlog(spark, sf), "ts", "protocol", ["ICMP", "TCP", "UDP"])
+
+
+@query("pivot_daily_open", WITH_LOG + " SELECT CAST(ts AS DATE) AS day, src_port AS value, count(*) AS n FROM netlog GROUP BY 1, 2")
+def _(spark, sf):
+    return P.pivot_daily(netlog(spark, sf), "ts", "src_port")
 
 
 @query(

@@ -96,6 +96,11 @@ def _(spark, sf):
     return C.label_decode(encoded.drop("event_type"), codes, "event_type").select("event_id", "event_type")
 
 
+@query("label_encode_numbers", "SELECT event_id, user_id, CAST(dense_rank() OVER (ORDER BY user_id) - 1 AS INT) AS label FROM events")
+def _(spark, sf):
+    return C.label_encode(table(spark, sf, "events").select("event_id", "user_id"), "user_id")[0]
+
+
 @query(
     "one_hot_labels",
     """SELECT event_id, CAST(event_type = 'click' AS INT) AS event_type_click, CAST(event_type = 'view' AS INT) AS event_type_view
@@ -109,7 +114,7 @@ def _(spark, sf):
 @query(
     "category_codes",
     WITH_LOG
-    + """, s AS (SELECT event_id, protocol, malware, CAST(dst_port AS STRING) AS dp FROM netlog)
+    + """, s AS (SELECT event_id, protocol, malware, dst_port AS dp FROM netlog)
  SELECT event_id, CAST(dense_rank() OVER (ORDER BY protocol) - 1 AS BIGINT) AS protocol_code,
  CAST(CASE WHEN malware IS NULL THEN -1 ELSE 0 END AS BIGINT) AS malware_code,
  CAST(dense_rank() OVER (ORDER BY dp) - 1 AS BIGINT) AS dst_port_code FROM s""",

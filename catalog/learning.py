@@ -171,7 +171,7 @@ def _fit(spark, sf, estimator):
 @query("logit")
 def _(spark, sf):
     train, test = _split(spark, sf)
-    model = L.logit(n_train=train.count(), maxIter=50).fit(train)
+    model = L.logit(n_train=train.count()).fit(train)
     return L.predict(model, test).select("event_id", "label", "prediction")
 
 
@@ -205,21 +205,21 @@ def _(spark, sf):
 
 @query("cv_score")
 def _(spark, sf):
-    return L.cv_score(_vectors(spark, sf), L.decision_tree(maxDepth=5), "event_id", k=3)
+    return L.cv_score(_vectors(spark, sf), L.decision_tree(), "event_id", k=5)
 
 
 @query("compare_models")
 def _(spark, sf):
     train, test = _split(spark, sf)
     return L.compare_models(
-        train, test, {"tree": L.decision_tree(maxDepth=6), "forest": L.random_forest(numTrees=5, maxDepth=5)}
+        train, test, {"tree": L.decision_tree(), "forest": L.random_forest(numTrees=5, maxDepth=5)}
     )
 
 
 @query("predict")
 def _(spark, sf):
     train, test = _split(spark, sf)
-    scored = L.predict(L.decision_tree(maxDepth=6).fit(train), test)
+    scored = L.predict(L.decision_tree().fit(train), test)
     name, confidence = class_confidence("probability", ["long", "third", "other"])
     return scored.select("event_id", "prediction", name.alias("class"), confidence.alias("confidence"))
 
@@ -227,7 +227,7 @@ def _(spark, sf):
 @query("batch_score")
 def _(spark, sf):
     train, test = _split(spark, sf)
-    return L.batch_score(L.decision_tree(maxDepth=6).fit(train), test, "label")[1]
+    return L.batch_score(L.decision_tree().fit(train), test, "label")[1]
 
 
 @query("feature_importance")
@@ -245,7 +245,7 @@ def _(spark, sf):
     path = scratch_path(spark, "bundle")
     rows = _vectors(spark, sf)
     classes = rows.groupBy("label").agg(F.count("*").alias("n"))
-    save_model_bundle(L.decision_tree(maxDepth=3).fit(rows), {"classes": classes}, path, {"features": list(_NUMERIC)})
+    save_model_bundle(L.decision_tree().fit(rows), {"classes": classes}, path, {"features": list(_NUMERIC)})
     return load_model_bundle(spark, path)[1]["classes"]
 
 
@@ -253,17 +253,17 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch_path(spark, "bundle")
     train, test = _split(spark, sf)
-    fit = lambda: (L.decision_tree(maxDepth=6).fit(train), {}, {"features": list(_NUMERIC)})
+    fit = lambda: (L.decision_tree().fit(train), {}, {"features": list(_NUMERIC)})
     load_model_bundle(spark, path, fit)  # trains and saves
     model, _, _ = load_model_bundle(spark, path)
     return L.predict(model, test).select("event_id", "label", "prediction")
 
 
 def _bias_model(spark, sf, **settings):
-    """Trained on raw rows prepared as they are for scoring, with three of the seven groups."""
+    """Trained on raw rows prepared as they are for scoring, with all groups that need no geolocation."""
     return train_bias_classifier(
-        serving_preprocess(raw_log(spark, sf)), "Attack Type", "event_id", lambda n: L.logit(n_train=n, maxIter=20),
-        groups=RAW_ROW_GROUPS, only=("length", "network", "time"), **settings,
+        serving_preprocess(raw_log(spark, sf)), "Attack Type", "event_id", lambda n: L.logit(n_train=n),
+        groups=RAW_ROW_GROUPS, **settings,
     )
 
 

@@ -16,7 +16,7 @@ from wardline.sources.tables import (
     write_parquet_coerced,
 )
 
-from .base import WITH_LOG, netlog, query, raw_log, table
+from .base import RAW_NAMES, WITH_LOG, netlog, query, raw_log, table
 
 
 @query("read_parquet", "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders")
@@ -24,25 +24,19 @@ def _(spark, sf):
     return read_parquet(spark, f"{sf}/orders.parquet").select("o_orderkey", "o_orderpriority", "o_totalprice")
 
 
-@query(
-    "read_raw_csv",
-    WITH_LOG
-    + """ SELECT src_ip, dst_ip, src_port, dst_port, packet_length, anomaly, attack_type, malware, device, geo, proxy,
- date_trunc('second', ts) AS ts FROM netlog""",
-)
+_RAW_SQL = ", ".join(f"{'date_trunc(\'second\', ts)' if c == 'ts' else c} AS {c}" for c in RAW_NAMES)
+
+
+@query("read_raw_csv", WITH_LOG + f" SELECT {_RAW_SQL}, CAST(NULL AS VARCHAR) AS payload, CAST(NULL AS VARCHAR) AS user_info FROM netlog")
 def _(spark, sf):
     path = scratch_path(spark, "raw-csv")
     raw = raw_log(spark, sf, keep_id=False)
-    write_csv(raw.select(*[F.col(f"`{n}`") for n, _ in RAW_COLUMNS]), path)
+    # Written in another order than the fixed one: the header decides.
+    write_csv(raw.select(*[F.col(f"`{n}`") for n, _ in reversed(RAW_COLUMNS)]), path)
     c = lambda n: F.col(f"`{n}`")
-    return read_raw_csv(spark, path).select(
-        c("Source IP Address").alias("src_ip"), c("Destination IP Address").alias("dst_ip"),
-        c("Source Port").alias("src_port"), c("Destination Port").alias("dst_port"),
-        c("Packet Length").alias("packet_length"), c("Anomaly Scores").alias("anomaly"),
-        c("Attack Type").alias("attack_type"), c("Malware Indicators").alias("malware"),
-        c("Device Information").alias("device"), c("Geo-location Data").alias("geo"),
-        c("Proxy Information").alias("proxy"), c("Timestamp").cast("timestamp_ntz").alias("ts"),
-    )
+    named = {k: c(n).cast("timestamp_ntz") if k == "ts" else c(n) for k, n in RAW_NAMES.items()}
+    named |= {"payload": c("Payload Data"), "user_info": c("User Information")}
+    return read_raw_csv(spark, path).select(*[v.alias(k) for k, v in named.items()])
 
 
 @query(

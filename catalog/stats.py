@@ -38,16 +38,13 @@ _CODED = ("l_linenumber", "l_tax", "l_discount", "l_returnflag", "l_linestatus",
 
 @query(
     "chi_square_codes",
-    # Codes follow the text order of the values. A record of first values only would give null on both sides.
-    f"""WITH t AS (SELECT {', '.join(f"CAST({c} AS STRING) AS {c}" for c in _CODED[:-1])}, concat(CAST(l_suppkey AS STRING), 's') AS l_suppkey FROM lineitem),
- k AS (SELECT {', '.join(f'CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS DOUBLE) AS {c}' for c in _CODED)} FROM t),
+    f"""WITH k AS (SELECT {', '.join(f'CAST(dense_rank() OVER (ORDER BY {c}) - 1 AS DOUBLE) AS {c}' for c in _CODED)} FROM lineitem),
  r AS (SELECT *, {' + '.join(_CODED)} AS c FROM k),
  a AS (SELECT count(*) AS n, min(c) AS smallest, sum(c) AS total, {', '.join(f'sum({c} * {c} / nullif(c, 0)) / sum({c}) AS q_{c}' for c in _CODED)} FROM r)
  SELECT CASE WHEN smallest > 0 THEN round(total * ({' + '.join(f'q_{c}' for c in _CODED)}) - total, 3) END AS statistic, (n - 1) * {len(_CODED) - 1} AS dof FROM a""",
 )
 def _(spark, sf):
-    rows = table(spark, sf, "lineitem").withColumn("l_suppkey", F.concat(F.col("l_suppkey").cast("string"), F.lit("s")))
-    return rounded(S.chi_square_codes(rows, _CODED), "statistic", digits=3)
+    return rounded(S.chi_square_codes(table(spark, sf, "lineitem"), _CODED), "statistic", digits=3)
 
 
 _FEATURES = ("protocol", "severity", "segment", "log_source", "dst_port")
@@ -72,10 +69,21 @@ def _(spark, sf):
     return rounded(S.chi_square_features(netlog(spark, sf), _FEATURES, "attack_type"), "statistic", digits=4)
 
 
-@query("chi_square_pvalues")
+_OPEN = (*_FEATURES, "src_port")
+
+
+@query(
+    "chi_square_pvalues",
+    # With three classes the degrees of freedom are even, so the upper tail is a finite sum.
+    WITH_LOG
+    + _MARGINS.replace("cells AS (", "cells AS (SELECT * FROM " + _cells("src_port") + " UNION ALL ", 1)
+    + """, x AS (SELECT feature, max(t) * (sum(n * n / (nv * nc)) - 1) AS statistic, (count(DISTINCT v) - 1) * (count(DISTINCT c) - 1) AS dof FROM m GROUP BY feature),
+ p AS (SELECT *, list_sum(list_transform(range(0, dof // 2), lambda i: exp(i * ln(statistic / 2) - statistic / 2 - lgamma(i + 1)))) AS p_value FROM x)
+ SELECT feature, round(statistic, 4) AS statistic, dof, round(p_value, 6) AS p_value, p_value < 0.05 AS significant FROM p""",
+)
 def _(spark, sf):
-    out = S.chi_square_pvalues(netlog(spark, sf), _FEATURES, "attack_type")
-    return rounded(out, "statistic", "p_value")
+    out = rounded(S.chi_square_pvalues(netlog(spark, sf), _OPEN, "attack_type"), "statistic", digits=4)
+    return rounded(out, "p_value")
 
 
 @query(

@@ -100,3 +100,19 @@ def test_bin_equal_count_keeps_equal_values_together(spark):
     df = spark.createDataFrame([(1,)] * 50 + [(2,)] * 10 + [(3,)] * 40, "v int")
     got = {(r.v, r.v_lo, r.v_hi) for r in B.bin_equal_count(df, "v", 2).collect()}
     assert got == {(1, 1, 1), (2, 2, 3), (3, 2, 3)}
+
+
+def test_trained_bins_compare_numbers_across_types(spark):
+    bins = spark.createDataFrame([(1, 5), (8, 20)], "lo int, hi int")
+    values = spark.createDataFrame([(1.0,), (5.0,), (8.5,), (0.2,), (6.0,), (99.0,), (None,)], "v double")
+    got = {r.v: (r.v_lo, r["v classes"]) for r in B.assign_trained_bins(values, "v", bins).collect()}
+    assert got[1.0] == got[5.0] == got[0.2] == (1, "class : 1 - 5")
+    assert got[8.5] == got[6.0] == got[99.0] == (8, "class : 8 - 20")
+    assert got[None] == (None, None)
+
+
+def test_overlapping_ranges_are_an_error(spark):
+    values = spark.createDataFrame([(50,)], "v int")
+    for ranges in ([(0, 100), (10, 20)], [(0, 5), (0, 9)], [(0, 10), (10, 20)]):
+        with pytest.raises(ValueError, match="overlap"):
+            B.range_lookup(values, "v", spark.createDataFrame(ranges, "lo int, hi int"), "lo", "hi", [])

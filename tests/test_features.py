@@ -101,3 +101,16 @@ def test_null_key_category_scores(spark):
     df = spark.createDataFrame([(None, "A")] * 20 + [("v", "B")] * 20, "k string, c string")
     out, _ = B.fit_bias_features(df, "c", [B.BiasGroup("g", keys=("k",))], null_key="nan")
     assert {(r.k, r["k , bias A"], r["k , bias B"]) for r in out.collect()} == {(None, 6, 0), ("v", 0, 6)}
+
+
+def test_trained_levels_hold_for_null_keys_and_other_types(spark):
+    rows = spark.range(300).selectExpr(
+        "CAST(id AS INT) AS id", "CASE WHEN id % 2 = 0 THEN 'k' END AS k", "CAST(id % 3 AS INT) AS p", "CASE WHEN id % 2 = 1 THEN 'A' ELSE 'B' END AS t"
+    )
+    groups = [B.BiasGroup("k", keys=("k",)), B.BiasGroup("p", binned=("p",), keys=("k",))]
+    fitted, model = B.fit_bias_features(rows, "t", groups, n_obs=15, null_key="none")
+    names = model.feature_columns
+    applied = B.apply_bias_features(rows.withColumn("p", rows["p"].cast("double")), model)
+    want = {r.id: tuple(r[n] for n in names) for r in fitted.collect()}
+    assert {r.id: tuple(r[n] for n in names) for r in applied.collect()} == want
+    assert any(any(v) for v in want.values())

@@ -159,7 +159,7 @@ def test_raw_csv_with_commas_quotes_and_line_breaks(spark, tmp_path):
     row = {n: None for n in names} | {"Timestamp": "2023-05-30 06:33:58", "Source Port": "31225",
                                       "Payload Data": 'said "hi",\nthen left', "Anomaly Scores": "28.67"}
     write_csv(spark.createDataFrame([tuple(row[n] for n in names)], raw_schema(as_text=True)), str(tmp_path / "raw"))
-    got = read_raw_csv(spark, str(tmp_path / "raw")).collect()
+    got = read_raw_csv(spark, str(tmp_path / "raw"), multi_line=True).collect()
     assert len(got) == 1 and got[0]["Payload Data"] == row["Payload Data"]
     assert got[0]["Source Port"] == 31225 and str(got[0]["Timestamp"]) == "2023-05-30 06:33:58"
 
@@ -174,3 +174,23 @@ def test_checkpoint_table_builds_once(spark, tmp_path):
     for _ in range(2):
         assert checkpoint_table(spark, str(tmp_path / "t"), build).count() == 5
     assert calls == [1]
+
+
+def test_raw_csv_takes_columns_by_header(spark, tmp_path):
+    names = raw_schema(as_text=True).fieldNames()
+    rows = [tuple(str(1000 * i + k) for k in range(len(names))) for i in range(2000)]
+    table = spark.createDataFrame(rows, raw_schema(as_text=True)).coalesce(1)
+    write_csv(table.select(*[f"`{n}`" for n in sorted(names)]), str(tmp_path / "raw"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        got = read_raw_csv(spark, str(tmp_path / "raw"), corrupt="bad")
+        assert got.rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got.columns == [*names, "bad"]
+    first = got.where("`Source Port` = 3").first()
+    assert first["Destination Port"] == 4 and first["Log Source"] == "24"
+    assert first["bad"] is not None  # "0" is no timestamp
+    write_csv(table.drop("Log Source"), str(tmp_path / "short"))
+    with pytest.raises(ValueError, match="Log Source"):
+        read_raw_csv(spark, str(tmp_path / "short"))

@@ -3,6 +3,8 @@ from datetime import datetime
 
 import numpy as np
 import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
 
 from wardline.operators import crosstab as X
@@ -12,6 +14,7 @@ from wardline.operators import lookup as L
 from wardline.operators import profile as P
 from wardline.operators import stats as S
 from wardline.operators import windows as R
+from wardline.operators.columns import category_codes, label_encode
 from wardline.operators.joins import attach
 
 
@@ -105,11 +108,62 @@ def test_chi_square_codes_zero_record_is_null(spark):
 def test_chi_square_agrees_with_the_library(spark):
     df = spark.range(600).selectExpr("id % 4 AS a", "CAST(id * id % 7 AS INT) AS b", "id % 3 AS t")
     ours = {r.feature: (r.statistic, r.dof) for r in S.chi_square_features(df, ["a", "b"], "t").collect()}
+    ready = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    tested = ChiSquareTest.test(ready.withColumn("label", df["t"].cast("double")), "features", "label").first()
     for r in S.chi_square_pvalues(df, ["a", "b"], "t").collect():
+        i = ["a", "b"].index(r.feature)
         assert (r.statistic, r.dof) == pytest.approx(ours[r.feature], abs=1e-6)
+        assert (r.statistic, r.dof, r.p_value) == pytest.approx((tested.statistics[i], tested.degreesOfFreedom[i], tested.pValues[i]))
         assert r.significant == (r.p_value < 0.05)
 
 
+def test_chi_square_upper_tail():
+    # Known values of the distribution, whole and half numbers of dof / 2.
+    assert S.chi_square_upper(3.841458820694124, 1) == pytest.approx(0.05)
+    assert S.chi_square_upper(5.991464547107979, 2) == pytest.approx(0.05)
+    assert S.chi_square_upper(11.070497693516351, 5) == pytest.approx(0.05)
+    assert S.chi_square_upper(131070.0, 131070) == pytest.approx(0.5, abs=1e-3)
+    assert S.chi_square_upper(0.0, 4) == 1.0
+
+
+def test_many_values_are_no_obstacle(spark):
+    df = spark.range(20_000).selectExpr("id AS v", "id % 3 AS t", "timestamp'2024-01-01' AS ts")
+    assert P.pivot_daily(df, "ts", "v").count() == 20_000
+    assert P.strip_points(df, "t", "v").agg({"class_rank": "max"}).first()[0] == 19_999
+    assert S.chi_square_pvalues(df, ["v"], "t").first().dof == 2 * 19_999
+
+
+def test_numbers_are_ranked_as_numbers(spark):
+    df = spark.createDataFrame([(10, 2.5), (9, 10.0), (2, None), (None, 2.5)], "k int, x double")
+    encoded, codes = label_encode(df, "k")
+    assert {r.k: r.label for r in encoded.collect()} == {2: 0, 9: 1, 10: 2, None: None}
+    assert codes.schema["k"].dataType == df.schema["k"].dataType
+    assert [r.x_code for r in category_codes(df, ["x"]).orderBy("k").collect()] == [0, -1, 1, 0]
+
+
+def test_nan_is_a_missing_value(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,)], "x double")
+    r = P.describe(df, ["x"]).first()
+    assert (r.n, r.mean, r.min, r.median, r.max) == (2, 2.0, 1.0, 2.0, 3.0)
+
+
+def test_null_keys_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr("wardline.operators.joins.is_small", lambda *_: False)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(8000).selectExpr("id", "CASE WHEN id % 10 = 0 THEN id % 7 END AS k")
+        out = attach(df, spark.range(7).selectExpr("id AS k", "id * 2 AS v"), ["k"])
+        assert out.where("k IS NOT NULL AND v <> 2 * k OR k IS NULL AND v IS NOT NULL").count() == 0 and out.count() == 8000
+        sizes = out.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) < 3500
+    finally:
+        spark.conf.set(key, old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_mutual_information_bounds(spark):
     df = spark.range(400).selectExpr("id % 4 AS same", "(id div 4) % 5 AS free", "id % 4 AS t")
     got = {r.feature: r.mi for r in S.mutual_information(df, ["same", "free"], "t").collect()}

@@ -86,10 +86,12 @@ def crosstab_scores(
     pars: Sequence[float] = THRESHOLD_PARS,
     floor: float | None = None,
     outputs: Sequence[str] | None = None,
+    null_key: str | None = None,
 ) -> DataFrame:
     """Level of each class for new rows from a stored crosstab; unknown keys score 0.
 
-    Keys are compared as text on both sides, so a stored text key meets a numeric column.
+    Keys are compared as text on both sides, so a stored text key meets a numeric column. A null key is looked up
+    under ``null_key``, if the crosstab was made with one.
     """
     outputs = list(outputs or [bias_column(crosstab_name(keys), c) for c in classes])
     named = [f"__k{i}" for i in range(len(keys))]
@@ -98,7 +100,8 @@ def crosstab_scores(
         *[F.col(f"`{k}`").cast("string").alias(a) for k, a in zip(keys, named)],
         *[tier_level(F.col(f"`{c}`"), n, tiers, pars, floor).alias(o) for c, o in zip(classes, outputs)],
     )
-    keyed = df.withColumns({a: F.col(f"`{k}`").cast("string") for k, a in zip(keys, named)})
+    text = lambda k: F.col(f"`{k}`").cast("string")
+    keyed = df.withColumns({a: text(k) if null_key is None else F.coalesce(text(k), F.lit(null_key)) for k, a in zip(keys, named)})
     return (
         attach(keyed, dim, named)
         .withColumns({o: F.coalesce(F.col(f"`{o}`"), F.lit(0).cast("byte")) for o in outputs})
@@ -183,6 +186,7 @@ class BiasModel:
     tiers: Sequence[float] = TIERS
     pars: Sequence[float] = THRESHOLD_PARS
     floor: float | None = None
+    null_key: str | None = None
 
     @property
     def feature_columns(self) -> list[str]:
@@ -207,7 +211,7 @@ def fit_bias_features(
     fitting on all rows leaks the class into the features.
     """
     chosen = [g for g in groups if only is None or g.name in only]
-    model = BiasModel([], chosen, tiers=tiers, pars=pars, floor=floor)
+    model = BiasModel([], chosen, tiers=tiers, pars=pars, floor=floor, null_key=null_key)
     settings = {"tiers": tiers, "pars": pars, "floor": floor}
     needed = dict.fromkeys(c for g in chosen for c in (*g.binned, *g.keys))
     # Every bin and crosstab reads the rows once, each only its own columns of this copy.
@@ -259,6 +263,7 @@ def apply_bias_features(df: DataFrame, model: BiasModel) -> DataFrame:
             out = out.withColumns({bias_column(name, c): F.lit(0).cast("byte") for c in model.classes})
             continue
         out = crosstab_scores(
-            out, keys, model.crosstabs[name], model.classes, tiers=model.tiers, pars=model.pars, floor=model.floor
+            out, keys, model.crosstabs[name], model.classes, tiers=model.tiers, pars=model.pars, floor=model.floor,
+            null_key=model.null_key,
         )
     return out

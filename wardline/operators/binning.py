@@ -267,32 +267,35 @@ def assign_trained_bins(df: DataFrame, col: str, bins: DataFrame, output: str |
     """Give rows the trained bin ``(lo, hi)`` of their value.
 
     Inside a bin: that bin. Below all bins: the first. In a gap or above: the last. Null: none.
-    Bins must not overlap. Distinct values are looked up once, then joined back.
+    Bins must not overlap. Distinct values are looked up once, then joined back. Values and bins of different
+    numeric types are compared as doubles; ``lo``, ``hi`` and the label are those of the bins.
     """
     output, bins = output or col, store(bins.select("lo", "hi"))
-    last_lo = bins.agg(F.max("lo")).scalar()
-    first_lo = bins.agg(F.min("lo")).scalar()
-    found = range_lookup(df, col, bins, "lo", "hi", [])
-    resolved = found.select(
-        col,
-        F.when(F.col("lo").isNotNull(), F.col("lo"))
-        .when(F.col(col) < first_lo, first_lo)
-        .otherwise(last_lo)
-        .alias("lo"),
-    )
-    resolved = attach(resolved, bins, ["lo"], spread_by=[col])
-    return attach_bins(df, store(resolved.select(col, "lo", "hi")), col, output)
+    same = df.schema[col].dataType == bins.schema["lo"].dataType
+    as_key = (lambda c: F.col(f"`{c}`")) if same else (lambda c: F.col(f"`{c}`").cast("double"))
+    keyed = bins.select("lo", "hi", as_key("lo").alias("__lo"), as_key("hi").alias("__hi"))
+    first, last = bins.orderBy("lo", "hi").first(), bins.orderBy(F.desc("lo"), F.desc("hi")).first()
+    found = range_lookup(df.select(as_key(col).alias("__x")), "__x", keyed, "__lo", "__hi", ["lo", "hi"], disjoint=True)
+    edge = lambda c, low, high: F.coalesce(F.col(c), F.when(F.col("__x") < F.lit(first["lo"]), low).otherwise(high)).alias(c)
+    kind = bins.schema["lo"].dataType
+    typed = lambda v: F.lit(v).cast(kind)
+    resolved = store(found.select("__x", edge("lo", typed(first["lo"]), typed(last["lo"])), edge("hi", typed(first["hi"]), typed(last["hi"]))))
+    out = attach_bins(df.withColumn("__x", as_key(col)), resolved, "__x", output).drop("__x")
+    return out.withColumnRenamed("__x classes", f"{col} classes")
 
 
 def range_lookup(
-    values: DataFrame, col: str, ranges: DataFrame, lo: str, hi: str, payload: Sequence[str]
+    values: DataFrame, col: str, ranges: DataFrame, lo: str, hi: str, payload: Sequence[str], *, disjoint: bool = False
 ) -> DataFrame:
     """For each distinct value the range ``[lo, hi]`` holding it: ``(col, lo, hi, payload...)``.
 
-    A miss has nulls. Ranges must not overlap. The greatest start not above the value is found by an
+    A miss has nulls. Ranges must not overlap, which is checked unless they are known to be ``disjoint``; overlapping
+    ranges are an error, as no answer would be the only right one. The greatest start not above the value is found by an
     ordered merge, then an equi join fetches the range, so no comparison of all pairs takes place.
     """
     stored = store(ranges.select(lo, hi, *payload))
+    if not disjoint:
+        check_disjoint(stored, lo, hi)
     found = floor_lookup(values.select(col), col, stored, lo)
     # One wide range may hold most of the values.
     joined = attach(found, stored, [lo], spread_by=[col])
@@ -300,6 +303,17 @@ def range_lookup(
     return joined.select(col, *[F.when(hit, F.col(c)).alias(c) for c in (lo, hi, *payload)])
 
 
+def check_disjoint(ranges: DataFrame, lo: str, hi: str) -> None:
+    """Raise ``ValueError`` if two ranges share a value. One ordered pass: between the start of a range and its end
+    there may be no other start."""
+    bounds = ranges.select(F.col(lo).alias("__a"), F.col(hi).alias("__b")).where("__a IS NOT NULL AND __b IS NOT NULL")
+    starts = bounds.groupBy("__a").agg(F.count(F.lit(1)).alias("n"), F.max("__b").alias("__b"))
+    seen = floor_lookup(bounds, "__b", bounds.select(F.col("__a").alias("__start")), "__start")
+    crossed = starts.join(seen, "__b", "left").where("n > 1 OR __start > __a")
+    if not crossed.isEmpty():
+        raise ValueError(f"ranges {lo}..{hi} overlap")
+
+
 # --- histograms -------------------------------------------------------------------------------------
 
 

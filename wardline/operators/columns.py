@@ -13,8 +13,6 @@ from ..session import store
 from .joins import attach, is_small
 from .ordered import dense_codes
 
-MAX_CLASSES = 1000
-
 # The two renamed raw columns.
 RAW_RENAMES = {"Timestamp": "date", "Alerts/Warnings": "Alert Trigger"}
 
@@ -85,18 +83,19 @@ def equality_indicator(
 
 
 def class_labels(df: DataFrame, target: str) -> list:
-    """Sorted distinct classes on the driver, at most ``MAX_CLASSES``; more is an error."""
-    rows = df.select(target).where(F.col(target).isNotNull()).distinct().limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{target} has more than {MAX_CLASSES} classes; it is not a class column")
-    return sorted(r[0] for r in rows)
+    """Sorted distinct classes on the driver, for results with a column per class. For an open-ended column
+    pass the wanted classes to the operator, or use its long form."""
+    return sorted(r[0] for r in df.select(target).where(F.col(target).isNotNull()).distinct().collect())
 
 
 def label_encode(df: DataFrame, target: str, output: str = "label") -> tuple[DataFrame, DataFrame]:
-    """Class to 0..k-1 in sorted order: the encoded rows and the ``(class, code)`` map."""
+    """Class to 0..k-1 in sorted order: the encoded rows and the ``(class, code)`` map, the class in its own type.
+
+    Numbers sort as numbers, everything else as text.
+    """
     codes = store(
         dense_codes(df, [target]).select(
-            F.col("value").alias(target), F.col("code").cast("int").alias(output)
+            F.col("value").cast(df.schema[target].dataType).alias(target), F.col("code").cast("int").alias(output)
         )
     )
     return attach(df, codes, [target]), codes
@@ -115,7 +114,7 @@ def one_hot_labels(df: DataFrame, label: str, classes: Sequence[object]) -> Data
 
 
 def category_codes(df: DataFrame, cols: Sequence[str], suffix: str = "_code") -> DataFrame:
-    """Sorted category code per column, -1 for null. Values are compared as text."""
+    """Sorted category code per column, -1 for null. Numbers sort as numbers, everything else as text."""
     codes = store(dense_codes(df, cols))
     out, small = df, is_small(codes) or None
     for c in cols:

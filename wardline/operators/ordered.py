@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
 
@@ -74,8 +75,14 @@ def running(
 
 
 def ordered_counts(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
-    """``(by..., col, n, n_before, n_total)``: rows per value and rows with a smaller value."""
-    counts = df.where(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("n"))
+    """``(by..., col, n, n_before, n_total)``: rows per value and rows with a smaller value.
+
+    Null and, in floating columns, NaN are missing values and left out.
+    """
+    there = F.col(col).isNotNull()
+    if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)):
+        there = there & ~F.isnan(col)
+    counts = df.where(there).groupBy(*by, col).agg(F.count(F.lit(1)).alias("n"))
     return running(counts, [col], sums=["n"], by=by)
 
 
@@ -141,16 +148,27 @@ def floor_lookup(values: DataFrame, col: str, starts: DataFrame, start: str) ->
 
 
 def dense_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``(feature, value, code)``: 0-based rank of each distinct non-null value of each column."""
-    values = (
-        long_form(df, cols)
-        .where(F.col("value").isNotNull())
-        .select("feature", "value")
-        .distinct()
-        .withColumn("n", F.lit(1).cast("long"))
-    )
-    ranked = running(values, ["value"], sums=["n"], by=["feature"])
-    return ranked.select("feature", "value", F.col("n_before").alias("code"))
+    """``(feature, value, code)``: 0-based rank of each distinct non-null value of each column.
+
+    Numbers are ranked as numbers, everything else as text; ``value`` is the value as text.
+    """
+    kinds: dict[str, list[str]] = {}
+    for c in cols:
+        kind = df.schema[c].dataType
+        whole = isinstance(kind, T.IntegralType)
+        key = "long" if whole else "double" if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType) else kind.simpleString()
+        kinds.setdefault(key if whole or isinstance(kind, T.FractionalType) else "string", []).append(c)
+    out = None
+    for key, group in kinds.items():
+        pairs = [
+            F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").cast("string").alias("value"), F.col(f"`{c}`").cast(key).alias("key"))
+            for c in group
+        ]
+        values = df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull()).distinct()
+        ranked = running(values.withColumn("n", F.lit(1).cast("long")), ["key"], sums=["n"], by=["feature"])
+        coded = ranked.select("feature", "value", F.col("n_before").alias("code"))
+        out = coded if out is None else out.unionByName(coded)
+    return out
 
 
 def long_form(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

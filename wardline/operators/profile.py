@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.network import is_private_ip
 from ..session import materialize, store
-from .columns import class_labels
+from .columns import label_encode
 from .joins import attach
 from .ordered import exact_quantiles, long_form, ordered_counts, quantiles_of_counts
 
@@ -51,8 +51,9 @@ def group_mean(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Per column: count, mean, std, min, exact quartiles and max."""
-    values = long_form(df, cols).select("feature", F.col("value").cast("double").alias("value"))
+    """Per column: count, mean, std, min, exact quartiles and max; null and NaN are missing values."""
+    number = F.col("value").cast("double")
+    values = long_form(df, cols).select("feature", F.when(~F.isnan(number), number).alias("value"))
     ranked = ordered_counts(values, "value", by=["feature"])
     quartiles = (
         quantiles_of_counts(ranked, "value", [0.25, 0.5, 0.75], by=["feature"])
@@ -319,11 +320,13 @@ def top_value_per_class(df: DataFrame, target: str, col: str) -> DataFrame:
 
 
 def pivot_daily(df: DataFrame, ts: str, col: str, values: Sequence[object] | None = None) -> DataFrame:
-    """Day by category counts, zero filled. ``values`` defaults to the classes found."""
-    values = list(values) if values is not None else class_labels(df, col)
+    """Day by category counts: a zero-filled column for each of ``values``, or without them one row
+    ``(day, value, n)`` for each value that a day has, however many values there are."""
+    rows = df.where(F.col(ts).isNotNull() & F.col(col).isNotNull())
+    if values is None:
+        return rows.groupBy(F.to_date(ts).alias("day"), F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
     return (
-        df.where(F.col(ts).isNotNull() & F.col(col).isNotNull())
-        .groupBy(F.to_date(ts).alias("day"))
+        rows.groupBy(F.to_date(ts).alias("day"))
         .agg(*[F.count_if(F.col(col) == F.lit(v)).alias(str(v)) for v in values])
     )
 
@@ -353,12 +356,11 @@ def box_stats(df: DataFrame, value: str, target: str) -> DataFrame:
 
 def strip_points(df: DataFrame, value: str, target: str) -> DataFrame:
     """``(class_rank, class, value, n_class)`` per row; classes rank by name from 0."""
-    classes = class_labels(df, target)
-    rank = F.coalesce(*[F.when(F.col(target) == F.lit(c), F.lit(i)) for i, c in enumerate(classes)])
-    sizes = df.groupBy(target).agg(F.count(F.lit(1)).alias("n_class"))
-    # One row per class, and class_labels() has checked their number.
-    return df.join(F.broadcast(sizes), target).select(
-        rank.alias("class_rank"), F.col(target).alias("class"), F.col(value).alias("value"), "n_class"
+    sizes = df.where(F.col(target).isNotNull()).groupBy(target).agg(F.count(F.lit(1)).alias("n_class"))
+    # Codes of the distinct classes, which are stored and joined like any lookup.
+    ranked, _ = label_encode(store(sizes), target, "class_rank")
+    return attach(df.where(F.col(target).isNotNull()), store(ranked), [target]).select(
+        "class_rank", F.col(target).alias("class"), F.col(value).alias("value"), "n_class"
     )
 
 

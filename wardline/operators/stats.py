@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import ChiSquareTest
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,25 +101,35 @@ def chi_square_features(df: DataFrame, cols: Sequence[str], target: str) -> Data
     )
 
 
+def chi_square_upper(statistic: float, dof: int) -> float:
+    """Probability that a chi-squared variable is above ``statistic``, by the finite sums for whole and half
+    numbers of ``dof / 2``; the terms are added in logarithms."""
+    x = statistic / 2
+    if x <= 0:
+        return 1.0
+    start, total = (0.5, math.erfc(math.sqrt(x))) if dof % 2 else (0.0, 0.0)
+    steps = np.arange(dof // 2)
+    if len(steps):
+        # lgamma(start + 1 + i) as a running sum of logarithms.
+        gammas = math.lgamma(start + 1) + np.concatenate(([0.0], np.cumsum(np.log(start + steps[1:]))))
+        terms = (start + steps) * math.log(x) - x - gammas
+        total += math.exp(terms.max()) * float(np.exp(terms - terms.max()).sum())
+    return min(1.0, total)
+
+
 def chi_square_pvalues(df: DataFrame, cols: Sequence[str], target: str, alpha: float = 0.05) -> DataFrame:
-    """``(feature, statistic, dof, p_value, significant)`` by the library's test.
+    """``(feature, statistic, dof, p_value, significant)`` for columns with any number of values.
 
-    For class-like columns; the library test accepts up to 10,000 values per column.
+    The p-value is null without a degree of freedom.
     """
-    rows = df.dropna(subset=[*cols, target]).select(*cols, target)
-    coded = category_codes(rows, [*cols, target])
-    ready = VectorAssembler(inputCols=[f"{c}_code" for c in cols], outputCol="features").transform(
-        coded.withColumn("label", F.col(f"{target}_code").cast("double"))
-    )
-    names = F.array(*[F.lit(c) for c in cols])
-    tested = ChiSquareTest.test(ready.select("features", "label"), "features", "label", flatten=True)
-    return tested.select(
-        F.element_at(names, F.col("featureIndex") + 1).alias("feature"),
-        "statistic",
-        F.col("degreesOfFreedom").cast("long").alias("dof"),
-        F.col("pValue").alias("p_value"),
-        (F.col("pValue") < alpha).alias("significant"),
-    )
+
+    def upper(statistic: pd.Series, dof: pd.Series) -> pd.Series:
+        return pd.Series([chi_square_upper(s, int(d)) if d > 0 else None for s, d in zip(statistic, dof)], dtype="float64")
+
+    # One row per feature.
+    tested = chi_square_features(df, cols, target)
+    p_value = F.pandas_udf(upper, "double")(F.col("statistic"), F.col("dof"))
+    return tested.select("feature", "statistic", "dof", p_value.alias("p_value")).withColumn("significant", F.col("p_value") < alpha)
 
 
 def mutual_information(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     path = context.getCheckpointDir()
     if path is None:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         path = tempfile.mkdtemp(prefix="wardline-")
         context.setCheckpointDir(path)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import attach
+from ..session import store
 from .tables import try_read_parquet
 
 
@@ -29,6 +30,8 @@ def incremental_dimension(
     known = try_read_parquet(spark, path)
     new = keys if known is None else keys.join(known.select(key), key, "left_anti")
     resolve(new).write.mode("append").parquet(path)
-    # Two runs at the same time may append the same key.
-    lookup = spark.read.parquet(path).dropDuplicates([key])
-    return attach(df, lookup, [key], spread_by=spread_by)
+    # Two runs at the same time may append the same key: its smallest row counts, whichever comes first.
+    lookup = spark.read.parquet(path)
+    others = [c for c in lookup.columns if c != key]
+    lookup = lookup.groupBy(key).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in others])).alias("__row")).select(key, "__row.*")
+    return attach(df, store(lookup), [key], spread_by=spread_by)

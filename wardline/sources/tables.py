@@ -49,17 +49,34 @@ def raw_schema(as_text: bool = False) -> T.StructType:
     )
 
 
-def read_raw_csv(spark: SparkSession, path: str, as_text: bool = False) -> DataFrame:
-    """Comma-separated raw log with a header. Free text may hold commas, quotes and line breaks."""
-    return (
-        spark.read.schema(raw_schema(as_text))
-        .option("header", True)
+def _header(spark: SparkSession, path: str, **options) -> list[str]:
+    return spark.read.options(header=True, **options).csv(path).columns
+
+
+def read_raw_csv(spark: SparkSession, path: str, as_text: bool = False, *, multi_line: bool = False, corrupt: str | None = None) -> DataFrame:
+    """Comma-separated raw log, its columns taken by the names in the header, in any order.
+
+    Files of one read share their header; one with another header is an error, and so is a missing column.
+    Quoted text may hold commas and quotes, and line breaks with ``multi_line``, which makes every file one
+    task; without it files are split. ``corrupt`` names a column that keeps lines with unreadable cells.
+    """
+    kinds = {f.name: f for f in raw_schema(as_text)}
+    names = _header(spark, path, escape='"', multiLine=multi_line)
+    if missing := [n for n in kinds if n not in names]:
+        raise ValueError(f"no column {', '.join(missing)} in {path}")
+    fields = [kinds.get(n, T.StructField(n, T.StringType())) for n in names]
+    reader = (
+        spark.read.option("header", True).option("enforceSchema", False)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
-        .csv(path)
     )
+    if corrupt:
+        fields.append(T.StructField(corrupt, T.StringType()))
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    wanted = [*kinds, *([corrupt] if corrupt else [])]
+    return reader.schema(T.StructType(fields)).csv(path).select(*[F.col(f"`{n}`") for n in wanted])
 
 
 def read_processed_csv(
