@@ -47,24 +47,39 @@ def lorem_ipsum_flag(text: Column | str) -> Column:
     return hits >= LOREM_MIN_MARKERS
 
 
+def _entropies(texts: list[str]) -> np.ndarray:
+    """Entropy of each text, all characters of the texts counted together."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    sizes = np.array([len(t) for t in texts], np.int64)
+    present = np.zeros(0x110000, bool)
+    present[points] = True
+    number, kinds = np.cumsum(present) - 1, int(present.sum())
+    cell = np.repeat(np.arange(len(texts)), sizes) * kinds + number[points]
+    share = np.bincount(cell, minlength=len(texts) * kinds).reshape(len(texts), kinds) / np.maximum(sizes, 1)[:, None]
+    return -(share * np.log2(np.where(share > 0, share, 1))).sum(axis=1) + 0.0
+
+
 def text_entropy(text: Column | str) -> Column:
     """Shannon entropy (bits) of the characters of a text, 0 for the empty text.
 
     Row-local, so no shuffle and no exploded copy of the corpus is needed. The built-in string
-    functions need one pass per distinct character; an Arrow batch function counts all characters of
-    a text at once and is over ten times faster on the test texts.
+    functions need one pass per distinct character; here runs of at most 256 texts of an Arrow batch
+    (and about a million characters) are counted at once.
     """
 
     @F.pandas_udf("double")
     def entropy(texts: pd.Series) -> pd.Series:
-        def bits(t):
-            if not t:
-                return None if t is None else 0.0
-            points = np.frombuffer(t.encode("utf-32-le"), dtype=np.uint32)
-            share = np.unique(points, return_counts=True)[1] / len(points)
-            return float(-(share * np.log2(share)).sum()) + 0.0
-
-        return texts.map(bits).astype("float64")
+        known = texts[texts.notna()]
+        out = pd.Series(np.nan, index=texts.index, dtype="float64")
+        upto = known.str.len().cumsum().to_numpy()
+        first = 0
+        while first < len(known):
+            before = upto[first - 1] if first else 0
+            end = min(first + 256, max(first + 1, int(np.searchsorted(upto, before + (1 << 20)))))
+            part = known.iloc[first:end]
+            out[part.index] = _entropies(part.tolist())
+            first = end
+        return out.astype(object).where(texts.notna(), None).astype("Float64")
 
     return entropy(_col(text))
 

@@ -50,6 +50,14 @@ def group_mean(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(value).alias("mean"))
 
 
+def _per_column(df: DataFrame, cols: Sequence[str], statistics) -> DataFrame:
+    """``(feature, ...)`` with the named aggregates of each column as a double, in one plain aggregate. NaN counts as
+    missing."""
+    number = lambda c: F.when(~F.isnan(F.col(f"`{c}`").cast("double")), F.col(f"`{c}`").cast("double"))
+    rows = [F.struct(F.lit(c).alias("feature"), *[a.alias(n) for n, a in statistics(number(c)).items()]) for c in cols]
+    return df.agg(F.array(*rows).alias("s")).select(F.inline("s"))
+
+
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per column: count, mean, std, min, exact quartiles and max; null and NaN are missing values."""
     number = F.col("value").cast("double")
@@ -61,12 +69,8 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         .agg(*[F.max(F.when(F.col("prob") == p, F.col("quantile"))).alias(n)
                for p, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
     )
-    basics = values.groupBy("feature").agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    basics = _per_column(
+        df, cols, lambda x: {"n": F.count(x), "mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x)}
     )
     return basics.join(quartiles, "feature", "left").select(
         "feature", "n", "mean", "std", "min", "q1", "median", "q3", "max"
@@ -116,8 +120,7 @@ def quantile_thresholds(df: DataFrame, col: str, probs: Sequence[float] = (0.95,
 
 def encoding_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Mean and standard deviation per encoded column."""
-    values = long_form(df, cols).select("feature", F.col("value").cast("double").alias("value"))
-    return values.groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
+    return _per_column(df, cols, lambda x: {"mean": F.avg(x), "std": F.stddev_samp(x)})
 
 
 def flag_totals(df: DataFrame, flags: Sequence[str]) -> DataFrame:
@@ -184,13 +187,12 @@ def rate_over_time(df: DataFrame, ts: str, flag: str) -> DataFrame:
 
 
 def fan_out(df: DataFrame, src: str, dst: str, approx: bool = False) -> DataFrame:
-    """Distinct destinations per source, highest first. ``approx`` trades exactness for one pass."""
+    """Distinct destinations per source, in no order. ``approx`` trades exactness for one pass."""
     count = F.approx_count_distinct(dst) if approx else F.count_distinct(dst)
     return (
         df.where(F.col(src).isNotNull())
         .groupBy(F.col(src).alias("key"))
         .agg(count.alias("degree"))
-        .orderBy(F.desc("degree"), "key")
     )
 
 

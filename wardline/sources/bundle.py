@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.ml import PipelineModel
@@ -17,13 +18,15 @@ def save_model_bundle(
 ) -> None:
     """Write the model, one Parquet table per name, and a small JSON record (columns, metrics).
 
-    The record comes last: a bundle without it is incomplete and counts as missing.
+    Every save writes a version folder of its own and the record, which names it, last: until then an earlier
+    bundle stays whole, and a bundle without a record counts as missing.
     """
     pipeline = model if isinstance(model, PipelineModel) else PipelineModel([model])
-    pipeline.write().overwrite().save(f"{path}/model")
+    version = uuid.uuid4().hex
+    pipeline.write().save(f"{path}/{version}/model")
     for name, table in tables.items():
-        table.write.mode("overwrite").parquet(f"{path}/tables/{name}")
-    record = json.dumps({"tables": sorted(tables), "info": dict(info or {})})
+        table.write.parquet(f"{path}/{version}/tables/{name}")
+    record = json.dumps({"version": version, "tables": sorted(tables), "info": dict(info or {})})
     spark = SparkSession.active()
     spark.createDataFrame([(record,)], "record string").coalesce(1).write.mode("overwrite").parquet(f"{path}/record")
 
@@ -42,5 +45,6 @@ def load_model_bundle(
         save_model_bundle(model, tables, path, info)
         stored = spark.read.parquet(f"{path}/record")
     record = json.loads(stored.first()[0])
-    tables = {n: spark.read.parquet(f"{path}/tables/{n}") for n in record["tables"]}
-    return PipelineModel.load(f"{path}/model"), tables, record["info"]
+    folder = f"{path}/{record['version']}"
+    tables = {n: spark.read.parquet(f"{folder}/tables/{n}") for n in record["tables"]}
+    return PipelineModel.load(f"{folder}/model"), tables, record["info"]
