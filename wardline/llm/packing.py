@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .buffers import utf8_slices
+from .shipping import ship
 
 BLOCK_TOKENS = 1 << 20
 SLICE_BYTES = 2 << 20
@@ -318,6 +319,7 @@ def pack(docs: DataFrame, tokenizer_path: str, *, size: int = 2048, with_ids: bo
     has one partition's documents, in their order; its id is unique in the table. Rows that repeat an id
     are documents of their own. Other columns are ignored; an empty table gives no rows.
     """
+    ship(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     schema += ", ids array<int>" if with_ids else ""

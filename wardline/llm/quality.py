@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .buffers import utf8_slices
+from .shipping import ship
 
 PASSAGE = 400
 MAX_DOCUMENTS = 4_000
@@ -150,6 +151,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", *, m
     Null labels and ids are left out; a document labelled more than once counts as 1 if any label is 1. With no
     labelled text the untrained prior of an even score is returned.
     """
+    ship(docs.sparkSession)
     usable = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     chosen = usable.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("__label"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_documents)
@@ -195,6 +197,7 @@ def _scorer(sent):
 
 def score_quality(docs: DataFrame, model: AttentionModel, text: str = "text") -> Column:
     """Column with the score (0 to 1) of every whole text of ``docs``; null is the empty text."""
+    ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
     return F.arrow_udf(_typed(_scorer(sent)), "double")(F.col(text))
 

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..operators.ordered import running
 from ..session import store
 from .buffers import utf8_slices
+from .shipping import ship
 
 MIN_LENGTH = 20
 BATTERY_LEVEL = 0.001
@@ -216,6 +217,7 @@ def scan_secrets(docs: DataFrame, *, min_length: int = MIN_LENGTH, battery_level
     read; other columns are ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
+    ship(spark)
     texts = docs.select("text")
     counts = texts.mapInArrow(_shares, "byte long, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()
     shares = np.zeros(256)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ..session import store
 from .buffers import utf8_slices
 from .components import components
+from .shipping import ship
 
 SEED = 42
 _SHINGLES_PER_STEP = 1 << 18
@@ -77,6 +78,7 @@ def fingerprints(docs: DataFrame, *, words: int = 3, prints: int = 1) -> DataFra
                 values += [simhash(raw[offsets[i] : offsets[i + 1]], words, prints) for i in range(end - first)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], ["doc_id", "fingerprint"])
 
+    ship(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint binary")
 
@@ -173,6 +175,7 @@ def linked_fingerprints(values: DataFrame, *, distance: int = 3, prints: int = 1
 
     Each anchor's links come as a star around one of its fingerprints, so there are at most as many as rows.
     """
+    ship(values.sparkSession)
     n_blocks = len(block_sizes(distance))
     limit = 64 * prints if total is None else total
 

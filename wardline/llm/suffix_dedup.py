@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 from ..operators.ordered import running
 from ..session import store
 from .buffers import utf8_slices
+from .shipping import ship
 
 LENGTH, GRAM = 100, 24
 MAX_GROUP = 100_000
@@ -381,6 +382,7 @@ def repeated_spans(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, m
 
     Copies of whole texts are found by length and digest and go as one stretch; only the first is cut up.
     """
+    ship(docs.sparkSession)
     copies = store(_copies(docs, length))
     rows = docs.mapInArrow(_anchor_rows(length, gram), "hash long, doc long, place long")
     sorted_rows = rows.repartition("hash").sortWithinPartitions("hash")

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, store
+from .shipping import ship
 
 KEYS_PER_SHARD = 200_000
 BROADCAST_BYTES = 32 << 20
@@ -118,6 +119,7 @@ class Cascade:
         Keys may repeat (a key listed in any row is listed); null keys are never listed and are ignored.
         An empty list gives no filters, and every key is then unlisted.
         """
+        ship(keys.sparkSession)
         # One row per key; its 64-bit hash stands for it. Keys of equal hash but unequal listing are set apart.
         distinct = keys.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(
             F.max(F.coalesce(F.col(listed), F.lit(False))).alias("listed")

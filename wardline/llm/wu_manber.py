@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .buffers import utf8_slices
+from .shipping import ship
 
 # Windows of test items are sent to the executors in blocks of this many bytes, one pass each.
 BLOCK_BYTES = 16 << 20
@@ -200,6 +201,7 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, *, window: int = 10, block
     further passes. Null and empty texts have no words; repeated items and rows count each; an empty
     benchmark finds nothing. Other columns of ``docs`` are ignored.
     """
+    ship(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     state = docs.select("doc_id", "text", F.expr(f"CAST(NULL AS struct<{HITS.replace(' long', ':long').replace(' array', ':array')}>) AS hits"))
     schema = f"doc_id {kind}, text string, hits struct<{HITS.replace(' long', ':long').replace(' array', ':array')}>"
