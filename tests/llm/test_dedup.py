@@ -126,6 +126,48 @@ def test_near_duplicates_leave_one(corpus, corpus_rows, spark):
     assert simhash.drop_near_duplicates(corpus).columns == corpus.columns
 
 
+def test_forest_is_minimal():
+    draw = np.random.default_rng(4)
+    for n, m in ((1, 0), (30, 15), (40, 400)):
+        a, b = draw.integers(0, n, m), draw.integers(0, n, m)
+        a, b, bits = np.minimum(a, b)[a != b], np.maximum(a, b)[a != b], draw.integers(0, 9, m)[a != b]
+        tree, weight, size = list(range(n)), 0, 0
+        for w, x, y in sorted(zip(bits.tolist(), a.tolist(), b.tolist())):
+            if tree[x] != tree[y]:
+                old, weight, size = tree[y], weight + w, size + 1
+                tree = [tree[x] if t == old else t for t in tree]
+        got = simhash._forest(n, a, b, bits)
+        assert (len(got[0]), int(got[2].sum())) == (size, weight)
+        again = simhash._forest(n, *got)
+        assert sorted(zip(*map(list, again))) == sorted(zip(*map(list, got)))
+
+
+def test_confirmed_links_have_the_similarity(spark, corpus, corpus_rows, empty, many_partitions):
+    """Every group is connected by pairs of 0.8 or more, and all pairs of 0.9 or more are in one group."""
+    draw = random.Random(12)
+    rows = []
+    for i in range(25):
+        words = [draw.choice("abcdefgh") + str(draw.randint(0, 500)) for _ in range(200)]
+        for k, share in enumerate((0, 0.004, 0.01, 0.02, 0.04, 0.08)):
+            rows.append((10 * i + k, " ".join("new" + str(draw.randint(0, 10**6)) if draw.random() < share else w for w in words)))
+    rows += [(1000, None), (1001, ""), (1002, "one two"), (1003, "One  two"), (1004, "two one")]
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicate_groups(
+        spark.createDataFrame(rows, "doc_id long, text string"), words=5, distance=5, prints=4, total=50, similarity=0.8).collect()}
+    sets = {d: set(simhash._shingles((t or "").encode(), 5).tolist()) for d, t in rows}
+    alike = {(x, y): len(sets[x] & sets[y]) / len(sets[x] | sets[y]) for x in sets for y in sets if x < y and sets[x] | sets[y]}
+    assert all(got[x] == got[y] for (x, y), j in alike.items() if j >= 0.9)
+    group = {d: d for d in sets}
+    for (x, y), j in alike.items():
+        if j >= 0.8:
+            old = group[y]
+            group = {d: group[x] if g == old else g for d, g in group.items()}
+    assert all(group[x] == group[y] for x, y in alike if got[x] == got[y])
+    assert got[1002] == got[1003] == 1002 and got[1004] == 1004
+    parameters = {"words": 5, "distance": 5, "prints": 4, "total": 50, "similarity": 0.8}
+    assert simhash.near_duplicate_groups(empty, **parameters).count() == 0
+    assert simhash.near_duplicate_groups(corpus, **parameters).count() == len(corpus_rows)
+
+
 def brute_removal(rows, length):
     """By (id, hash of the text), null ids first; equal rows are one document."""
     order = sorted({(d, t or "") for d, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0, np.int64(np.uint64(xxhash.xxh64_intdigest(r[1].encode(), 42)))))

@@ -8,9 +8,10 @@ home of a block one bit away, all of them within radius one plus that one bit. H
 compared per anchor, where each connected group of links is emitted as a star, never as all its pairs.
 With two blocks of 32 bits there are 2^27 anchors a block and 34 rows a fingerprint.
 
-Several independent fingerprints may be taken of a text. Two texts are then linked if one pair of
-fingerprints is within ``distance`` and all of them together within ``total`` bits, which estimates the
-similarity of the shingle sets more closely than 64 bits can.
+Several independent fingerprints may be taken of a text. Two texts are then candidates if they meet at any
+anchor and differ in at most ``total`` bits of all fingerprints together. For a wanted ``similarity`` of the shingle
+sets every anchor emits the minimum spanning forest of its candidates by bits, at most a row less than it has,
+and each of these links is confirmed on the whole texts' shingles.
 """
 
 from __future__ import annotations
@@ -127,8 +128,9 @@ def _words_of(column: pa.Array, prints: int) -> np.ndarray:
     return np.frombuffer(flat, ">u8").astype(np.uint64).reshape(-1, prints)
 
 
-def _stars(values: np.ndarray, keys: np.ndarray, homes: np.ndarray, n_blocks: int, distance: int, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows ``(member, centre)`` that connect what is linked at the anchors of sorted ``keys``."""
+def _stars(values: np.ndarray, keys: np.ndarray, homes: np.ndarray, n_blocks: int, distance: int, total: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that connect what is linked at the anchors of sorted ``keys``: ``(member, centre)`` of stars, or with
+    ``total`` the links of the minimum spanning forest."""
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     sizes = np.diff(np.concatenate((starts, [len(keys)])))
     group = np.repeat(np.arange(len(starts)), sizes)
@@ -136,6 +138,7 @@ def _stars(values: np.ndarray, keys: np.ndarray, homes: np.ndarray, n_blocks: in
     label = np.arange(len(keys))
     which = (keys >> np.uint64(_TAG_SHIFT)).astype(np.int64) // n_blocks
     reach = np.cumsum(sizes[group[hosts]])
+    forest = tuple(np.empty(0, np.int64) for _ in range(3))
     done = 0
     while done < len(hosts):
         end = max(done + 1, int(np.searchsorted(reach, (reach[done - 1] if done else 0) + _PAIRS_PER_STEP)))
@@ -143,17 +146,46 @@ def _stars(values: np.ndarray, keys: np.ndarray, homes: np.ndarray, n_blocks: in
         n = sizes[group[part]]
         a = np.repeat(part, n)
         b = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[group[part]], n)
-        near = np.bitwise_count(values[a, which[a]] ^ values[b, which[a]]) <= distance
-        a, b = a[near], b[near]
-        if total < 64 * values.shape[1]:
-            near = np.bitwise_count(values[a] ^ values[b]).sum(axis=1, dtype=np.int64) <= total
-            a, b = a[near], b[near]
-        _merge(label, a, b)
+        if total is None:
+            near = np.bitwise_count(values[a, which[a]] ^ values[b, which[a]]) <= distance
+            _merge(label, a[near], b[near])
+        else:
+            bits = np.bitwise_count(values[a] ^ values[b]).sum(axis=1, dtype=np.int64)
+            near = (bits <= total) & (a != b)
+            a, b = np.minimum(a, b)[near], np.maximum(a, b)[near]
+            # The forest of all links is that of the forest so far and the new ones.
+            forest = _forest(len(keys), *(np.concatenate(x) for x in zip(forest, (a, b, bits[near]))))
         done = end
+    if total is not None:
+        return forest[0], forest[1]
     members = np.flatnonzero(label != np.arange(len(label)))
     return members, label[members]
 
 
+def _forest(n: int, a: np.ndarray, b: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Minimum spanning forest of the links by bits, then place, in Boruvka's rounds."""
+    order = np.lexsort((b, a, bits))
+    a, b, bits = a[order], b[order], bits[order]
+    label = np.arange(n)
+    chosen, left = [], np.arange(len(a))
+    while True:
+        left = left[label[a[left]] != label[b[left]]]
+        if not len(left):
+            break
+        # Links are in order, so the last write from the back is each tree's shortest.
+        best = np.full(n, len(a))
+        back = left[::-1]
+        best[label[a[back]]] = back
+        other = np.full(n, len(a))
+        other[label[b[back]]] = back
+        best = np.minimum(best, other)
+        picked = np.unique(best[best < len(a)])
+        chosen.append(picked)
+        _merge(label, a[picked], b[picked])
+    keep = np.concatenate(chosen) if chosen else np.empty(0, np.int64)
+    return a[keep], b[keep], bits[keep]
+
+
 def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Lower ``label`` to the smallest row connected through the links."""
     while True:
@@ -173,11 +205,11 @@ def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 def linked_fingerprints(values: DataFrame, *, distance: int = 3, prints: int = 1, total: int | None = None) -> DataFrame:
     """Links ``(a, b)`` that connect the distinct ``fingerprint`` values exactly as the pairs within the distance do.
 
-    Each anchor's links come as a star around one of its fingerprints, so there are at most as many as rows.
+    Each anchor's links come as a star around one of its fingerprints, so there are at most as many as rows. With
+    ``total`` they are the shortest ones that connect an anchor's candidates, real pairs within ``total`` bits.
     """
     ship(values.sparkSession)
     n_blocks = len(block_sizes(distance))
-    limit = 64 * prints if total is None else total
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,7 +226,7 @@ def linked_fingerprints(values: DataFrame, *, distance: int = 3, prints: int = 1
         def stars(parts: list) -> pa.RecordBatch:
             keys, column, homes = (np.concatenate([p[0] for p in parts]), pa.chunked_array([p[1] for p in parts]).combine_chunks(),
                                    np.concatenate([p[2] for p in parts]))
-            members, centres = _stars(_words_of(column, prints), keys.view(np.uint64), homes, n_blocks, distance, limit)
+            members, centres = _stars(_words_of(column, prints), keys.view(np.uint64), homes, n_blocks, distance, total)
             return pa.RecordBatch.from_arrays([column.take(pa.array(members)), column.take(pa.array(centres))], ["a", "b"])
 
         held: list = []  # rows of the last anchor seen, which may go on in the next batch
@@ -217,21 +249,63 @@ def linked_fingerprints(values: DataFrame, *, distance: int = 3, prints: int = 1
             yield stars(held)
 
     spread_rows = values.select("fingerprint").distinct().mapInArrow(spread, "anchor long, fingerprint binary, home boolean")
-    by_anchor = spread_rows.repartition("anchor").sortWithinPartitions("anchor")
+    by_anchor = spread_rows.repartition("anchor").sortWithinPartitions("anchor", "fingerprint")
     return by_anchor.mapInArrow(compare, "a binary, b binary").distinct()
 
 
-def near_duplicate_groups(docs: DataFrame, *, words: int = 3, distance: int = 3, prints: int = 1, total: int | None = None) -> DataFrame:
+def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """``(doc_id, shingles array<long>)``: the distinct shingles of each whole text, by hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, data, offsets in utf8_slices(batch.column(1)):
+                raw = data.tobytes()
+                sets = [_shingles(raw[offsets[i] : offsets[i + 1]], words) for i in range(end - first)]
+                ids = batch.column(0).slice(first, end - first)
+                yield pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "shingles"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, shingles array<long>")
+
+
+def _shingles(text: bytes, words: int) -> np.ndarray:
+    joined, starts, ends = _word_bounds(text.lower())
+    if not len(starts):
+        return np.empty(0, np.int64)
+    parts = zip(starts.tolist(), ends[min(words, len(ends)) - 1 :].tolist())
+    return np.unique(np.array([xxhash.xxh64_intdigest(joined[s:e], SEED) for s, e in parts], np.uint64).view(np.int64))
+
+
+def confirmed(docs: DataFrame, classes: DataFrame, links: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The ``links`` whose texts share at least ``similarity`` of their shingles (Jaccard), compared on the document
+    with the smallest id of either fingerprint. Only documents with a link are read into shingles."""
+    ship(docs.sparkSession)
+    links = store(links)
+    ends = links.select(F.col("a").alias("fingerprint")).union(links.select(F.col("b").alias("fingerprint"))).distinct()
+    named = store(classes.join(ends, "fingerprint", "left_semi"))
+    wanted = docs.select("doc_id", "text").join(named.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # An id with several texts is compared by each of them.
+    sets = store(named.join(shingle_sets(wanted, words), F.col("first_id") == F.col("doc_id")).select("fingerprint", "shingles"))
+    pairs = links.join(sets.select(F.col("fingerprint").alias("a"), F.col("shingles").alias("sa")), "a").join(
+        sets.select(F.col("fingerprint").alias("b"), F.col("shingles").alias("sb")), "b"
+    )
+    shared = F.size(F.array_intersect("sa", "sb"))
+    return pairs.where(shared / (F.size("sa") + F.size("sb") - shared) >= similarity).select("a", "b").distinct()
+
+
+def near_duplicate_groups(docs: DataFrame, *, words: int = 3, distance: int = 3, prints: int = 1, total: int | None = None, similarity: float | None = None) -> DataFrame:
     """``(doc_id, fingerprint binary, component_id)``, one row per input row.
 
     Documents with equal fingerprints, and those whose fingerprints are linked (see the module), form a
-    group; ``component_id`` is the smallest ``doc_id`` reachable, the row's own included. Copies count once
+    group; with ``similarity``, which goes with ``total``, links must be confirmed. ``component_id`` is the smallest ``doc_id`` reachable, the row's own included. Copies count once
     in the comparison. Null ids are members, but a component's id is null only if it has no other; empty and
     null texts share the fingerprint zero. Extra columns are ignored; an empty table gives no rows.
     """
     table = store(fingerprints(docs, words=words, prints=prints))
     classes = store(table.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
     links = linked_fingerprints(classes, distance=distance, prints=prints, total=total)
+    if similarity is not None:
+        links = confirmed(docs, classes, links, words, similarity)
     roots = store(components(links).withColumnRenamed("node", "fingerprint"))
     joined = classes.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     ids = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -239,14 +313,15 @@ def near_duplicate_groups(docs: DataFrame, *, words: int = 3, distance: int = 3,
     return table.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, *, words: int = 5, distance: int = 7, prints: int = 4, total: int = 44) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, *, words: int = 5, distance: int = 5, prints: int = 4, total: int = 50, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one document of each group, the one with the smallest id.
 
-    The defaults link texts whose sets of five-word shingles have an estimated similarity of 0.8 or more: 256
-    bits differ in ``256 * acos(2 * 0.8 / 1.8) / pi``, about 38 on average, and 44 allows for the spread. Rows without words and rows with null ids
-    stay as they are; of rows that repeat an id all stay or none.
+    Links are texts whose sets of five-word shingles have a similarity of 0.8 or more. Of 256 bits such texts
+    differ in ``256 * acos(2 * 0.8 / 1.8) / pi``, about 38 on average; 50 allows for the spread. Rows without words
+    and rows with null ids stay as they are; of rows that repeat an id all stay or none.
     """
-    groups = near_duplicate_groups(docs.where(F.col("doc_id").isNotNull()), words=words, distance=distance, prints=prints, total=total)
+    known = docs.where(F.col("doc_id").isNotNull())
+    groups = near_duplicate_groups(known, words=words, distance=distance, prints=prints, total=total, similarity=similarity)
     losers = groups.where((F.col("doc_id") != F.col("component_id")) & (F.col("fingerprint") != F.lit(bytes(8 * prints))))
     losers = losers.select(F.col("doc_id").alias("__loser")).distinct()
     return docs.join(losers, docs["doc_id"] == F.col("__loser"), "left_anti")
