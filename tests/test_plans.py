@@ -1,5 +1,7 @@
 """Training and scoring runs on a small raw log."""
 
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,8 +11,10 @@ from wardline.operators.metrics import accuracy
 from wardline.plans.export import engineered_export
 from wardline.plans.ports import PORT_FEATURES
 from wardline.plans.preprocess import enrich_log, serving_preprocess
+from wardline.plans.scoring import load_trained, save_trained, score_file
 from wardline.plans.training import leakage_comparison, serving_bias_features, train_bias_classifier, train_ports_model
 from wardline.session import store
+from wardline.sources.tables import write_csv
 
 
 @pytest.fixture(scope="module")
@@ -62,6 +66,32 @@ def test_bias_classifier_and_scoring(raw):
     assert joined.count() == 900 and accuracy(joined, "label", "prediction").first()[0] > 0.95
 
 
+def test_stored_run_scores_a_file(spark, raw, tmp_path):
+    trained = train_bias_classifier(
+        serving_preprocess(raw), "Attack Type", "id", lambda n: L.logit(n_train=n), groups=RAW_ROW_GROUPS, only=("ports", "security"),
+        null_key="none",
+    )
+    save_trained(trained, str(tmp_path / "run"))
+    again = load_trained(spark, str(tmp_path / "run"))
+    assert again.features == trained.features and again.bias.null_key == "none"
+    columns = lambda t: L.predict(t.model, serving_bias_features(raw, t, ["id"])).select("id", "features", "prediction")
+    assert columns(again).exceptAll(columns(trained)).count() == 0
+    assert again.predictions.select("id", "prediction").exceptAll(trained.predictions.select("id", "prediction")).count() == 0
+
+    write_csv(raw.drop("id"), str(tmp_path / "log.csv"))
+    done = score_file(spark, again, str(tmp_path / "log.csv"), str(tmp_path / "scored"), target="Attack Type", as_of=date(2025, 1, 1))
+    assert done.summary.first()["bad_rows"] == 0 and done.scored.count() == 900
+    direct = columns(trained).join(trained.classes.withColumnRenamed("label", "prediction"), "prediction").groupBy("Attack Type").count()
+    assert {r["prediction"]: r["n"] for r in done.report.collect()} == {r[0]: r[1] for r in direct.collect()}
+    written = spark.read.option("header", True).csv(str(tmp_path / "scored"))
+    assert written.count() == 900 and "prediction" in written.columns
+
+    write_csv(raw.withColumn("Source Port", F.when(F.col("id") == 4, 70000).otherwise(F.col("Source Port"))).drop("id"), str(tmp_path / "bad.csv"))
+    refused = score_file(spark, again, str(tmp_path / "bad.csv"), str(tmp_path / "none"), target="Attack Type", as_of=date(2025, 1, 1))
+    assert refused.scored is None and not (tmp_path / "none").exists()
+    assert [r["Source Port"] for r in refused.bad_rows.collect()] == ["70000"]
+
+
 def test_ports_model_features(raw):
     trained = train_ports_model(raw, "Attack Type", "id", L.decision_tree())
     assert trained.features == list(PORT_FEATURES) and len(PORT_FEATURES) == 29
