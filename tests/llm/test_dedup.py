@@ -168,6 +168,17 @@ def test_confirmed_links_have_the_similarity(spark, corpus, corpus_rows, empty,
     assert simhash.near_duplicate_groups(corpus, **parameters).count() == len(corpus_rows)
 
 
+def test_equal_fingerprints_are_no_proof(spark):
+    """Half of each text is one repeated shingle; the rest differs, but for the last two."""
+    draw = random.Random(21)
+    rows = []
+    for i, filler in enumerate([". ", "| ", "0 ", "very "] * 3):
+        rows.append((i, filler * 200 + " ".join(f"w{draw.randint(0, 10**6)}" for _ in range(60))))
+    rows += [(20, rows[0][1] + " end"), (21, ". " * 90 + rows[0][1])]
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == set(range(12))
+
+
 def brute_removal(rows, length):
     """By (id, hash of the text), null ids first; equal rows are one document."""
     order = sorted({(d, t or "") for d, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0, np.int64(np.uint64(xxhash.xxh64_intdigest(r[1].encode(), 42)))))

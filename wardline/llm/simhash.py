@@ -11,7 +11,8 @@ With two blocks of 32 bits there are 2^27 anchors a block and 34 rows a fingerpr
 Several independent fingerprints may be taken of a text. Two texts are then candidates if they meet at any
 anchor and differ in at most ``total`` bits of all fingerprints together. For a wanted ``similarity`` of the shingle
 sets every anchor emits the minimum spanning forest of its candidates by bits, at most a row less than it has,
-and each of these links is confirmed on the whole texts' shingles.
+and each of these links is confirmed on the whole texts' shingles. Each shingle then counts once in a fingerprint, and
+only equal shingle sets are equal without a check.
 """
 
 from __future__ import annotations
@@ -254,18 +255,52 @@ def linked_fingerprints(values: DataFrame, *, distance: int = 3, prints: int = 1
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``(doc_id, shingles array<long>)``: the distinct shingles of each whole text, by hash."""
+    """``(node, shingles array<long>)``: the distinct shingles of each whole text, by hash, and their digest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, end, data, offsets in utf8_slices(batch.column(0)):
+                raw = data.tobytes()
+                sets = [_shingles(raw[offsets[i] : offsets[i + 1]], words) for i in range(end - first)]
+                nodes = pa.array([_digest(x) for x in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([nodes, pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    return docs.select("text").mapInArrow(run, "node binary, shingles array<long>")
+
+
+def set_fingerprints(docs: DataFrame, *, words: int, prints: int) -> DataFrame:
+    """``(doc_id, fingerprint, node)``, one row per input row: fingerprints in which each shingle counts once, and
+    the digest of the shingle set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, offsets in utf8_slices(batch.column(1)):
                 raw = data.tobytes()
                 sets = [_shingles(raw[offsets[i] : offsets[i + 1]], words) for i in range(end - first)]
-                ids = batch.column(0).slice(first, end - first)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "shingles"])
+                columns = [pa.array([_set_print(x, prints) for x in sets], pa.binary()), pa.array([_digest(x) for x in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), *columns], ["doc_id", "fingerprint", "node"])
 
+    ship(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, shingles array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint binary, node binary")
+
+
+def _digest(shingles: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(shingles.tobytes())
+
+
+def _set_print(shingles: np.ndarray, prints: int) -> bytes:
+    """Fingerprints of a shingle set; each is taken of other 64-bit mixes of the shingles' hashes."""
+    ones = np.zeros((prints, 64), np.int64)
+    for i in range(0, len(shingles), _SHINGLES_PER_STEP):
+        part = shingles[i : i + _SHINGLES_PER_STEP].view(np.uint64)
+        for k in range(prints):
+            x = part + np.uint64((k + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+            x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+            x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+            x = (x ^ (x >> np.uint64(31))).astype(">u8")
+            ones[k] += np.unpackbits(x.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(shingles)).tobytes()
 
 
 def _shingles(text: bytes, words: int) -> np.ndarray:
@@ -277,40 +312,57 @@ def _shingles(text: bytes, words: int) -> np.ndarray:
 
 
 def confirmed(docs: DataFrame, classes: DataFrame, links: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The ``links`` whose texts share at least ``similarity`` of their shingles (Jaccard), compared on the document
-    with the smallest id of either fingerprint. Only documents with a link are read into shingles."""
+    """The ``links`` between nodes whose sets share at least ``similarity`` of their shingles (Jaccard). Only documents
+    with a link are read into shingles."""
     ship(docs.sparkSession)
     links = store(links)
-    ends = links.select(F.col("a").alias("fingerprint")).union(links.select(F.col("b").alias("fingerprint"))).distinct()
-    named = store(classes.join(ends, "fingerprint", "left_semi"))
-    wanted = docs.select("doc_id", "text").join(named.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    # An id with several texts is compared by each of them.
-    sets = store(named.join(shingle_sets(wanted, words), F.col("first_id") == F.col("doc_id")).select("fingerprint", "shingles"))
-    pairs = links.join(sets.select(F.col("fingerprint").alias("a"), F.col("shingles").alias("sa")), "a").join(
-        sets.select(F.col("fingerprint").alias("b"), F.col("shingles").alias("sb")), "b"
+    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
+    named = store(classes.join(ends, "node", "left_semi"))
+    wanted = docs.select("doc_id", "text").join(named.select(F.col("first_id").alias("__id")).distinct(), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    # An id with several texts has other nodes too; copies of a set are one.
+    sets = store(shingle_sets(wanted, words).join(ends, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles")))
+    pairs = links.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"
     )
     shared = F.size(F.array_intersect("sa", "sb"))
     return pairs.where(shared / (F.size("sa") + F.size("sb") - shared) >= similarity).select("a", "b").distinct()
 
 
+def _similar_links(docs: DataFrame, classes: DataFrame, words: int, distance: int, prints: int, total: int, similarity: float) -> DataFrame:
+    """Confirmed links ``(a, b)`` between the nodes of ``classes``: sets of one fingerprint are compared with each
+    other, and those of linked fingerprints."""
+    links = linked_fingerprints(classes, distance=distance, prints=prints, total=total)
+    of = lambda end: classes.select(F.col("fingerprint").alias(f"f{end}"), F.col("node").alias(end))
+    apart = links.toDF("fa", "fb").join(of("a"), "fa").join(of("b"), "fb").select("a", "b")
+    equal = of("a").join(of("b"), F.col("fa") == F.col("fb")).where("a < b").select("a", "b")
+    return confirmed(docs, classes, apart.union(equal).distinct(), words, similarity)
+
+
 def near_duplicate_groups(docs: DataFrame, *, words: int = 3, distance: int = 3, prints: int = 1, total: int | None = None, similarity: float | None = None) -> DataFrame:
     """``(doc_id, fingerprint binary, component_id)``, one row per input row.
 
     Documents with equal fingerprints, and those whose fingerprints are linked (see the module), form a
-    group; with ``similarity``, which goes with ``total``, links must be confirmed. ``component_id`` is the smallest ``doc_id`` reachable, the row's own included. Copies count once
+    group. With ``similarity``, which goes with ``total``, only equal shingle sets form a group unchecked, each
+    shingle counts once in the fingerprint, and links, those of equal fingerprints included, must be confirmed.
+    ``component_id`` is the smallest ``doc_id`` reachable, the row's own included. Copies count once
     in the comparison. Null ids are members, but a component's id is null only if it has no other; empty and
     null texts share the fingerprint zero. Extra columns are ignored; an empty table gives no rows.
     """
-    table = store(fingerprints(docs, words=words, prints=prints))
-    classes = store(table.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
-    links = linked_fingerprints(classes, distance=distance, prints=prints, total=total)
-    if similarity is not None:
-        links = confirmed(docs, classes, links, words, similarity)
-    roots = store(components(links).withColumnRenamed("node", "fingerprint"))
-    joined = classes.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    if similarity is None:
+        table = fingerprints(docs, words=words, prints=prints).withColumn("node", F.col("fingerprint"))
+    else:
+        table = set_fingerprints(docs, words=words, prints=prints)
+    table = store(table)
+    classes = store(table.groupBy("node", "fingerprint").agg(F.min("doc_id").alias("first_id")))
+    if similarity is None:
+        links = linked_fingerprints(classes, distance=distance, prints=prints, total=total)
+    else:
+        links = _similar_links(docs, classes, words, distance, prints, total, similarity)
+    roots = store(components(links))
+    joined = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = joined.join(ids, "root").select("fingerprint", "component_id")
-    return table.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    named = joined.join(ids, "root").select("node", "component_id")
+    return table.join(named, "node").select("doc_id", "fingerprint", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, *, words: int = 5, distance: int = 5, prints: int = 4, total: int = 50, similarity: float = 0.8) -> DataFrame:
