@@ -179,6 +179,32 @@ def test_equal_fingerprints_are_no_proof(spark):
     assert kept == set(range(12))
 
 
+def test_all_similar_pairs_are_in_one_group(spark, many_partitions):
+    """Short texts, where the fingerprints of similar sets are far apart, families of edited copies with a common
+    passage, and hot passages: the groups are those of all pairs."""
+    draw = random.Random(31)
+    word = lambda: f"v{draw.randint(0, 10**6)}"
+    rows = []
+    for i in range(60):
+        words = [word() for _ in range(8 + i % 3)]
+        rows += [(10 * i, " ".join(words)), (10 * i + 1, " ".join([*words, word()])), (10 * i + 2, " ".join([word(), word(), *words]))]
+    passage = " ".join(word() for _ in range(80))
+    for i in range(4):
+        words = [word() for _ in range(90)]
+        rows += [(1000 + 100 * i + k, passage + " " + " ".join(word() if draw.random() < 0.015 else w for w in words)) for k in range(40)]
+    rows += [(2000 + i, passage + " " + " ".join(word() for _ in range(i))) for i in range(12)]
+    sets = {d: set(simhash._shingles(t.encode(), 5).tolist()) for d, t in rows}
+    group = {d: d for d in sets}
+    for x in sets:
+        for y in sets:
+            if x < y and group[x] != group[y] and len(sets[x] & sets[y]) / len(sets[x] | sets[y]) >= 0.8:
+                low, high = sorted((group[x], group[y]))
+                group = {d: low if g == high else g for d, g in group.items()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicate_groups(docs, words=5, distance=5, prints=4, total=50, similarity=0.8).collect()}
+    assert got == group
+
+
 def brute_removal(rows, length):
     """By (id, hash of the text), null ids first; equal rows are one document."""
     order = sorted({(d, t or "") for d, t in rows}, key=lambda r: (r[0] is not None, r[0] or 0, np.int64(np.uint64(xxhash.xxh64_intdigest(r[1].encode(), 42)))))

@@ -12,11 +12,14 @@ Several independent fingerprints may be taken of a text. Two texts are then cand
 anchor and differ in at most ``total`` bits of all fingerprints together. For a wanted ``similarity`` of the shingle
 sets every anchor emits the minimum spanning forest of its candidates by bits, at most a row less than it has,
 and each of these links is confirmed on the whole texts' shingles. Each shingle then counts once in a fingerprint, and
-only equal shingle sets are equal without a check.
+only equal shingle sets are equal without a check. What these links leave apart is then joined exactly: sets of a
+similarity share a shingle among the first ones of each in any fixed order (a prefix filter), and all such pairs of
+different groups are confirmed as well.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +38,9 @@ _SHINGLES_PER_STEP = 1 << 18
 _PAIRS_PER_STEP = 1 << 21
 # An anchor key has the block's bits below and the number of the block from this bit on.
 _TAG_SHIFT = 58
+# Shingles of at least _COMMON sets among about _SAMPLE come last in the order of the prefix filter, at most 200,000
+# (3 MB). The result does not depend on them, only the number of pairs that are compared.
+_SAMPLE, _COMMON, _MOST_COMMON = 2_000, 4, 200_000
 
 
 def _word_bounds(text: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -268,21 +274,110 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "node binary, shingles array<long>")
 
 
-def set_fingerprints(docs: DataFrame, *, words: int, prints: int) -> DataFrame:
-    """``(doc_id, fingerprint, node)``, one row per input row: fingerprints in which each shingle counts once, and
-    the digest of the shingle set."""
+def set_fingerprints(docs: DataFrame, *, words: int, prints: int, similarity: float, common: np.ndarray) -> DataFrame:
+    """``(doc_id, fingerprint, node, size, prefix)``, one row per input row: fingerprints in which each shingle counts
+    once, the digest of the shingle set, its size and its first shingles, one of which any set of at least the
+    ``similarity`` has among its own. ``common`` shingles are the last, in their order."""
+    order = np.argsort(common)
+    known = common[order]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, offsets in utf8_slices(batch.column(1)):
                 raw = data.tobytes()
                 sets = [_shingles(raw[offsets[i] : offsets[i + 1]], words) for i in range(end - first)]
-                columns = [pa.array([_set_print(x, prints) for x in sets], pa.binary()), pa.array([_digest(x) for x in sets], pa.binary())]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), *columns], ["doc_id", "fingerprint", "node"])
+                columns = [
+                    batch.column(0).slice(first, end - first),
+                    pa.array([_set_print(x, prints) for x in sets], pa.binary()), pa.array([_digest(x) for x in sets], pa.binary()),
+                    pa.array([len(x) for x in sets], pa.int32()), pa.array([_prefix(x, similarity, known, order) for x in sets], pa.list_(pa.int64())),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fingerprint", "node", "size", "prefix"])
 
     ship(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint binary, node binary")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint binary, node binary, size int, prefix array<long>")
+
+
+def common_shingles(docs: DataFrame, words: int) -> np.ndarray:
+    """Shingles of several texts of a sample, the rarest first."""
+    ship(docs.sparkSession)
+    step = max(1, docs.count() // _SAMPLE)
+    sample = docs.where(F.pmod(F.xxhash64("text"), F.lit(step)) == 0)
+    sets = shingle_sets(sample, words).groupBy("node").agg(F.first("shingles").alias("shingles"))
+    counts = sets.select(F.explode("shingles").alias("shingle")).groupBy("shingle").count().where(F.col("count") >= _COMMON)
+    most = counts.orderBy(F.col("count").desc(), "shingle").limit(_MOST_COMMON).select("shingle").toArrow()
+    return most.column(0).to_numpy()[::-1].copy()
+
+
+def _prefix(shingles: np.ndarray, similarity: float, known: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first shingles of a set: those not in sorted ``known`` by value, then those by ``rank``."""
+    n = len(shingles)
+    if not n:
+        return shingles
+    if len(known):
+        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
+        last = known[at] == shingles
+        shingles = np.concatenate((shingles[~last], shingles[last][np.argsort(rank[at[last]])]))
+    return shingles[: n - math.ceil(similarity * n - 1e-9) + 1]
+
+
+def _prefix_pairs(keys, roots, ids, sizes, places, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of ids that may have the similarity, of rows sorted by key and root: one key, but different roots. What a
+    pair shares is at most the rest behind its first common shingle."""
+    new_key = np.concatenate((keys[1:] != keys[:-1], [True]))
+    ends = np.flatnonzero(new_key) + 1
+    end = ends[np.searchsorted(ends, np.arange(len(keys)), "right")]
+    runs = np.flatnonzero(np.concatenate((roots[1:] != roots[:-1], [True])) | new_key) + 1
+    start = runs[np.searchsorted(runs, np.arange(len(keys)), "right")]
+    rows = np.flatnonzero(end > start)
+    reach = np.cumsum(end[rows] - start[rows])
+    done = 0
+    while done < len(rows):
+        until = max(done + 1, int(np.searchsorted(reach, (reach[done - 1] if done else 0) + _PAIRS_PER_STEP)))
+        part = rows[done:until]
+        n = end[part] - start[part]
+        a = np.repeat(part, n)
+        b = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[part], n)
+        wanted = similarity / (1 + similarity) * (sizes[a] + sizes[b]) - 1e-6
+        near = np.minimum(sizes[a] - places[a], sizes[b] - places[b]) >= wanted
+        x, y = ids[a[near]], ids[b[near]]
+        yield np.minimum(x, y), np.maximum(x, y)
+        done = until
+
+
+def unlinked_pairs(classes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of nodes ``(a, b)`` of different ``roots`` (``node, root``): all that have the similarity, and others."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs(parts: list) -> Iterator[pa.RecordBatch]:
+            for a, b in _prefix_pairs(*(np.concatenate(x) for x in zip(*parts)), similarity):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["ia", "ib"])
+
+        held: list = []  # rows of the last shingle seen, which may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            part = tuple(c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            cut = int(np.searchsorted(part[0], part[0][-1]))
+            if cut:
+                yield from pairs([*held, tuple(x[:cut] for x in part)])
+                held = []
+            elif held and held[0][0][0] != part[0][0]:
+                yield from pairs(held)
+                held = []
+            held.append(tuple(x[cut:] for x in part))
+        if held:
+            yield from pairs(held)
+
+    # Numbers of 64 bits stand for the nodes; if two share one, both are tried.
+    named = classes.withColumn("id", F.xxhash64("node"))
+    rows = named.join(roots, "node", "left").select(
+        F.posexplode("prefix").alias("place", "shingle"), F.xxhash64(F.coalesce("root", "node")).alias("root"), "id", "size"
+    ).select("shingle", "root", "id", F.col("size").cast("long").alias("size"), F.col("place").cast("long").alias("place"))
+    by_shingle = rows.repartition("shingle").sortWithinPartitions("shingle", "root")
+    found = by_shingle.mapInArrow(compare, "ia long, ib long").distinct()
+    node = lambda end: named.select(F.col("id").alias(f"i{end}"), F.col("node").alias(end))
+    return found.join(node("a"), "ia").join(node("b"), "ib").where("a <> b").select("a", "b")
 
 
 def _digest(shingles: np.ndarray) -> bytes:
@@ -329,13 +424,19 @@ def confirmed(docs: DataFrame, classes: DataFrame, links: DataFrame, words: int,
 
 
 def _similar_links(docs: DataFrame, classes: DataFrame, words: int, distance: int, prints: int, total: int, similarity: float) -> DataFrame:
-    """Confirmed links ``(a, b)`` between the nodes of ``classes``: sets of one fingerprint are compared with each
-    other, and those of linked fingerprints."""
+    """Confirmed links ``(a, b)`` that connect the nodes of ``classes`` exactly as all pairs of the similarity do.
+
+    First those of linked fingerprints, where the smallest digest stands for a fingerprint and is linked to its
+    others; they join large families. Then all pairs that these leave in different groups.
+    """
     links = linked_fingerprints(classes, distance=distance, prints=prints, total=total)
-    of = lambda end: classes.select(F.col("fingerprint").alias(f"f{end}"), F.col("node").alias(end))
+    first = store(classes.groupBy("fingerprint").agg(F.min("node").alias("first")))
+    of = lambda end: first.select(F.col("fingerprint").alias(f"f{end}"), F.col("first").alias(end))
     apart = links.toDF("fa", "fb").join(of("a"), "fa").join(of("b"), "fb").select("a", "b")
-    equal = of("a").join(of("b"), F.col("fa") == F.col("fb")).where("a < b").select("a", "b")
-    return confirmed(docs, classes, apart.union(equal).distinct(), words, similarity)
+    equal = classes.join(first, "fingerprint").where("first <> node").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    roots = store(components(confirmed(docs, classes, apart.union(equal), words, similarity)))
+    more = confirmed(docs, classes, unlinked_pairs(classes, roots, similarity), words, similarity)
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)
 
 
 def near_duplicate_groups(docs: DataFrame, *, words: int = 3, distance: int = 3, prints: int = 1, total: int | None = None, similarity: float | None = None) -> DataFrame:
@@ -343,7 +444,8 @@ def near_duplicate_groups(docs: DataFrame, *, words: int = 3, distance: int = 3,
 
     Documents with equal fingerprints, and those whose fingerprints are linked (see the module), form a
     group. With ``similarity``, which goes with ``total``, only equal shingle sets form a group unchecked, each
-    shingle counts once in the fingerprint, and links, those of equal fingerprints included, must be confirmed.
+    shingle counts once in the fingerprint, links, those of equal fingerprints included, must be confirmed, and
+    every pair of the similarity is in one group.
     ``component_id`` is the smallest ``doc_id`` reachable, the row's own included. Copies count once
     in the comparison. Null ids are members, but a component's id is null only if it has no other; empty and
     null texts share the fingerprint zero. Extra columns are ignored; an empty table gives no rows.
@@ -351,9 +453,10 @@ def near_duplicate_groups(docs: DataFrame, *, words: int = 3, distance: int = 3,
     if similarity is None:
         table = fingerprints(docs, words=words, prints=prints).withColumn("node", F.col("fingerprint"))
     else:
-        table = set_fingerprints(docs, words=words, prints=prints)
+        table = set_fingerprints(docs, words=words, prints=prints, similarity=similarity, common=common_shingles(docs, words))
     table = store(table)
-    classes = store(table.groupBy("node", "fingerprint").agg(F.min("doc_id").alias("first_id")))
+    first = [F.first(c).alias(c) for c in ("size", "prefix") if similarity is not None]
+    classes = store(table.groupBy("node", "fingerprint").agg(F.min("doc_id").alias("first_id"), *first))
     if similarity is None:
         links = linked_fingerprints(classes, distance=distance, prints=prints, total=total)
     else:
@@ -368,8 +471,9 @@ def near_duplicate_groups(docs: DataFrame, *, words: int = 3, distance: int = 3,
 def drop_near_duplicates(docs: DataFrame, *, words: int = 5, distance: int = 5, prints: int = 4, total: int = 50, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one document of each group, the one with the smallest id.
 
-    Links are texts whose sets of five-word shingles have a similarity of 0.8 or more. Of 256 bits such texts
-    differ in ``256 * acos(2 * 0.8 / 1.8) / pi``, about 38 on average; 50 allows for the spread. Rows without words
+    Links are texts whose sets of five-word shingles have a similarity of 0.8 or more, all of them. Of 256 bits such
+    texts differ in ``256 * acos(2 * 0.8 / 1.8) / pi``, about 38 on average; 50 allows for the spread, and what lies
+    beyond or meets at no anchor is found by shared shingles. Rows without words
     and rows with null ids stay as they are; of rows that repeat an id all stay or none.
     """
     known = docs.where(F.col("doc_id").isNotNull())
