@@ -52,6 +52,17 @@ def test_recurring_lines_equal_brute_force(spark, many_partitions):
     assert [(r.n_lines, r.n_dropped) for r in kept if r.doc_id in (40, 41)] == [(1, 0)] * 2
 
 
+def test_lines_go_by_text_where_ids_are_null_or_repeated(spark):
+    """The recurring line stands at another place in each text; without an id, each text counts."""
+    line = "please accept all cookies now"
+    bodies = [[f"clean{'abcdefghij'[i]}{'abcdefghij'[j]} " * 5 for j in range(8)] for i in range(8)]
+    rows = [(None if i < 6 else 77, "\n".join([*b[:i], line, *b[i:]])) for i, b in enumerate(bodies)]
+    want = sorted((repr(d), "\n".join(b), 9, 1) for (d, _), b in zip(rows, bodies))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((repr(r.doc_id), *r[1:]) for r in drop_recurring_lines(docs, min_documents=7).collect()) == want
+    assert sum(r.n_dropped for r in drop_recurring_lines(docs, min_documents=8).collect()) == 0
+
+
 def test_line_operator_takes_odd_tables(corpus, corpus_rows, empty):
     assert drop_recurring_lines(corpus, min_documents=2).count() == len(corpus_rows)
     assert drop_recurring_lines(empty).count() == 0

@@ -35,13 +35,18 @@ def _masked(text: Column) -> Column:
     return F.regexp_replace(F.trim(flat), r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", WILDCARD)
 
 
+def _body(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def _with_leaf(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """``(doc_id, line_no, tokens, n, leaf, line)`` of the lines that are long enough; leaf and line are hashes."""
-    lines = docs.select("doc_id", F.posexplode(_lines(_masked(F.col("text")))).alias("line_no", "masked"))
+    """``(doc_id, body, line_no, tokens, n, leaf, line)`` of the lines that are long enough; body (the whole text), leaf
+    and line are hashes."""
+    lines = docs.select("doc_id", _body(F.col("text")).alias("body"), F.posexplode(_lines(_masked(F.col("text")))).alias("line_no", "masked"))
     lines = lines.withColumn("tokens", F.split("masked", " ", -1))
     lines = lines.withColumn("n", F.size("tokens")).where((F.col("n") >= min_tokens) & (F.col("masked") != ""))
     leaf = F.xxhash64("n", F.slice("tokens", 1, depth))
-    return lines.select("doc_id", "line_no", "tokens", "n", leaf.alias("leaf"), F.xxhash64("masked").alias("line"))
+    return lines.select("doc_id", "body", "line_no", "tokens", "n", leaf.alias("leaf"), F.xxhash64("masked").alias("line"))
 
 
 def recurring_lines(
@@ -49,9 +54,15 @@ def recurring_lines(
 ) -> DataFrame:
     """``(doc_id, line_no)`` of the lines to drop, numbered from 0 in their text.
 
-    Lines of fewer than ``min_tokens`` tokens are never dropped. Null ids are one document here.
+    Lines of fewer than ``min_tokens`` tokens are never dropped. Rows of one id are one document; without an id, each
+    text is a document of its own.
     """
-    keys = store(_with_leaf(docs, depth, min_tokens).select("doc_id", "line_no", "leaf", "line"))
+    return _recurring(docs, depth, similarity, min_documents, min_tokens).select("doc_id", "line_no")
+
+
+def _recurring(docs: DataFrame, depth: int, similarity: float, min_documents: int, min_tokens: int) -> DataFrame:
+    """``(doc_id, body, line_no)`` of the lines to drop, by the hash of their whole text."""
+    keys = store(_with_leaf(docs, depth, min_tokens).select("doc_id", "body", "line_no", "leaf", "line"))
     # A template is in no more documents than its leaf has lines.
     leaves = store(keys.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= min_documents).select("leaf"))
     few = leaves.count() <= BROADCAST_LEAVES
@@ -70,23 +81,28 @@ def recurring_lines(
         "leaf", "line", F.when(agree >= similarity * F.col("n"), F.lit(None).cast("long")).otherwise(F.col("line")).alias("own")
     )
     assigned = store(assigned)
-    seen = keys.join(hot, "leaf").join(assigned, ["leaf", "line"]).select("leaf", "own", "doc_id").distinct()
+    seen = keys.join(hot, "leaf").join(assigned, ["leaf", "line"]).select(
+        "leaf", "own", "doc_id", F.when(F.col("doc_id").isNull(), F.col("body")).alias("body")
+    ).distinct()
     recurring = seen.groupBy("leaf", "own").agg(F.count(F.lit(1)).alias("documents")).where(F.col("documents") >= min_documents)
     recurring = recurring.select("leaf", F.col("own").alias("__own"))
     dropped = assigned.join(recurring, "leaf").where(F.col("own").eqNullSafe(F.col("__own"))).select("leaf", "line")
-    return keys.join(dropped, ["leaf", "line"]).select("doc_id", "line_no")
+    return keys.join(dropped, ["leaf", "line"]).select("doc_id", "body", "line_no")
 
 
-def drop_recurring_lines(docs: DataFrame, **parameters) -> DataFrame:
+def drop_recurring_lines(
+    docs: DataFrame, *, depth: int = DEPTH, similarity: float = SIMILARITY, min_documents: int = MIN_DOCUMENTS, min_tokens: int = MIN_TOKENS,
+) -> DataFrame:
     """``(doc_id, text, n_lines, n_dropped)``: each text without its recurring lines, and how many it had and lost.
 
     Lines are what line feeds separate; the others stay as they are, joined by line feeds. A null text counts as
-    empty and has one empty line. Rows that repeat an id lose the lines that are recurring in any of them at
-    the same place. Other columns are ignored; an empty table gives no rows.
+    empty and has one empty line. Each row loses the recurring lines of its own text, also if ids are null or
+    repeated. Other columns are ignored; an empty table gives no rows.
     """
-    gone = recurring_lines(docs, **parameters).distinct()
-    gone = gone.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list("line_no").alias("__gone"))
-    lines = docs.select("doc_id", _lines(F.col("text")).alias("lines")).join(gone, F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+    gone = _recurring(docs, depth, similarity, min_documents, min_tokens).distinct()
+    gone = gone.groupBy(F.col("doc_id").alias("__id"), F.col("body").alias("__body")).agg(F.collect_list("line_no").alias("__gone"))
+    lines = docs.select("doc_id", _body(F.col("text")).alias("body"), _lines(F.col("text")).alias("lines"))
+    lines = lines.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("body") == F.col("__body")), "left")
     kept = F.when(F.col("__gone").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda _, i: ~F.array_contains("__gone", i)))
     return lines.withColumn("kept", kept).select(
         "doc_id", F.array_join("kept", "\n").alias("text"), F.size("lines").cast("long").alias("n_lines"),
