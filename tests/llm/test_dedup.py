@@ -247,6 +247,20 @@ def test_repeated_strings_go(spark, corpus, corpus_rows, empty, many_partitions,
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_lengths_beyond_a_byte(spark):
+    draw = random.Random(9)
+    text = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    shared = text(900)
+    rows = [(i, text(50 + i) + shared[draw.randint(0, 300) : draw.randint(500, 900)] + text(40)) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_removal(rows, 400)
+    assert sum(w[1] for w in want.values()) > 0
+    got = suffix_dedup.remove_repeats(docs, length=400, digest=True).collect()
+    assert sorted((r.doc_id, *r[1:2], r.n_removed, r.n_spans, r.kept) for r in got) == sorted((d, *want[d, t]) for d, t in rows)
+    with pytest.raises(ValueError):
+        suffix_dedup.remove_repeats(docs, length=70_000)
+
+
 def test_long_text_is_cut_into_overlapping_chunks(monkeypatch):
     draw = np.random.default_rng(2)
     data = draw.integers(97, 101, 5000).astype(np.uint8)

@@ -114,7 +114,7 @@ def _anchor_rows(length: int, gram: int):
                     bounds = np.array([0, len(part)]) if end - first == 1 else offsets
                     doc, hashed, at, low, high = anchors(part, bounds, length, gram)
                     # Position, and how far left and right the window starts reach, in one number.
-                    place = (at + shift) << 16 | (at - low) << 8 | (at - high)
+                    place = (at + shift) << 32 | (at - low) << 16 | (at - high)
                     own = batch.column(0).slice(first, end - first).take(pa.array(doc))
                     yield pa.RecordBatch.from_arrays([pa.array(hashed), own, pa.array(place)], ["hash", "doc", "place"])
 
@@ -160,11 +160,11 @@ def _surroundings(length: int):
                 doc = np.repeat(np.arange(end - first), counts)
                 for i in range(0, len(every), _CHUNK_ROWS):
                     place, row = every[i : i + _CHUNK_ROWS], doc[i : i + _CHUNK_ROWS]
-                    at = offsets[row] + (place >> 16)
-                    left, right = (place >> 8) & 255, length - (place & 255)
+                    at = offsets[row] + (place >> 32)
+                    left, right = (place >> 16) & 0xFFFF, length - (place & 0xFFFF)
                     own = batch.column(0).slice(first, end - first).take(pa.array(row))
                     yield pa.RecordBatch.from_arrays(
-                        [_cut(data, at, right), _cut(data, at - left, left), own, pa.array((place >> 16) - left)],
+                        [_cut(data, at, right), _cut(data, at - left, left), own, pa.array((place >> 32) - left)],
                         ["right", "left", "doc", "low"],
                     )
 
@@ -436,10 +436,12 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM, m
 
     A byte goes if a string of ``length`` bytes that covers it also starts earlier: in a document with a smaller
     id, or at an earlier place of the same one. Matches never cross documents; strings are judged on
-    the input. Null is the empty text. Null ids come before all others. Rows that repeat an id are ordered by
+    the input; ``length`` is at most 65,535. Null is the empty text. Null ids come before all others. Rows that repeat an id are ordered by
     the hash of their text; rows that repeat id and text are one document and get one result each.
     Other columns are ignored; an empty table gives no rows.
     """
+    if length > 0xFFFF:
+        raise ValueError(f"length {length} is above 65535")
     text = F.coalesce("text", F.lit("")).alias("text")
     kind = docs.schema["doc_id"].dataType
     parameters = {"length": length, "gram": gram, "max_group": max_group}
