@@ -7,19 +7,10 @@ others. A fingerprint is at home at its nearest anchor, and is repeated to every
 home of a block one bit away, all of them within radius one plus that one bit. Homes and visitors are
 compared per anchor, where each connected group of links is emitted as a star, never as all its pairs.
 With two blocks of 32 bits there are 2^27 anchors a block and 34 rows a fingerprint.
-
-Several independent fingerprints may be taken of a text. Two texts are then candidates if they meet at any
-anchor and differ in at most ``total`` bits of all fingerprints together. For a wanted ``similarity`` of the shingle
-sets every anchor emits the minimum spanning forest of its candidates by bits, at most a row less than it has,
-and each of these links is confirmed on the whole texts' shingles. Each shingle then counts once in a fingerprint, and
-only equal shingle sets are equal without a check. What these links leave apart is then joined exactly: sets of a
-similarity share a shingle among the first ones of each in any fixed order (a prefix filter), and all such pairs of
-different groups are confirmed as well.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,9 +29,6 @@ _SHINGLES_PER_STEP = 1 << 18
 _PAIRS_PER_STEP = 1 << 21
 # An anchor key has the block's bits below and the number of the block from this bit on.
 _TAG_SHIFT = 58
-# Shingles of at least _COMMON sets among about _SAMPLE come last in the order of the prefix filter, at most 200,000
-# (3 MB). The result does not depend on them, only the number of pairs that are compared.
-_SAMPLE, _COMMON, _MOST_COMMON = 2_000, 4, 200_000
 
 
 def _word_bounds(text: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -52,30 +40,28 @@ def _word_bounds(text: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
     return joined, np.concatenate(([0], gaps + 1)), np.concatenate((gaps, [len(joined)]))
 
 
-def simhash(text: bytes, words: int = 3, prints: int = 1) -> bytes:
-    """Fingerprints of a text, 8 bytes each: a bit is set if it is set in over half of the shingles' hashes.
+def simhash(text: bytes, words: int = 3) -> bytes:
+    """Fingerprint of a text, 8 bytes: a bit is set if it is set in over half of the shingles' hashes.
 
     Words are runs without ASCII white space after lower-casing A-Z; shingles are ``words`` words joined by
-    a space, repeats included, hashed by XXH64 with seeds from 42 on. Fewer words make one shingle, none the
+    a space, repeats included, hashed by XXH64 with seed 42. Fewer words make one shingle, none the
     fingerprint zero.
     """
     joined, starts, ends = _word_bounds(text.lower())
     if not len(starts):
-        return bytes(8 * prints)
+        return bytes(8)
     n = max(1, len(starts) - words + 1)
     ends = ends[min(words, len(ends)) - 1 :]
-    ones = np.zeros((prints, 64), np.int64)
+    ones = np.zeros(64, np.int64)
     digest = xxhash.xxh64_intdigest
     for i in range(0, n, _SHINGLES_PER_STEP):
         part = zip(starts[i : min(n, i + _SHINGLES_PER_STEP)].tolist(), ends[i : i + _SHINGLES_PER_STEP].tolist())
-        shingles = [joined[s:e] for s, e in part]
-        for k in range(prints):
-            hashes = np.array([digest(x, SEED + k) for x in shingles], ">u8")
-            ones[k] += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        hashes = np.array([digest(joined[s:e], SEED) for s, e in part], ">u8")
+        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return np.packbits(2 * ones > n).tobytes()
 
 
-def fingerprints(docs: DataFrame, *, words: int = 3, prints: int = 1) -> DataFrame:
+def fingerprints(docs: DataFrame, *, words: int = 3) -> DataFrame:
     """``(doc_id, fingerprint binary)``, one row per input row, over whole texts. Null is the empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +69,7 @@ def fingerprints(docs: DataFrame, *, words: int = 3, prints: int = 1) -> DataFra
             values = []
             for first, end, data, offsets in utf8_slices(batch.column(1)):
                 raw = data.tobytes()
-                values += [simhash(raw[offsets[i] : offsets[i + 1]], words, prints) for i in range(end - first)]
+                values += [simhash(raw[offsets[i] : offsets[i + 1]], words) for i in range(end - first)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], ["doc_id", "fingerprint"])
 
     ship(docs.sparkSession)
@@ -96,9 +82,8 @@ def block_sizes(distance: int, bits: int = 64) -> list[int]:
     return [bits * (i + 1) // n - bits * i // n for i in range(n)]
 
 
-def anchors_of(values: np.ndarray, distance: int, first_block: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(row, anchor, home)`` for 64-bit fingerprints; the anchors of block ``b`` carry ``first_block + b``
-    in their top bits."""
+def anchors_of(values: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, anchor, home)`` for 64-bit fingerprints; the anchors of block ``b`` carry ``b`` in their top bits."""
     rows, keys, homes = [], [], []
     low = 0
     every = np.arange(len(values))
@@ -111,7 +96,7 @@ def anchors_of(values: np.ndarray, distance: int, first_block: int = 0) -> tuple
         for k in range(code_bits):
             syndrome ^= np.where((block >> np.uint64(k)) & np.uint64(1), k + 1, 0)
         nearest = np.where(syndrome > 0, block ^ (np.uint64(1) << (np.maximum(syndrome, 1) - 1).astype(np.uint64)), block)
-        tag = np.uint64((first_block + number) << _TAG_SHIFT)
+        tag = np.uint64(number << _TAG_SHIFT)
 
         def add(which, anchors, home, tag=tag):
             rows.append(which), keys.append(anchors | tag), homes.append(np.full(len(which), home))
@@ -129,23 +114,19 @@ def anchors_of(values: np.ndarray, distance: int, first_block: int = 0) -> tuple
     return np.concatenate(rows), np.concatenate(keys), np.concatenate(homes)
 
 
-def _words_of(column: pa.Array, prints: int) -> np.ndarray:
-    """``(rows, prints)`` 64-bit words of a binary column of ``8 * prints`` bytes a row."""
-    flat = b"".join(column.to_pylist())
-    return np.frombuffer(flat, ">u8").astype(np.uint64).reshape(-1, prints)
+def _words_of(column: pa.Array) -> np.ndarray:
+    """64-bit words of a binary column of 8 bytes a row."""
+    return np.frombuffer(b"".join(column.to_pylist()), ">u8").astype(np.uint64)
 
 
-def _stars(values: np.ndarray, keys: np.ndarray, homes: np.ndarray, n_blocks: int, distance: int, total: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Rows that connect what is linked at the anchors of sorted ``keys``: ``(member, centre)`` of stars, or with
-    ``total`` the links of the minimum spanning forest."""
+def _stars(values: np.ndarray, keys: np.ndarray, homes: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that connect what is linked at the anchors of sorted ``keys``: ``(member, centre)`` of stars."""
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     sizes = np.diff(np.concatenate((starts, [len(keys)])))
     group = np.repeat(np.arange(len(starts)), sizes)
     hosts = np.flatnonzero(homes & (sizes[group] > 1))
     label = np.arange(len(keys))
-    which = (keys >> np.uint64(_TAG_SHIFT)).astype(np.int64) // n_blocks
     reach = np.cumsum(sizes[group[hosts]])
-    forest = tuple(np.empty(0, np.int64) for _ in range(3))
     done = 0
     while done < len(hosts):
         end = max(done + 1, int(np.searchsorted(reach, (reach[done - 1] if done else 0) + _PAIRS_PER_STEP)))
@@ -153,46 +134,13 @@ def _stars(values: np.ndarray, keys: np.ndarray, homes: np.ndarray, n_blocks: in
         n = sizes[group[part]]
         a = np.repeat(part, n)
         b = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[group[part]], n)
-        if total is None:
-            near = np.bitwise_count(values[a, which[a]] ^ values[b, which[a]]) <= distance
-            _merge(label, a[near], b[near])
-        else:
-            bits = np.bitwise_count(values[a] ^ values[b]).sum(axis=1, dtype=np.int64)
-            near = (bits <= total) & (a != b)
-            a, b = np.minimum(a, b)[near], np.maximum(a, b)[near]
-            # The forest of all links is that of the forest so far and the new ones.
-            forest = _forest(len(keys), *(np.concatenate(x) for x in zip(forest, (a, b, bits[near]))))
+        near = np.bitwise_count(values[a] ^ values[b]) <= distance
+        _merge(label, a[near], b[near])
         done = end
-    if total is not None:
-        return forest[0], forest[1]
     members = np.flatnonzero(label != np.arange(len(label)))
     return members, label[members]
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Minimum spanning forest of the links by bits, then place, in Boruvka's rounds."""
-    order = np.lexsort((b, a, bits))
-    a, b, bits = a[order], b[order], bits[order]
-    label = np.arange(n)
-    chosen, left = [], np.arange(len(a))
-    while True:
-        left = left[label[a[left]] != label[b[left]]]
-        if not len(left):
-            break
-        # Links are in order, so the last write from the back is each tree's shortest.
-        best = np.full(n, len(a))
-        back = left[::-1]
-        best[label[a[back]]] = back
-        other = np.full(n, len(a))
-        other[label[b[back]]] = back
-        best = np.minimum(best, other)
-        picked = np.unique(best[best < len(a)])
-        chosen.append(picked)
-        _merge(label, a[picked], b[picked])
-    keep = np.concatenate(chosen) if chosen else np.empty(0, np.int64)
-    return a[keep], b[keep], bits[keep]
-
-
 def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Lower ``label`` to the smallest row connected through the links."""
     while True:
@@ -209,31 +157,27 @@ def _merge(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             label[:] = deeper
 
 
-def linked_fingerprints(values: DataFrame, *, distance: int = 3, prints: int = 1, total: int | None = None) -> DataFrame:
+def linked_fingerprints(values: DataFrame, *, distance: int = 3) -> DataFrame:
     """Links ``(a, b)`` that connect the distinct ``fingerprint`` values exactly as the pairs within the distance do.
 
-    Each anchor's links come as a star around one of its fingerprints, so there are at most as many as rows. With
-    ``total`` they are the shortest ones that connect an anchor's candidates, real pairs within ``total`` bits.
+    Each anchor's links come as a star around one of its fingerprints, so there are at most as many as rows.
     """
     ship(values.sparkSession)
-    n_blocks = len(block_sizes(distance))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 5_000):
                 column = batch.column(0).slice(at, 5_000)
-                words = _words_of(column, prints)
-                for k in range(prints):
-                    rows, keys, homes = anchors_of(words[:, k], distance, k * n_blocks)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys.view(np.int64)), column.take(pa.array(rows)), pa.array(homes)], ["anchor", "fingerprint", "home"]
-                    )
+                rows, keys, homes = anchors_of(_words_of(column), distance)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys.view(np.int64)), column.take(pa.array(rows)), pa.array(homes)], ["anchor", "fingerprint", "home"]
+                )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def stars(parts: list) -> pa.RecordBatch:
             keys, column, homes = (np.concatenate([p[0] for p in parts]), pa.chunked_array([p[1] for p in parts]).combine_chunks(),
                                    np.concatenate([p[2] for p in parts]))
-            members, centres = _stars(_words_of(column, prints), keys.view(np.uint64), homes, n_blocks, distance, total)
+            members, centres = _stars(_words_of(column), keys.view(np.uint64), homes, distance)
             return pa.RecordBatch.from_arrays([column.take(pa.array(members)), column.take(pa.array(centres))], ["a", "b"])
 
         held: list = []  # rows of the last anchor seen, which may go on in the next batch
@@ -260,224 +204,31 @@ def linked_fingerprints(values: DataFrame, *, distance: int = 3, prints: int = 1
     return by_anchor.mapInArrow(compare, "a binary, b binary").distinct()
 
 
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """``(node, shingles array<long>)``: the distinct shingles of each whole text, by hash, and their digest."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, end, data, offsets in utf8_slices(batch.column(0)):
-                raw = data.tobytes()
-                sets = [_shingles(raw[offsets[i] : offsets[i + 1]], words) for i in range(end - first)]
-                nodes = pa.array([_digest(x) for x in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([nodes, pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
-
-    return docs.select("text").mapInArrow(run, "node binary, shingles array<long>")
-
-
-def set_fingerprints(docs: DataFrame, *, words: int, prints: int, similarity: float, common: np.ndarray) -> DataFrame:
-    """``(doc_id, fingerprint, node, size, prefix)``, one row per input row: fingerprints in which each shingle counts
-    once, the digest of the shingle set, its size and its first shingles, one of which any set of at least the
-    ``similarity`` has among its own. ``common`` shingles are the last, in their order."""
-    order = np.argsort(common)
-    known = common[order]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, end, data, offsets in utf8_slices(batch.column(1)):
-                raw = data.tobytes()
-                sets = [_shingles(raw[offsets[i] : offsets[i + 1]], words) for i in range(end - first)]
-                columns = [
-                    batch.column(0).slice(first, end - first),
-                    pa.array([_set_print(x, prints) for x in sets], pa.binary()), pa.array([_digest(x) for x in sets], pa.binary()),
-                    pa.array([len(x) for x in sets], pa.int32()), pa.array([_prefix(x, similarity, known, order) for x in sets], pa.list_(pa.int64())),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fingerprint", "node", "size", "prefix"])
-
-    ship(docs.sparkSession)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint binary, node binary, size int, prefix array<long>")
-
-
-def common_shingles(docs: DataFrame, words: int) -> np.ndarray:
-    """Shingles of several texts of a sample, the rarest first."""
-    ship(docs.sparkSession)
-    step = max(1, docs.count() // _SAMPLE)
-    sample = docs.where(F.pmod(F.xxhash64("text"), F.lit(step)) == 0)
-    sets = shingle_sets(sample, words).groupBy("node").agg(F.first("shingles").alias("shingles"))
-    counts = sets.select(F.explode("shingles").alias("shingle")).groupBy("shingle").count().where(F.col("count") >= _COMMON)
-    most = counts.orderBy(F.col("count").desc(), "shingle").limit(_MOST_COMMON).select("shingle").toArrow()
-    return most.column(0).to_numpy()[::-1].copy()
-
-
-def _prefix(shingles: np.ndarray, similarity: float, known: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The first shingles of a set: those not in sorted ``known`` by value, then those by ``rank``."""
-    n = len(shingles)
-    if not n:
-        return shingles
-    if len(known):
-        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
-        last = known[at] == shingles
-        shingles = np.concatenate((shingles[~last], shingles[last][np.argsort(rank[at[last]])]))
-    return shingles[: n - math.ceil(similarity * n - 1e-9) + 1]
-
-
-def _prefix_pairs(keys, roots, ids, sizes, places, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of ids that may have the similarity, of rows sorted by key and root: one key, but different roots. What a
-    pair shares is at most the rest behind its first common shingle."""
-    new_key = np.concatenate((keys[1:] != keys[:-1], [True]))
-    ends = np.flatnonzero(new_key) + 1
-    end = ends[np.searchsorted(ends, np.arange(len(keys)), "right")]
-    runs = np.flatnonzero(np.concatenate((roots[1:] != roots[:-1], [True])) | new_key) + 1
-    start = runs[np.searchsorted(runs, np.arange(len(keys)), "right")]
-    rows = np.flatnonzero(end > start)
-    reach = np.cumsum(end[rows] - start[rows])
-    done = 0
-    while done < len(rows):
-        until = max(done + 1, int(np.searchsorted(reach, (reach[done - 1] if done else 0) + _PAIRS_PER_STEP)))
-        part = rows[done:until]
-        n = end[part] - start[part]
-        a = np.repeat(part, n)
-        b = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[part], n)
-        wanted = similarity / (1 + similarity) * (sizes[a] + sizes[b]) - 1e-6
-        near = np.minimum(sizes[a] - places[a], sizes[b] - places[b]) >= wanted
-        x, y = ids[a[near]], ids[b[near]]
-        yield np.minimum(x, y), np.maximum(x, y)
-        done = until
-
-
-def unlinked_pairs(classes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of nodes ``(a, b)`` of different ``roots`` (``node, root``): all that have the similarity, and others."""
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(parts: list) -> Iterator[pa.RecordBatch]:
-            for a, b in _prefix_pairs(*(np.concatenate(x) for x in zip(*parts)), similarity):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["ia", "ib"])
-
-        held: list = []  # rows of the last shingle seen, which may go on in the next batch
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            part = tuple(c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            cut = int(np.searchsorted(part[0], part[0][-1]))
-            if cut:
-                yield from pairs([*held, tuple(x[:cut] for x in part)])
-                held = []
-            elif held and held[0][0][0] != part[0][0]:
-                yield from pairs(held)
-                held = []
-            held.append(tuple(x[cut:] for x in part))
-        if held:
-            yield from pairs(held)
-
-    # Numbers of 64 bits stand for the nodes; if two share one, both are tried.
-    named = classes.withColumn("id", F.xxhash64("node"))
-    rows = named.join(roots, "node", "left").select(
-        F.posexplode("prefix").alias("place", "shingle"), F.xxhash64(F.coalesce("root", "node")).alias("root"), "id", "size"
-    ).select("shingle", "root", "id", F.col("size").cast("long").alias("size"), F.col("place").cast("long").alias("place"))
-    by_shingle = rows.repartition("shingle").sortWithinPartitions("shingle", "root")
-    found = by_shingle.mapInArrow(compare, "ia long, ib long").distinct()
-    node = lambda end: named.select(F.col("id").alias(f"i{end}"), F.col("node").alias(end))
-    return found.join(node("a"), "ia").join(node("b"), "ib").where("a <> b").select("a", "b")
-
-
-def _digest(shingles: np.ndarray) -> bytes:
-    return xxhash.xxh3_128_digest(shingles.tobytes())
-
-
-def _set_print(shingles: np.ndarray, prints: int) -> bytes:
-    """Fingerprints of a shingle set; each is taken of other 64-bit mixes of the shingles' hashes."""
-    ones = np.zeros((prints, 64), np.int64)
-    for i in range(0, len(shingles), _SHINGLES_PER_STEP):
-        part = shingles[i : i + _SHINGLES_PER_STEP].view(np.uint64)
-        for k in range(prints):
-            x = part + np.uint64((k + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-            x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-            x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-            x = (x ^ (x >> np.uint64(31))).astype(">u8")
-            ones[k] += np.unpackbits(x.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * ones > len(shingles)).tobytes()
-
-
-def _shingles(text: bytes, words: int) -> np.ndarray:
-    joined, starts, ends = _word_bounds(text.lower())
-    if not len(starts):
-        return np.empty(0, np.int64)
-    parts = zip(starts.tolist(), ends[min(words, len(ends)) - 1 :].tolist())
-    return np.unique(np.array([xxhash.xxh64_intdigest(joined[s:e], SEED) for s, e in parts], np.uint64).view(np.int64))
-
-
-def confirmed(docs: DataFrame, classes: DataFrame, links: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The ``links`` between nodes whose sets share at least ``similarity`` of their shingles (Jaccard). Only documents
-    with a link are read into shingles."""
-    ship(docs.sparkSession)
-    links = store(links)
-    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
-    named = store(classes.join(ends, "node", "left_semi"))
-    wanted = docs.select("doc_id", "text").join(named.select(F.col("first_id").alias("__id")).distinct(), F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    # An id with several texts has other nodes too; copies of a set are one.
-    sets = store(shingle_sets(wanted, words).join(ends, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles")))
-    pairs = links.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b"
-    )
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return pairs.where(shared / (F.size("sa") + F.size("sb") - shared) >= similarity).select("a", "b").distinct()
-
-
-def _similar_links(docs: DataFrame, classes: DataFrame, words: int, distance: int, prints: int, total: int, similarity: float) -> DataFrame:
-    """Confirmed links ``(a, b)`` that connect the nodes of ``classes`` exactly as all pairs of the similarity do.
-
-    First those of linked fingerprints, where the smallest digest stands for a fingerprint and is linked to its
-    others; they join large families. Then all pairs that these leave in different groups.
-    """
-    links = linked_fingerprints(classes, distance=distance, prints=prints, total=total)
-    first = store(classes.groupBy("fingerprint").agg(F.min("node").alias("first")))
-    of = lambda end: first.select(F.col("fingerprint").alias(f"f{end}"), F.col("first").alias(end))
-    apart = links.toDF("fa", "fb").join(of("a"), "fa").join(of("b"), "fb").select("a", "b")
-    equal = classes.join(first, "fingerprint").where("first <> node").select(F.col("first").alias("a"), F.col("node").alias("b"))
-    roots = store(components(confirmed(docs, classes, apart.union(equal), words, similarity)))
-    more = confirmed(docs, classes, unlinked_pairs(classes, roots, similarity), words, similarity)
-    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more)
-
-
-def near_duplicate_groups(docs: DataFrame, *, words: int = 3, distance: int = 3, prints: int = 1, total: int | None = None, similarity: float | None = None) -> DataFrame:
+def near_duplicate_groups(docs: DataFrame, *, words: int = 3, distance: int = 3) -> DataFrame:
     """``(doc_id, fingerprint binary, component_id)``, one row per input row.
 
-    Documents with equal fingerprints, and those whose fingerprints are linked (see the module), form a
-    group. With ``similarity``, which goes with ``total``, only equal shingle sets form a group unchecked, each
-    shingle counts once in the fingerprint, links, those of equal fingerprints included, must be confirmed, and
-    every pair of the similarity is in one group.
+    Documents with equal fingerprints, and those whose fingerprints are linked (see the module), form a group.
     ``component_id`` is the smallest ``doc_id`` reachable, the row's own included. Copies count once
     in the comparison. Null ids are members, but a component's id is null only if it has no other; empty and
     null texts share the fingerprint zero. Extra columns are ignored; an empty table gives no rows.
     """
-    if similarity is None:
-        table = fingerprints(docs, words=words, prints=prints).withColumn("node", F.col("fingerprint"))
-    else:
-        table = set_fingerprints(docs, words=words, prints=prints, similarity=similarity, common=common_shingles(docs, words))
-    table = store(table)
-    first = [F.first(c).alias(c) for c in ("size", "prefix") if similarity is not None]
-    classes = store(table.groupBy("node", "fingerprint").agg(F.min("doc_id").alias("first_id"), *first))
-    if similarity is None:
-        links = linked_fingerprints(classes, distance=distance, prints=prints, total=total)
-    else:
-        links = _similar_links(docs, classes, words, distance, prints, total, similarity)
-    roots = store(components(links))
-    joined = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    table = store(fingerprints(docs, words=words))
+    classes = store(table.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
+    roots = store(components(linked_fingerprints(classes, distance=distance)))
+    joined = classes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+    joined = joined.withColumn("root", F.coalesce("root", "fingerprint"))
     ids = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = joined.join(ids, "root").select("node", "component_id")
-    return table.join(named, "node").select("doc_id", "fingerprint", "component_id")
+    named = joined.join(ids, "root").select("fingerprint", "component_id")
+    return table.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, *, words: int = 5, distance: int = 5, prints: int = 4, total: int = 50, similarity: float = 0.8) -> DataFrame:
-    """``docs`` with one document of each group, the one with the smallest id.
+def drop_near_duplicates(docs: DataFrame, *, words: int = 3, distance: int = 3) -> DataFrame:
+    """``docs`` with one document of each group of ``near_duplicate_groups``, the one with the smallest id.
 
-    Links are texts whose sets of five-word shingles have a similarity of 0.8 or more, all of them. Of 256 bits such
-    texts differ in ``256 * acos(2 * 0.8 / 1.8) / pi``, about 38 on average; 50 allows for the spread, and what lies
-    beyond or meets at no anchor is found by shared shingles. Rows without words
-    and rows with null ids stay as they are; of rows that repeat an id all stay or none.
+    Texts without words are a group like any other. Rows with null ids stay as they are; of rows that repeat
+    an id all stay or none: they go if any text of that id is in a group with a smaller id.
     """
     known = docs.where(F.col("doc_id").isNotNull())
-    groups = near_duplicate_groups(known, words=words, distance=distance, prints=prints, total=total, similarity=similarity)
-    losers = groups.where((F.col("doc_id") != F.col("component_id")) & (F.col("fingerprint") != F.lit(bytes(8 * prints))))
-    losers = losers.select(F.col("doc_id").alias("__loser")).distinct()
+    groups = near_duplicate_groups(known, words=words, distance=distance)
+    losers = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__loser")).distinct()
     return docs.join(losers, docs["doc_id"] == F.col("__loser"), "left_anti")
