@@ -29,8 +29,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles at an estimated similarity of 0.8 or more."""
-    return drop_near_duplicates(docs)
+    """One document of each group whose fingerprints of three-word shingles are linked by three bits or fewer."""
+    return drop_near_duplicates(docs, words=3, distance=3)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
