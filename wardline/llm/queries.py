@@ -13,6 +13,7 @@ from .exact import exact_groups
 from .line_templates import drop_recurring_lines
 from .packing import pack
 from .quality import fit_quality, held_out, score_quality
+from .rule_ledger import BASE, passes, POLICIES, rule_ledger
 from .secret_scan import scan_secrets
 from .simhash import near_duplicate_groups
 from .suffix_dedup import remove_repeats
@@ -192,3 +193,42 @@ def op8_secret_scan(spark, sf):
 def op1_line_dedup(spark, sf):
     kept = drop_recurring_lines(table(spark, sf, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query(
+    "op13_quality_rules",
+    r"""WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+ w AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+ list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
+ e AS (SELECT r, unnest(words) AS word, unnest(range(len(words))) AS i FROM w),
+ g AS (SELECT r, i, CASE WHEN lead(word, 4) OVER p IS NOT NULL THEN
+ struct_pack(a := word, b := lead(word, 1) OVER p, c := lead(word, 2) OVER p, d := lead(word, 3) OVER p, e := lead(word, 4) OVER p) END AS five
+ FROM e WINDOW p AS (PARTITION BY r ORDER BY i)),
+ c AS (SELECT r, i, CASE WHEN five IS NOT NULL AND count(*) OVER (PARTITION BY r, five) > 1 THEN 1 ELSE 0 END AS again FROM g),
+ h AS (SELECT r, max(again) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS covered FROM c),
+ n AS (SELECT r, CAST(sum(covered) AS BIGINT) AS n_repeat_words FROM h GROUP BY r),
+ m AS (SELECT doc_id, len(words) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+ length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+ coalesce(n_repeat_words, 0) AS n_repeat_words, len(lines) AS n_lines,
+ length(regexp_replace(text, '[^A-Za-z\x{80}-\x{10FFFF}]', '', 'g')) AS n_letters, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper,
+ len(list_filter(words, lambda x: regexp_matches(x, '[A-Za-z\x{80}-\x{10FFFF}]'))) AS n_letter_words,
+ len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09\x0B-\x0D]*[-*•]'))) AS n_bullet_lines,
+ len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09\x0B-\x0D]*$'))) AS n_ellipsis_lines
+ FROM t JOIN w USING (r) LEFT JOIN n USING (r)),
+ f AS (SELECT *, CASE WHEN n_words < 10 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 2 ELSE 0 END
+ + CASE WHEN n_words > 1000000 THEN 4 ELSE 0 END + CASE WHEN 10 * word_chars < 25 * n_words THEN 8 ELSE 0 END
+ + CASE WHEN word_chars > 12 * n_words THEN 16 ELSE 0 END + CASE WHEN 10 * n_symbols > n_words THEN 32 ELSE 0 END
+ + CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 64 ELSE 0 END + CASE WHEN 100 * n_letter_words < 80 * n_words THEN 128 ELSE 0 END
+ + CASE WHEN 100 * n_upper > 60 * n_letters THEN 256 ELSE 0 END + CASE WHEN 100 * n_bullet_lines > 90 * n_lines THEN 512 ELSE 0 END
+ + CASE WHEN 100 * n_ellipsis_lines > 30 * n_lines THEN 1024 ELSE 0 END AS bits FROM m)
+ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+ CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+ n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, bits = 0 AS kept, CAST(bits AS BIGINT) AS failed FROM f""",
+)
+def op13_quality_rules(spark, sf):
+    """Kept by the newest policy; the bits of all failed rules come along."""
+    ledger = rule_ledger(table(spark, sf, "documents"))
+    return ledger.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~passes(BASE)).alias("base_failed"),
+        passes(POLICIES[-1]).alias("kept"), "failed",
+    )
