@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .chat import canonical_turns, format_turns, read_back
 from .exact import exact_groups
+from .hard_negatives import hard_negatives
 from .line_templates import drop_recurring_lines
 from .packing import pack
 from .quality import fit_quality, held_out, score_quality
@@ -232,3 +233,23 @@ def op13_quality_rules(spark, sf):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~passes(BASE)).alias("base_failed"),
         passes(POLICIES[-1]).alias("kept"), "failed",
     )
+
+
+@query(
+    "op12_hard_negatives",
+    """WITH e AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+ list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+ WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+ AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+ s AS (SELECT a.r AS anchor, a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+ FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+ p AS (SELECT anchor, anchor_id, id, score, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) AS place FROM s WHERE same),
+ n AS (SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+ row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY s.score DESC, s.id) AS rank
+ FROM p JOIN s ON p.anchor = s.anchor AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score WHERE p.place <= 5)
+ SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""",
+)
+def op12_hard_negatives(spark, sf):
+    rows = table(spark, sf, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
