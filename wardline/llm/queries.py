@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chat import canonical_turns, format_turns, read_back
+from .collocations import collocations
 from .exact import exact_groups
 from .hard_negatives import hard_negatives
 from .line_templates import drop_recurring_lines
@@ -253,3 +254,30 @@ def op12_hard_negatives(spark, sf):
     rows = table(spark, sf, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@query(
+    "op11_collocations",
+    r"""WITH t AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+ translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+ p AS (SELECT r, lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+ w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS words FROM p),
+ i AS (SELECT lang, words, unnest(range(len(words))) AS i FROM w),
+ o AS (SELECT lang, k, array_to_string(words[i + 1 : i + k], ' ') AS phrase FROM i, (SELECT unnest(range(1, 5)) AS k) WHERE i + k <= len(words)),
+ f AS MATERIALIZED (SELECT lang, k, phrase, lang || chr(9) || phrase AS id, count(*) AS f FROM o GROUP BY ALL),
+ n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+ c AS MATERIALIZED (SELECT lang, k, phrase, string_split(phrase, ' ') AS words, f AS a FROM f WHERE k > 1 AND f >= 30),
+ s AS MATERIALIZED (SELECT lang, phrase, a, j, lang || chr(9) || array_to_string(words[1 : j], ' ') AS first,
+ lang || chr(9) || array_to_string(words[j + 1 :], ' ') AS rest FROM c, (SELECT unnest(range(1, 4)) AS j) WHERE j < k),
+ y AS MATERIALIZED (SELECT s.*, f.f AS l FROM s JOIN f ON f.id = s.first),
+ x AS MATERIALIZED (SELECT y.lang, y.phrase, y.a, y.j, y.l, f.f AS r, CAST(2000000 * CAST(y.a AS HUGEINT) // (y.l + f.f) AS BIGINT) AS score
+ FROM y JOIN f ON f.id = y.rest),
+ b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+ d AS (SELECT DISTINCT b.lang, b.phrase FROM b JOIN c ON c.lang = b.lang AND len(c.phrase) > len(b.phrase)
+ AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' ') AND 100 * CAST(c.a AS HUGEINT) >= 80 * CAST(b.a AS HUGEINT)),
+ k AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+ FROM b LEFT JOIN d ON b.lang = d.lang AND b.phrase = d.phrase WHERE d.phrase IS NULL)
+ SELECT k.lang, rank, phrase, a, l, r, n, score FROM k JOIN n USING (lang) WHERE rank <= 2000""",
+)
+def op11_collocations(spark, sf):
+    return collocations(table(spark, sf, "documents"))
