@@ -5,8 +5,8 @@ whose paths are ``language, word, word...`` and carry how often they occur. Each
 prefixes, and all shards' parts of a prefix range meet in one task, where they are united and their weights summed. Cuts are whole
 n-grams, so that a frequent first word is spread over several ranges; within a shard it is one path already.
 
-N-grams are counted from short to long. What occurs often enough leaves a bit in a table of fixed size, and a longer n-gram is
-only built where both its parts have their bits; a bit too many costs work and changes no result. The frequent n-grams of a
+Words are counted first, then pairs, then all longer n-grams. What occurs often enough leaves a bit in a table of fixed size, and a
+longer n-gram is only built where all its words, or pairs, have their bits; a bit too many costs work and changes no result. The frequent n-grams of a
 range are then built, in their order, into a minimal automaton, whose paths number the weights, and the parts of all
 candidate phrases, sent to their ranges, are composed with it: equal paths give the weights of the parts.
 """
@@ -29,7 +29,7 @@ from ..session import store
 from .buffers import utf8_slices
 from .shipping import ship
 
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 6 << 20
 RANGE_BYTES = 16 << 20
 FILTER_BITS = 1 << 26
 NO_LANG = "und"
@@ -59,9 +59,8 @@ class Words:
         row_start[offsets] = True
         starts = np.flatnonzero(inside & (~np.concatenate(([False], inside))[:-1] | row_start[:-1]))
         ends = np.flatnonzero(inside & (~np.concatenate((inside, [False]))[1:] | row_start[1:])) + 1
-        self.row = np.searchsorted(offsets, starts, side="right") - 1
-        piece = np.cumsum(breaks | row_start[:-1])
-        self.piece = piece[starts]
+        self.row = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(starts, offsets)))
+        self.piece = np.cumsum(breaks | row_start[:-1], dtype=np.int32)[starts]
         ends_in = np.zeros(len(starts) + 1, np.int64)
         np.cumsum(ends - starts, out=ends_in[1:])
         words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends_in), pa.py_buffer(np.ascontiguousarray(data[inside]))])
@@ -199,20 +198,27 @@ def _path_hashes(words: Words, langs: np.ndarray, table: list[bytes], n: int) ->
         yield path
 
 
-def shard_transducer(data: np.ndarray, offsets: np.ndarray, langs: np.ndarray, table: list[bytes], k: int, frequent: np.ndarray | None) -> tuple[Transducer | None, np.ndarray]:
-    """The transducer of a shard's n-grams of ``k`` words, and the hashes of its paths. ``langs`` numbers each row's language
-    in sorted ``table``; ``frequent`` are the bits of the n-grams of ``k - 1`` words."""
-    words = Words(data, offsets)
-    if len(words.word) < k:
-        return None, np.empty(0, np.uint64)
-    hashes = list(_path_hashes(words, langs, table, k))
-    at = words.piece[: len(words.word) - k + 1] == words.piece[k - 1 :]
-    if frequent is not None:
-        good = _has_bit(frequent, hashes[k - 2])
-        at = at & good[:-1] & good[1:]
+def _good_starts(words: Words, langs: np.ndarray, table: list[bytes], known: int, frequent: np.ndarray | None) -> np.ndarray | None:
+    """Whether the path of ``known`` words that starts at a word has its bit; None without bits."""
+    if frequent is None or len(words.word) < known:
+        return None
+    *_, hashes = _path_hashes(words, langs, table, known)
+    return _has_bit(frequent, hashes)
+
+
+def shard_transducer(words: Words, langs: np.ndarray, table: list[bytes], k: int, good: np.ndarray | None = None, known: int = 0) -> Transducer | None:
+    """The transducer of a shard's n-grams of ``k`` words; None if there are none. ``langs`` numbers each row's language
+    in sorted ``table``. With ``good``, only n-grams whose paths of ``known`` words are all good."""
+    n = len(words.word) - k + 1
+    if n < 1:
+        return None
+    at = words.piece[:n] == words.piece[k - 1 :]
+    if good is not None:
+        for j in range(k - known + 1):
+            at = at & good[j : j + n]
     at = np.flatnonzero(at)
     if not len(at):
-        return None, np.empty(0, np.uint64)
+        return None
     n_words = len(words.table)
     path, _ = pd.factorize(langs[words.row[at]] * n_words + words.word[at])
     for j in range(1, k):
@@ -228,7 +234,7 @@ def shard_transducer(data: np.ndarray, offsets: np.ndarray, langs: np.ndarray, t
     columns = [rank[n_words + langs[words.row[first]]], *[rank[words.word[first + j]] for j in range(k)]]
     by_path = np.lexsort(columns[::-1])
     columns = [c[by_path] for c in columns]
-    return Transducer(symbols.take(pa.array(order)), columns, counts[by_path]), hashes[-1][first]
+    return Transducer(symbols.take(pa.array(order)), columns, counts[by_path])
 
 
 def cut(whole: Transducer, cuts: Sequence[Path]) -> Iterator[tuple[int, Transducer]]:
@@ -312,20 +318,26 @@ def sample_cuts(docs: DataFrame, range_bytes: int) -> list[Path]:
     return sorted({paths[len(paths) * i // n_ranges] for i in range(1, n_ranges)}) if paths else []
 
 
-def count_phrases(docs: DataFrame, k: int, cuts: Sequence[Path], frequent: np.ndarray | None, min_count: int, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """``(lang, words array<string>, f, hash)`` of the n-grams of ``k`` words with ``f`` of at least ``min_count`` of
-    ``docs`` (``lang, text``), and for single words a row with null ``words`` per language and range, with all words counted."""
+def count_phrases(
+    docs: DataFrame, lengths: Sequence[int], cuts: Sequence[Path], frequent: np.ndarray | None, known: int, min_count: int, shard_bytes: int = SHARD_BYTES,
+) -> DataFrame:
+    """``(lang, words array<string>, f)`` of the n-grams of ``lengths`` words with ``f`` of at least ``min_count`` in ``docs``
+    (``lang, text``), and for single words a row with null ``words`` per language and range, with all words counted.
+    ``frequent`` are the bits of the n-grams of ``known`` words."""
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for data, offsets, langs, table in _shards(batches, shard_bytes):
-            whole, _ = shard_transducer(data, offsets, langs, table, k, frequent)
-            for i, part in cut(whole, cuts) if whole is not None else ():
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part.dump()], pa.binary())], ["range", "part"])
+            words = Words(data, offsets)
+            good = _good_starts(words, langs, table, known, frequent)
+            for k in lengths:
+                whole = shard_transducer(words, langs, table, k, good, known)
+                for i, part in cut(whole, cuts) if whole is not None else ():
+                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([k], pa.int32()), pa.array([part.dump()], pa.binary())], ["range", "k", "part"])
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(parts: list[Transducer]) -> Iterator[pa.RecordBatch]:
             whole = Transducer.union(parts)
-            if k == 1:
+            if len(whole.arcs) == 2:
                 lang, total = whole.columns()[0], whole.weights
                 for i in np.unique(lang):
                     name = whole.symbols[int(i)].as_py().decode()
@@ -341,7 +353,7 @@ def count_phrases(docs: DataFrame, k: int, cuts: Sequence[Path], frequent: np.nd
 
         held, n_paths, current = [], 0, None
         for batch in batches:
-            for number, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for *number, blob in zip(*(c.to_pylist() for c in batch.columns)):
                 if number != current:
                     if held:
                         yield from rows(held)
@@ -355,8 +367,8 @@ def count_phrases(docs: DataFrame, k: int, cuts: Sequence[Path], frequent: np.nd
         if held:
             yield from rows(held)
 
-    parts = docs.select("lang", "text").mapInArrow(shards, "range int, part binary")
-    by_range = parts.repartition(len(cuts) + 1, "range").sortWithinPartitions("range")
+    parts = docs.select("lang", "text").mapInArrow(shards, "range int, k int, part binary")
+    by_range = parts.repartition(len(cuts) + 1, "range").sortWithinPartitions("range", "k")
     return by_range.mapInArrow(unite, "lang string, words array<string>, f long")
 
 
@@ -455,9 +467,10 @@ def collocations(
     docs = docs.select("lang", "text")
     cuts = sample_cuts(docs, range_bytes)
     levels, frequent = [], None
-    for k in range(1, max_words + 1):
-        levels.append(store(count_phrases(docs, k, cuts, frequent, min_count, shard_bytes)))
-        frequent = frequent_bits(levels[-1], filter_bits) if k < max_words else None
+    for lengths in filter(None, ([1], [2], list(range(3, max_words + 1)))):
+        known = lengths[0] - 1
+        levels.append(store(count_phrases(docs, lengths, cuts, frequent, known, min_count, shard_bytes)))
+        frequent = frequent_bits(levels[-1], filter_bits) if lengths[-1] < max_words else None
     totals = levels[0].where("words IS NULL").groupBy("lang").agg(F.sum("f").alias("n"))
     counts = levels[0].where("words IS NOT NULL")
     for more in levels[1:]:
