@@ -76,6 +76,52 @@ def _(spark, sf):
     return range_lookup(table(spark, sf, "lineitem"), "l_extendedprice", ranges, "lo", "hi", ["p_partkey"])
 
 
+@query(
+    "range_lookup_nested",
+    """WITH r AS (SELECT p_partkey * 60.0::DOUBLE AS lo, p_partkey * 60.0::DOUBLE + 45 AS hi, p_name AS name FROM part
+ UNION ALL SELECT n_nationkey * 4000.0::DOUBLE, n_nationkey * 4000.0::DOUBLE + 4000, n_name FROM nation
+ UNION ALL SELECT r_regionkey * 15000.0::DOUBLE, r_regionkey * 15000.0::DOUBLE + 31000, r_name FROM region),
+ v AS (SELECT DISTINCT l_extendedprice FROM lineitem)
+ SELECT l_extendedprice, lo, hi, name FROM v LEFT JOIN r ON l_extendedprice BETWEEN lo AND hi
+ QUALIFY row_number() OVER (PARTITION BY l_extendedprice ORDER BY hi - lo, lo DESC, name) = 1""",
+)
+def _(spark, sf):
+    """Parts inside touching ranges of nations, these across overlapping ones of regions."""
+    part, nation, region = (table(spark, sf, t) for t in ("part", "nation", "region"))
+    ranges = part.selectExpr("p_partkey * 60.0D AS lo", "p_partkey * 60.0D + 45 AS hi", "p_name AS name").unionByName(
+        nation.selectExpr("n_nationkey * 4000.0D AS lo", "n_nationkey * 4000.0D + 4000 AS hi", "n_name AS name")
+    ).unionByName(region.selectExpr("r_regionkey * 15000.0D AS lo", "r_regionkey * 15000.0D + 31000 AS hi", "r_name AS name"))
+    return range_lookup(table(spark, sf, "lineitem"), "l_extendedprice", ranges, "lo", "hi", ["name"])
+
+
+@query(
+    "ip_geolocate_networks",
+    """WITH e AS (SELECT event_id, event_id % 3 AS kind, event_id % 40 AS site, event_id % 5 AS sub FROM events)
+ SELECT event_id,
+ CASE WHEN n.n_name IS NOT NULL THEN n.n_name ELSE (SELECT r_name FROM region WHERE r_regionkey = CASE WHEN kind = 0 THEN 0 ELSE 1 END) END AS country,
+ CASE WHEN n.n_name IS NULL THEN 'wide' WHEN kind > 0 THEN 'v4' WHEN n.n_regionkey = sub THEN 'sub' ELSE 'site' END AS city
+ FROM e LEFT JOIN nation n ON n.n_nationkey = site""",
+)
+def _(spark, sf):
+    """IPv6 and IPv4 networks on three levels, and addresses in plain, shortened and mapped form."""
+    nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
+    networks = region.where("r_regionkey < 2").selectExpr(
+        "CASE WHEN r_regionkey = 0 THEN '2001:db8::/32' ELSE '10.0.0.0/8' END AS network", "r_name AS country", "'wide' AS city"
+    )
+    for text, city in (
+        ("format_string('2001:DB8:%x::/48', n_nationkey)", "site"), ("format_string('2001:db8:%x:%x::/64', n_nationkey, n_regionkey)", "sub"),
+        ("format_string('10.%d.0.0/16', n_nationkey)", "v4"),
+    ):
+        networks = networks.unionByName(nation.selectExpr(f"{text} AS network", "n_name AS country", f"'{city}' AS city"))
+    log = table(spark, sf, "events").selectExpr(
+        "event_id",
+        """CASE event_id % 3 WHEN 0 THEN format_string('2001:db8:%x:%x::%x', event_id % 40, event_id % 5, event_id % 65535 + 1)
+ WHEN 1 THEN format_string('10.%d.%d.%d', event_id % 40, event_id % 256, event_id % 200)
+ ELSE format_string('::ffff:10.%d.0.%d', event_id % 40, event_id % 256) END AS ip""",
+    )
+    return L.ip_geolocate(log, "ip", L.geo_networks(networks, "network"), fields=["country", "city"], spread_by=["event_id"]).drop("ip")
+
+
 @query(
     "ip_geolocate",
     WITH_LOG

@@ -109,10 +109,3 @@ def test_trained_bins_compare_numbers_across_types(spark):
     assert got[1.0] == got[5.0] == got[0.2] == (1, "class : 1 - 5")
     assert got[8.5] == got[6.0] == got[99.0] == (8, "class : 8 - 20")
     assert got[None] == (None, None)
-
-
-def test_overlapping_ranges_are_an_error(spark):
-    values = spark.createDataFrame([(50,)], "v int")
-    for ranges in ([(0, 100), (10, 20)], [(0, 5), (0, 9)], [(0, 10), (10, 20)]):
-        with pytest.raises(ValueError, match="overlap"):
-            B.range_lookup(values, "v", spark.createDataFrame(ranges, "lo int, hi int"), "lo", "hi", [])

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize, store
+from .intervals import nested_range_lookup
 from .joins import attach
 from .ordered import exact_quantiles, floor_lookup, ordered_counts
 
@@ -289,13 +290,13 @@ def range_lookup(
 ) -> DataFrame:
     """For each distinct value the range ``[lo, hi]`` holding it: ``(col, lo, hi, payload...)``.
 
-    A miss has nulls. Ranges must not overlap, which is checked unless they are known to be ``disjoint``; overlapping
-    ranges are an error, as no answer would be the only right one. The greatest start not above the value is found by an
-    ordered merge, then an equi join fetches the range, so no comparison of all pairs takes place.
+    A miss has nulls. Ranges may nest, touch and overlap: the narrowest one counts (see ``intervals``). Ranges that are
+    known to be ``disjoint`` are looked up as they are: the greatest start not above the value is found by an
+    ordered merge, then an equi join fetches the range. There is no comparison of all pairs.
     """
-    stored = store(ranges.select(lo, hi, *payload))
     if not disjoint:
-        check_disjoint(stored, lo, hi)
+        return nested_range_lookup(values, col, ranges, lo, hi, payload)
+    stored = store(ranges.select(lo, hi, *payload))
     found = floor_lookup(values.select(col), col, stored, lo)
     # One wide range may hold most of the values.
     joined = attach(found, stored, [lo], spread_by=[col])
@@ -303,17 +304,6 @@ def range_lookup(
     return joined.select(col, *[F.when(hit, F.col(c)).alias(c) for c in (lo, hi, *payload)])
 
 
-def check_disjoint(ranges: DataFrame, lo: str, hi: str) -> None:
-    """Raise ``ValueError`` if two ranges share a value. One ordered pass: between the start of a range and its end
-    there may be no other start."""
-    bounds = ranges.select(F.col(lo).alias("__a"), F.col(hi).alias("__b")).where("__a IS NOT NULL AND __b IS NOT NULL")
-    starts = bounds.groupBy("__a").agg(F.count(F.lit(1)).alias("n"), F.max("__b").alias("__b"))
-    seen = floor_lookup(bounds, "__b", bounds.select(F.col("__a").alias("__start")), "__start")
-    crossed = starts.join(seen, "__b", "left").where("n > 1 OR __start > __a")
-    if not crossed.isEmpty():
-        raise ValueError(f"ranges {lo}..{hi} overlap")
-
-
 # --- histograms -------------------------------------------------------------------------------------
 
 

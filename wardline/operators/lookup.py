@@ -6,8 +6,9 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.network import ip_to_long
+from ..functions.network import ip_to_key, ip_to_long, network_bounds
 from ..functions.useragent import with_user_agent_fields
 from .binning import range_lookup
 from ..session import materialize, store
@@ -87,6 +88,13 @@ def geo_dimension(ranges: DataFrame, start: str, end: str) -> DataFrame:
     return ranges.withColumns({"ip_start": ip_to_long(start), "ip_end": ip_to_long(end)})
 
 
+def geo_networks(networks: DataFrame, network: str) -> DataFrame:
+    """IPv4 and IPv6 networks (``address/bits``) to the binary form used by ``ip_geolocate``; others are left out."""
+    bounded = networks.withColumn("__bounds", network_bounds(network)).where("__bounds IS NOT NULL")
+    # Stored, so that the bounds are computed once and not wherever they are used.
+    return store(bounded.withColumns({"ip_start": F.col("__bounds.first"), "ip_end": F.col("__bounds.last")}).drop("__bounds"))
+
+
 def ip_geolocate(
     df: DataFrame,
     ip: str,
@@ -97,8 +105,9 @@ def ip_geolocate(
     country_ranges: DataFrame | None = None,
     spread_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Add the geo fields of the range ``[ip_start, ip_end]`` that holds the address.
+    """Add the geo fields of the narrowest range ``[ip_start, ip_end]`` that holds the address.
 
+    Bounds are IPv4 numbers, or the 16-byte keys of ``geo_networks`` for both families.
     Any miss (bad address, no range) gives nulls. Where the city table has nothing,
     ``country_ranges`` may still supply the country. Each distinct address is resolved once.
     """
@@ -122,10 +131,13 @@ def ip_geolocate_all(
     """
     pairs = F.array(*[F.col(f"`{c}`") for c in ips])
     keys = df.select(F.explode(pairs).alias("__text")).where(F.col("__text").isNotNull()).distinct()
-    numbered = materialize(keys.withColumn("__ip", ip_to_long("__text")))
+    number = lambda table: ip_to_key if isinstance(table.schema["ip_start"].dataType, T.BinaryType) else ip_to_long
+    numbered = materialize(keys.withColumn("__ip", number(ranges)("__text")))
     hits = range_lookup(numbered, "__ip", ranges, "ip_start", "ip_end", list(fields))
     found = numbered.join(hits.select("__ip", *fields), "__ip", "left")
     if country_ranges is not None:
+        if number(country_ranges) is not number(ranges):
+            raise ValueError("both range tables must have bounds of one kind")
         coarse = range_lookup(numbered, "__ip", country_ranges, "ip_start", "ip_end", ["country"])
         found = found.join(coarse.select("__ip", F.col("country").alias("__country")), "__ip", "left")
         found = found.withColumn("country", F.coalesce("country", "__country"))
