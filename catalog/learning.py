@@ -177,12 +177,12 @@ def _(spark, sf):
 
 @query("random_forest")
 def _(spark, sf):
-    return _fit(spark, sf, L.random_forest(numTrees=10, maxDepth=6))
+    return _fit(spark, sf, L.random_forest())
 
 
 @query("extra_trees")
 def _(spark, sf):
-    return _fit(spark, sf, L.extra_trees(numTrees=10, maxDepth=6))
+    return _fit(spark, sf, L.extra_trees())
 
 
 @query("decision_tree")
@@ -198,7 +198,7 @@ def _(spark, sf):
 @query("random_forest_search")
 def _(spark, sf):
     train, test = _split(spark, sf)
-    grid = {"numTrees": (5, 10), "maxDepth": (3, 6)}
+    grid = {"numTrees": (5, 10), "maxDepth": (6, None), "minSamplesSplit": (2, 10), "featureSubsetStrategy": ("sqrt", 0.5)}
     search = L.random_forest_search(train, "event_id", grid, n_iter=2)
     return L.predict(search.bestModel, test).select("event_id", "label", "prediction")
 
@@ -233,7 +233,7 @@ def _(spark, sf):
 @query("feature_importance")
 def _(spark, sf):
     train, _ = _split(spark, sf)
-    return L.feature_importance(L.random_forest(numTrees=5, maxDepth=5).fit(train), _NUMERIC, 5)
+    return L.feature_importance(L.random_forest().fit(train), _NUMERIC, 5)
 
 
 @query(

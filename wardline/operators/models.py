@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import itertools
 import random
 from collections.abc import Mapping, Sequence
@@ -12,30 +13,36 @@ from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
     OneVsRest,
-    RandomForestClassifier,
 )
-from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import store
 from .columns import class_labels
+from .forest import Forest, ForestModel, Growth
 from .metrics import accuracy, macro_f1
 from .split import row_uniform, stratified_kfold
 
-MAX_TREE_DEPTH = 30  # the library's limit
-
-# The search grid. Depths above the library's limit, and "no limit", become the limit;
-# the minimum rows to split a node has no counterpart and is covered by the minimum rows per leaf.
+# The search grid; a depth of None is no limit.
 SEARCH_GRID = {
     "numTrees": (100, 200, 300, 500),
-    "maxDepth": (10, 20, 30),
+    "maxDepth": (10, 20, 30, 50, None),
+    "minSamplesSplit": (2, 5, 10),
     "minInstancesPerNode": (1, 2, 4),
-    "featureSubsetStrategy": ("sqrt", "log2", "0.1", "0.2"),
+    "featureSubsetStrategy": ("sqrt", "log2", 0.1, 0.2),
 }
 SEARCH_ITERATIONS, SEARCH_FOLDS = 30, 3
 
+_GROWTH_NAMES = {
+    "numTrees": "trees", "maxDepth": "max_depth", "minSamplesSplit": "min_split", "minInstancesPerNode": "min_leaf",
+    "featureSubsetStrategy": "max_features", "bootstrap": "bootstrap", "seed": "seed",
+}
+
+
+def _forest(features: str, label: str, drawn: bool, settings: Mapping[str, object]) -> Forest:
+    return Forest(Growth(drawn=drawn, **{_GROWTH_NAMES[k]: v for k, v in settings.items()}), features, label)
+
 
 def logit(features: str = "features", label: str = "label", n_train: int | None = None, **params) -> LogisticRegression:
     """Multinomial logistic regression, 1000 iterations, unscaled L2 penalty of strength 1.
@@ -50,26 +57,21 @@ def logit(features: str = "features", label: str = "label", n_train: int | None
     return LogisticRegression(featuresCol=features, labelCol=label, **settings)
 
 
-def random_forest(features: str = "features", label: str = "label", **params) -> RandomForestClassifier:
+def random_forest(features: str = "features", label: str = "label", **params) -> Forest:
     """300 trees, depth 20, at least 5 rows per leaf."""
-    settings = {"numTrees": 300, "maxDepth": 20, "minInstancesPerNode": 5, "seed": 42, **params}
-    return RandomForestClassifier(featuresCol=features, labelCol=label, **settings)
-
+    return _forest(features, label, False, {"numTrees": 300, "maxDepth": 20, "minInstancesPerNode": 5, "seed": 42, **params})
 
-def random_forest_serving(features: str = "features", label: str = "label", **params) -> RandomForestClassifier:
-    """100 trees as deep as the library allows."""
-    settings = {"numTrees": 100, "maxDepth": MAX_TREE_DEPTH, "minInstancesPerNode": 1, "seed": 1, **params}
-    return RandomForestClassifier(featuresCol=features, labelCol=label, **settings)
 
+def random_forest_serving(features: str = "features", label: str = "label", **params) -> Forest:
+    """100 trees without a limit of depth."""
+    return _forest(features, label, False, {"numTrees": 100, "maxDepth": None, "seed": 1, **params})
 
-def extra_trees(features: str = "features", label: str = "label", **params) -> RandomForestClassifier:
-    """500 trees, depth 20, 5 rows per leaf, every tree on all rows.
 
-    The library has no extremely randomised trees: this is a forest without bootstrap, the nearest
-    model, so split points are searched and not drawn.
-    """
+def extra_trees(features: str = "features", label: str = "label", **params) -> Forest:
+    """500 extremely randomised trees, depth 20, 5 rows per leaf, every tree on all rows: a node draws one threshold for each
+    of its features, between their smallest and greatest values there, and takes the best."""
     settings = {"numTrees": 500, "maxDepth": 20, "minInstancesPerNode": 5, "bootstrap": False, "seed": 42, **params}
-    return RandomForestClassifier(featuresCol=features, labelCol=label, **settings)
+    return _forest(features, label, True, settings)
 
 
 def decision_tree(features: str = "features", label: str = "label", **params) -> DecisionTreeClassifier:
@@ -95,18 +97,13 @@ def dummy_stratified(train: DataFrame, test: DataFrame, label: str, id_col: str,
     return test.withColumn("prediction", drawn)
 
 
-class MacroF1(Evaluator):
-    """Unweighted mean of the per-class F1."""
-
-    def __init__(self, label: str = "label", prediction: str = "prediction"):
-        super().__init__()
-        self.label, self.prediction = label, prediction
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        return float(macro_f1(dataset, self.label, self.prediction).first()[0])
+@dataclasses.dataclass
+class SearchResult:
+    """The best point's forest on all training rows, the points tried and the mean macro F1 of each."""
 
-    def isLargerBetter(self) -> bool:
-        return True
+    bestModel: ForestModel
+    points: list[dict]
+    avgMetrics: list[float]
 
 
 def random_forest_search(
@@ -119,22 +116,22 @@ def random_forest_search(
     seed: int = 1,
     features: str = "features",
     label: str = "label",
-    parallelism: int = 2,
-):
-    """Best forest of ``n_iter`` random grid points by cross-validated macro F1, refitted on all
-    training rows. Returns the fitted ``CrossValidatorModel``."""
-    forest = RandomForestClassifier(featuresCol=features, labelCol=label, seed=seed)
-    points = list(itertools.product(*grid.values()))
+) -> SearchResult:
+    """Best forest of ``n_iter`` random grid points by cross-validated macro F1, refitted on all training rows; of equal
+    points the first drawn."""
+    points = [dict(zip(grid, p)) for p in itertools.product(*grid.values())]
     drawn = random.Random(seed).sample(points, min(n_iter, len(points)))
-    maps = [{forest.getParam(k): v for k, v in zip(grid, point)} for point in drawn]
-    folded = stratified_kfold(train, label, id_col, folds, seed, output="fold").withColumn(
-        "fold", F.col("fold").cast("int")
-    )
-    search = CrossValidator(
-        estimator=forest, estimatorParamMaps=maps, evaluator=MacroF1(label), numFolds=folds,
-        foldCol="fold", parallelism=parallelism,
-    )
-    return search.fit(folded)
+    folded = store(stratified_kfold(train, label, id_col, folds, seed, output="__fold"))
+    means = []
+    for point in drawn:
+        forest = _forest(features, label, False, {"seed": seed, **point})
+        scores = []
+        for i in range(folds):
+            scored = forest.fit(folded.where(F.col("__fold") != i)).transform(folded.where(F.col("__fold") == i))
+            scores.append(float(macro_f1(scored, label, "prediction").first()[0]))
+        means.append(sum(scores) / folds)
+    best = drawn[means.index(max(means))]
+    return SearchResult(_forest(features, label, False, {"seed": seed, **best}).fit(train), drawn, means)
 
 
 def cv_score(
