@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +41,7 @@ from .shipping import ship
 LENGTH, GRAM = 100, 24
 MAX_GROUP = 100_000
 _CHUNK_ROWS = 30_000
+_MATRIX_ROWS = 8_000
 _CHUNK_BYTES = 4 << 20
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _POS = np.uint64((1 << 28) - 1)
@@ -185,14 +187,17 @@ def _marks(doc, low, high, keys: np.ndarray | None = None) -> pa.RecordBatch:
 def _matrix(column: pa.Array, width: int, reverse: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Binary values as rows of a zero-padded matrix, from their end if ``reverse``, and their sizes."""
     offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
-    size = np.diff(offsets)
+    sizes = np.diff(offsets)
     flat = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] is not None else np.empty(0, np.uint8)
     out = np.zeros((len(column), width), np.uint8)
-    row = np.repeat(np.arange(len(column)), size)
-    at = np.arange(offsets[0], offsets[-1])
-    col = at - np.repeat(offsets[:-1], size)
-    out[row, (np.repeat(size, size) - 1 - col) if reverse else col] = flat[at]
-    return out, size
+    # In slices, as there are several numbers for every byte.
+    for i in range(0, len(column), _MATRIX_ROWS):
+        size, first = sizes[i : i + _MATRIX_ROWS], offsets[:-1][i : i + _MATRIX_ROWS]
+        row = np.repeat(np.arange(i, i + len(size)), size)
+        at = np.arange(first[0], first[-1] + size[-1])
+        col = at - np.repeat(first, size)
+        out[row, (np.repeat(size, size) - 1 - col) if reverse else col] = flat[at]
+    return out, sizes
 
 
 class _Induction:
@@ -323,11 +328,16 @@ class _Induction:
         return low
 
     def stream(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        self.crowded, held, n_held = None, [], 0
+        self.crowded, held, n_held, before = None, [], 0, None
         for batch in batches:
             for at in range(0, batch.num_rows, _CHUNK_ROWS):
-                held.append(batch.slice(at, _CHUNK_ROWS))
-                n_held += held[-1].num_rows
+                chunk = batch.slice(at, _CHUNK_ROWS)
+                fresh, copies = self.without_copies(chunk, before)
+                before = chunk.slice(chunk.num_rows - 1)
+                if copies.num_rows:
+                    yield copies
+                held.append(fresh)
+                n_held += fresh.num_rows
                 if n_held < _CHUNK_ROWS:
                     continue
                 table = pa.Table.from_batches(held)
@@ -335,29 +345,26 @@ class _Induction:
                 if cut:
                     yield from self.rows(table.slice(0, cut))
                     table = table.slice(cut)
-                elif n_held > 4 * self.max_group + _CHUNK_ROWS:
-                    # One anchor fills it all: drop its copies; with too many rows left hand on their windows.
-                    table, copies = self.without_copies(table)
-                    yield copies
-                    if table.num_rows > self.max_group:
-                        self.crowded = table.column("right")[0].as_py()[: self.gram]
-                        yield from self.rows(table)
-                        table = table.slice(0, 0)
+                elif n_held > self.max_group:
+                    # One anchor fills it all, with too many different rows: hand on their windows.
+                    self.crowded = table.column("right")[0].as_py()[: self.gram]
+                    yield from self.rows(table)
+                    table = table.slice(0, 0)
                 held, n_held = table.to_batches(), table.num_rows
         if held:
             yield from self.rows(pa.Table.from_batches(held))
 
-    def without_copies(self, table: pa.Table) -> tuple[pa.Table, pa.RecordBatch]:
-        """Rows that differ from the row before, and the marks of the others; all of one anchor."""
-        table = table.combine_chunks()
-        column = lambda n: table.column(n).chunk(0)
-        doc, low = (column(n).to_numpy(zero_copy_only=False) for n in ("doc", "low"))
-        right, n_right = _matrix(column("right"), self.length)
-        left, n_left = _matrix(column("left"), self.reach, reverse=True)
-        copy = np.zeros(len(doc), bool)
-        copy[1:] = (n_right[1:] == n_right[:-1]) & (n_left[1:] == n_left[:-1])
-        copy[1:] &= (right[1:] == right[:-1]).all(axis=1) & (left[1:] == left[:-1]).all(axis=1)
-        return table.filter(pa.array(~copy)), _marks(doc[copy], low[copy], (low + n_left + n_right)[copy])
+    def without_copies(self, chunk: pa.RecordBatch, before: pa.RecordBatch | None) -> tuple[pa.RecordBatch, pa.RecordBatch]:
+        """Rows whose text differs from that of the row before, and the marks of the others: an equal stretch of text
+        starts earlier, so all of its windows do. ``before`` is the last row of the chunk before."""
+        copy = np.ones(chunk.num_rows, bool)
+        for name in ("right", "left"):
+            column = chunk.column(name)
+            copy[1:] &= pc.equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False)
+            copy[:1] &= before is not None and before.column(name)[0] == column[0]
+        doc, low = (chunk.column(n).to_numpy(zero_copy_only=False) for n in ("doc", "low"))
+        size = sum(pc.binary_length(chunk.column(n)).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("right", "left"))
+        return chunk.filter(pa.array(~copy)), _marks(doc[copy], low[copy], (low + size)[copy])
 
 
 def _spans(marks: DataFrame) -> DataFrame:
