@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -82,14 +83,25 @@ def read_raw_csv(spark: SparkSession, path: str, as_text: bool = False, *, multi
 def read_processed_csv(
     spark: SparkSession, path: str, schema: str | T.StructType, ts_cols: Sequence[str] = ("date", "date dd")
 ) -> DataFrame:
-    """Pipe-separated table whose first column is a row index, which is dropped.
+    """Pipe-separated table with a row index, which is dropped.
 
-    ``schema`` lists all columns; time columns are read as text and converted.
+    ``schema`` lists all columns, the index first. Columns are found by the names in the header, in any order, and come in the order of
+    the schema; columns that it does not list are left out, and a listed one that is not there is a ValueError. An index that has
+    another name, or none, is the file's first column. Where a folder's files differ in their headers, reading fails. Time columns are
+    read as text and converted.
     """
-    table = spark.read.schema(schema).option("header", True).option("sep", "|").csv(path)
-    index, *_ = table.columns
-    return table.drop(index).withColumns(
-        {c: F.to_timestamp(F.col(f"`{c}`").cast("string")) for c in ts_cols if c in table.columns}
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    header = spark.read.option("header", True).option("sep", "|").csv(path).columns
+    index, *fields = wanted.fields
+    if missing := [f.name for f in fields if f.name not in header]:
+        raise ValueError(f"columns {missing} are not in the header of {path}")
+    kinds = {f.name: f.dataType for f in (fields if index.name not in header else wanted.fields)}
+    read_as = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in header])
+    # A nameless column is named by the reader, so its header can't be compared.
+    named = not any(re.fullmatch(r"_c\d+", n) for n in header)
+    table = spark.read.schema(read_as).option("header", True).option("sep", "|").option("enforceSchema", not named).csv(path)
+    return table.select(*[F.col(f"`{f.name}`") for f in fields]).withColumns(
+        {c: F.to_timestamp(F.col(f"`{c}`").cast("string")) for c in ts_cols if c in [f.name for f in fields]}
     )
 
 
