@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.encoding import dynamic_threshold
 from ..session import store
@@ -118,6 +119,22 @@ def crosstab_score(
     return crosstab_scores(df, keys, crosstab, [target_class], outputs=outputs, **settings)
 
 
+def score_stream(
+    stream: DataFrame, keys: Sequence[str], read_crosstab: Callable[[], DataFrame], target_class: object,
+    write: Callable[[DataFrame, int], None], **settings,
+) -> DataStreamWriter:
+    """A writer, to be given a checkpoint and started, that scores every micro-batch of ``stream`` by ``crosstab_score``.
+
+    ``read_crosstab`` is called anew for each micro-batch, so that it is scored by the crosstab as stored then; ``write`` gets the
+    scored rows and the batch's number, which comes again if a batch is repeated after a failure.
+    """
+
+    def one_batch(rows: DataFrame, number: int) -> None:
+        write(crosstab_score(rows, keys, read_crosstab(), target_class, **settings), number)
+
+    return stream.writeStream.foreachBatch(one_batch)
+
+
 @dataclass(frozen=True)
 class BiasGroup:
     """One crosstab: the columns to bin first and the key columns as they are."""

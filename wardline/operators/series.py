@@ -6,10 +6,15 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import store
 from .columns import class_labels
+from .joins import attach
+from .ordered import running
+
+BLOCK_ROWS = 100_000
 
 
 def daily_counts(
@@ -47,30 +52,41 @@ def daily_series(
 
 
 def lagged_products(
-    series: DataFrame, key: str, t: str, x: str, nlags: int, center: bool = True
+    series: DataFrame, key: str, t: str, x: str, nlags: int, center: bool = True, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """``(key, lag, n, product)``: sum of x(t) x(t+lag) for lags 0..nlags, and the series length.
 
-    Positions count the rows of a series by ``t``. A series has one row per day, so its window is
-    bounded by the calendar; lags longer than the series do not appear.
+    Positions count the rows of a series by ``t``; lags longer than the series do not appear, null values
+    add nothing. A series may have any length: its positions come from prefix sums over range partitions, and products
+    from blocks of positions that also hold the first ``nlags`` rows of the next block.
     """
-    w = Window.partitionBy(key)
+    size = max(block_rows, 4 * nlags, 1)
     value = F.col(x).cast("double")
-    indexed = series.select(
-        F.col(key),
-        F.row_number().over(w.orderBy(t)).alias("pos"),
-        (value - (F.avg(value).over(w) if center else F.lit(0.0))).alias("x"),
-        F.count(F.lit(1)).over(w).alias("n"),
-    )
-    ahead = indexed.select(
-        key, F.col("pos"), F.col("x").alias("y"), F.explode(F.sequence(F.lit(0), F.lit(nlags))).alias("lag")
-    ).select(key, (F.col("pos") - F.col("lag")).alias("pos"), "y", "lag")
-    return (
-        indexed.join(ahead, [key, "pos"])
-        .groupBy(key, "lag")
-        .agg(F.max("n").alias("n"), F.sum(F.col("x") * F.col("y")).alias("product"))
+    rows = series.select(F.col(key), F.col(t).alias("t"), value.alias("x"), F.lit(1).cast("long").alias("one"))
+    placed = running(rows, ["t"], sums=["one"], by=[key])
+    if center:
+        means = store(rows.groupBy(key).agg(F.avg("x").alias("mean")))
+        placed = attach(placed, means, [key], spread_by=["t"]).withColumn("x", F.col("x") - F.col("mean"))
+    block = F.floor(F.col("one_before") / size)
+    place = F.col("one_before") % size
+    # A row stands in its own block, and behind the block before where that needs it.
+    homes = F.when((place < nlags) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))
+    blocks = placed.select(
+        key, F.col("one_total").alias("n"), F.explode(homes).alias("block"), F.col("one_before").alias("pos"), F.coalesce("x", F.lit(0.0)).alias("x")
     )
 
+    def products(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("pos")
+        values = pdf["x"].to_numpy()
+        own = int((pdf["pos"] < (pdf["block"].iloc[0] + 1) * size).sum())
+        lags = np.arange(min(nlags, len(values) - 1) + 1)
+        sums = [float(values[: min(own, len(values) - lag)] @ values[lag : lag + own]) for lag in lags]
+        return pd.DataFrame({key: [pdf[key].iloc[0]] * len(lags), "lag": lags, "n": pdf["n"].iloc[0], "product": sums})
+
+    kind = series.schema[key].dataType.simpleString()
+    parts = blocks.groupBy(key, "block").applyInPandas(products, f"`{key}` {kind}, lag int, n long, product double")
+    return parts.groupBy(key, "lag").agg(F.max("n").alias("n"), F.sum("product").alias("product"))
+
 
 def acf(series: DataFrame, key: str, t: str, x: str, nlags: int = 100) -> DataFrame:
     """Autocorrelation per series and lag (biased form); null for a constant series."""
