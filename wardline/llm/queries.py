@@ -96,8 +96,9 @@ def op7_exact_dedup(spark, sf):
 URL_RULES = (
     ("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"),
 )
-# A host is listed if one of its labels is one of these.
-LISTED_LABELS = ("spam-farm", "free-bets", "cheap-pills", "ads-track", "adult-x")
+# Fixed values, the block list of the query (link farms, betting, pharmacies, trackers, adult sites): a host is listed if one
+# of its labels is one of these. The operator takes any list, as a column.
+LISTED_LABELS = ("spam-farm", "free-bets", "casino-win", "cheap-pills", "ads-track", "adult-x")
 _LISTED_SQL = " OR ".join(f"('.' || host || '.') LIKE '%.{w}.%'" for w in LISTED_LABELS)
 
 
