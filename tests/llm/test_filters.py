@@ -14,15 +14,19 @@ from wardline.llm import packing, quality, secret_scan, url_cascade, wu_manber
 from wardline.llm.line_templates import drop_recurring_lines, recurring_lines
 
 
-def brute_lines(rows, min_documents, min_tokens=4, depth=3, similarity=0.6):
+def brute_lines(rows, min_documents, depth=3, similarity=0.6, evidence=60):
     def mask(line):
         tokens = [t for t in line.translate({9: 32, 13: 32, 12: 32, 11: 32}).split(" ") if t]
         return tuple("<*>" if re.search("[0-9]", t) else t for t in tokens)
 
-    lines = [(d, i, mask(x)) for d, t in rows for i, x in enumerate((t or "").split("\n"))]
-    lines = [x for x in lines if len(x[2]) >= min_tokens]
+    least = {}
+    for d, t in rows:
+        if d is not None:
+            least[t] = min(d, least.get(t, d))
+    lines = [(d, t, i, mask(x)) for d, t in rows for i, x in enumerate((t or "").split("\n"))]
+    lines = [x for x in lines if x[3]]
     leaves = defaultdict(set)
-    for _, _, m in lines:
+    for *_, m in lines:
         leaves[len(m), m[:depth]].add(m)
     template = {}
     for leaf, members in leaves.items():
@@ -30,9 +34,21 @@ def brute_lines(rows, min_documents, min_tokens=4, depth=3, similarity=0.6):
         for m in members:
             template[m] = (leaf, None) if sum(a == b for a, b in zip(m, centre)) >= similarity * len(m) else (leaf, m)
     docs = defaultdict(set)
-    for d, _, m in lines:
-        docs[template[m]].add(d)
-    return {(d, i) for d, i, m in lines if len(docs[template[m]]) >= min_documents}
+    for _, t, _, m in lines:
+        docs[template[m]].add(least.get(t, t))
+    return {(d, i) for d, _, i, m in lines if len(docs[template[m]]) >= max(2, min(min_documents, -(-evidence // len(m))))}
+
+
+def test_documents_needed_fall_with_length(spark):
+    """Long lines go from two texts on, short ones, also of one token, from ten; copies of a text count once."""
+    long, short = " ".join(f"word{c}" for c in "abcdefghijklmnopqrstuvwxyzabcdef"), "All rights reserved."
+    rows = [(i, f"own{'abcdefghijk'[i]} text\n{short}\nLes.") for i in range(10)]
+    rows += [(20, f"first\n{long}\nplain"), (21, f"second\n{long}"), (30, "copied " * 40 + "\nLes"), (31, "copied " * 40 + "\nLes")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {tuple(r) for r in recurring_lines(docs).collect()} == {(i, k) for i in range(10) for k in (1, 2)} | {(20, 1), (21, 1)}
+    kept = {r.doc_id: r.text for r in drop_recurring_lines(docs).collect()}
+    assert (kept[0], kept[20], kept[21], kept[30]) == ("owna text", "first\nplain", "second", rows[12][1])
+    assert {tuple(r) for r in recurring_lines(docs).collect()} == brute_lines(rows, 10)
 
 
 def test_recurring_lines_equal_brute_force(spark, many_partitions):

@@ -3,8 +3,9 @@
 A line's path in the tree has a fixed depth: its number of tokens, then its first ``depth`` tokens, where tokens
 with a digit count as the wildcard ``<*>``. The lines of a leaf share its template, the most frequent token of
 each place over the leaf's distinct lines, if at least ``similarity`` of their tokens agree with it; the fields
-in which they differ are thereby generalised. Other lines are templates of their own. Lines whose template
-occurs in ``min_documents`` documents or more are dropped.
+in which they differ are thereby generalised. Other lines are templates of their own, and so are lines no longer than
+the tree is deep: their path is the whole line. A template goes once ``evidence`` tokens of it were seen: in two
+documents if it is long, in ``min_documents`` if it is short. Documents of equal text count once.
 
 The usual parser assigns lines one by one, so its templates depend on their order and need a leaf's state in one
 place. Here everything is an aggregate: no order, no state, and a hot leaf is counted before it is shuffled.
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..session import store
 
-DEPTH, SIMILARITY, MIN_DOCUMENTS, MIN_TOKENS = 3, 0.6, 10, 4
+DEPTH, SIMILARITY, MIN_DOCUMENTS, EVIDENCE = 3, 0.6, 10, 60
 WILDCARD = "<*>"
 # Leaves are 8 bytes each, so at most 8 MB are broadcast; more are joined by shuffle.
 BROADCAST_LEAVES = 500_000
@@ -39,38 +40,36 @@ def _body(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def _with_leaf(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """``(doc_id, body, line_no, tokens, n, leaf, line)`` of the lines that are long enough; body (the whole text), leaf
-    and line are hashes."""
-    lines = docs.select("doc_id", _body(F.col("text")).alias("body"), F.posexplode(_lines(_masked(F.col("text")))).alias("line_no", "masked"))
-    lines = lines.withColumn("tokens", F.split("masked", " ", -1))
-    lines = lines.withColumn("n", F.size("tokens")).where((F.col("n") >= min_tokens) & (F.col("masked") != ""))
-    leaf = F.xxhash64("n", F.slice("tokens", 1, depth))
-    return lines.select("doc_id", "body", "line_no", "tokens", "n", leaf.alias("leaf"), F.xxhash64("masked").alias("line"))
+def _needed(n: Column, min_documents: int, evidence: int) -> Column:
+    """Documents that a template of ``n`` tokens must occur in: fewer for longer ones, two at least."""
+    return F.greatest(F.lit(min(2, min_documents)), F.least(F.lit(min_documents), F.ceil(F.lit(evidence) / n)))
 
 
 def recurring_lines(
-    docs: DataFrame, *, depth: int = DEPTH, similarity: float = SIMILARITY, min_documents: int = MIN_DOCUMENTS, min_tokens: int = MIN_TOKENS,
+    docs: DataFrame, *, depth: int = DEPTH, similarity: float = SIMILARITY, min_documents: int = MIN_DOCUMENTS, evidence: int = EVIDENCE,
 ) -> DataFrame:
     """``(doc_id, line_no)`` of the lines to drop, numbered from 0 in their text.
 
-    Lines of fewer than ``min_tokens`` tokens are never dropped. Rows of one id are one document; without an id, each
-    text is a document of its own.
+    Empty lines are never dropped. Rows of one id are one document, and so are rows of equal text; without an id,
+    each text is a document of its own.
     """
-    return _recurring(docs, depth, similarity, min_documents, min_tokens).select("doc_id", "line_no")
+    return _recurring(docs, depth, similarity, min_documents, evidence).select("doc_id", "line_no")
 
 
-def _recurring(docs: DataFrame, depth: int, similarity: float, min_documents: int, min_tokens: int) -> DataFrame:
+def _recurring(docs: DataFrame, depth: int, similarity: float, min_documents: int, evidence: int) -> DataFrame:
     """``(doc_id, body, line_no)`` of the lines to drop, by the hash of their whole text."""
-    keys = store(_with_leaf(docs, depth, min_tokens).select("doc_id", "body", "line_no", "leaf", "line"))
-    # A template is in no more documents than its leaf has lines.
-    leaves = store(keys.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= min_documents).select("leaf"))
-    few = leaves.count() <= BROADCAST_LEAVES
-    hot = F.broadcast(leaves) if few else leaves
-    distinct = _with_leaf(docs, depth, min_tokens).join(hot, "leaf").groupBy("leaf", "line").agg(
-        F.first("tokens").alias("tokens"), F.first("n").alias("n")
-    )
-    distinct = store(distinct)
+    lines = docs.select("doc_id", _body(F.col("text")).alias("body"), F.posexplode(_lines(_masked(F.col("text")))).alias("line_no", "masked"))
+    lines = lines.where(F.col("masked") != "").withColumn("tokens", F.split("masked", " ", -1)).withColumn("n", F.size("tokens"))
+    # Texts are masked once; the masked lines are read again only for leaves that can recur.
+    keys = store(lines.select(
+        "doc_id", "body", "line_no", "n", F.xxhash64("n", F.slice("tokens", 1, depth)).alias("leaf"), F.xxhash64("masked").alias("line"), "masked",
+    ))
+    # A template is in no more documents than its leaf has lines, and all lines of a leaf have the same length.
+    leaves = keys.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows"), F.min("n").alias("n"))
+    leaves = store(leaves.where(F.col("rows") >= _needed(F.col("n"), min_documents, evidence)).select("leaf"))
+    hot = F.broadcast(leaves) if leaves.count() <= BROADCAST_LEAVES else leaves
+    distinct = keys.join(hot, "leaf").groupBy("leaf", "line").agg(F.first("masked").alias("masked"), F.first("n").alias("n"))
+    distinct = store(distinct.select("leaf", "line", "n", F.split("masked", " ", -1).alias("tokens")))
     votes = distinct.select("leaf", F.posexplode("tokens").alias("place", "token")).groupBy("leaf", "place", "token").agg(F.count(F.lit(1)).alias("votes"))
     top = votes.groupBy("leaf", "place").agg(F.min(F.struct((-F.col("votes")).alias("votes"), "token")).alias("top"))
     centre = top.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("place", F.col("top.token").alias("token")))).alias("centre"))
@@ -81,17 +80,26 @@ def _recurring(docs: DataFrame, depth: int, similarity: float, min_documents: in
         "leaf", "line", F.when(agree >= similarity * F.col("n"), F.lit(None).cast("long")).otherwise(F.col("line")).alias("own")
     )
     assigned = store(assigned)
-    seen = keys.join(hot, "leaf").join(assigned, ["leaf", "line"]).select(
-        "leaf", "own", "doc_id", F.when(F.col("doc_id").isNull(), F.col("body")).alias("body")
-    ).distinct()
-    recurring = seen.groupBy("leaf", "own").agg(F.count(F.lit(1)).alias("documents")).where(F.col("documents") >= min_documents)
-    recurring = recurring.select("leaf", F.col("own").alias("__own"))
+    # All copies of a text have the same lines, so its least id names it in each of its templates.
+    texts = keys.join(hot, "leaf").join(assigned, ["leaf", "line"]).groupBy("leaf", "own", "body").agg(
+        F.min("doc_id").alias("doc_id"), F.min("n").alias("n")
+    )
+    seen = texts.select("leaf", "own", "n", "doc_id", F.when(F.col("doc_id").isNull(), F.col("body")).alias("body")).distinct()
+    recurring = seen.groupBy("leaf", "own").agg(F.count(F.lit(1)).alias("documents"), F.min("n").alias("n"))
+    recurring = recurring.where(F.col("documents") >= _needed(F.col("n"), min_documents, evidence)).select("leaf", F.col("own").alias("__own"))
     dropped = assigned.join(recurring, "leaf").where(F.col("own").eqNullSafe(F.col("__own"))).select("leaf", "line")
     return keys.join(dropped, ["leaf", "line"]).select("doc_id", "body", "line_no")
 
 
+def _without(lines: Column, gone: Column) -> Column:
+    """``lines`` without those at the positions ``gone`` (ascending): the slices between them."""
+    first = lambda k: F.when(k == 0, 0).otherwise(F.get(gone, k - 1) + 1)
+    end = lambda k: F.coalesce(F.get(gone, k), F.size(lines))
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.size(gone)), lambda k: F.slice(lines, first(k) + 1, end(k) - first(k))))
+
+
 def drop_recurring_lines(
-    docs: DataFrame, *, depth: int = DEPTH, similarity: float = SIMILARITY, min_documents: int = MIN_DOCUMENTS, min_tokens: int = MIN_TOKENS,
+    docs: DataFrame, *, depth: int = DEPTH, similarity: float = SIMILARITY, min_documents: int = MIN_DOCUMENTS, evidence: int = EVIDENCE,
 ) -> DataFrame:
     """``(doc_id, text, n_lines, n_dropped)``: each text without its recurring lines, and how many it had and lost.
 
@@ -99,11 +107,11 @@ def drop_recurring_lines(
     empty and has one empty line. Each row loses the recurring lines of its own text, also if ids are null or
     repeated. Other columns are ignored; an empty table gives no rows.
     """
-    gone = _recurring(docs, depth, similarity, min_documents, min_tokens).distinct()
-    gone = gone.groupBy(F.col("doc_id").alias("__id"), F.col("body").alias("__body")).agg(F.collect_list("line_no").alias("__gone"))
+    gone = _recurring(docs, depth, similarity, min_documents, evidence).distinct()
+    gone = gone.groupBy(F.col("doc_id").alias("__id"), F.col("body").alias("__body")).agg(F.sort_array(F.collect_list("line_no")).alias("__gone"))
     lines = docs.select("doc_id", _body(F.col("text")).alias("body"), _lines(F.col("text")).alias("lines"))
     lines = lines.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("body") == F.col("__body")), "left")
-    kept = F.when(F.col("__gone").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda _, i: ~F.array_contains("__gone", i)))
+    kept = F.when(F.col("__gone").isNull(), F.col("lines")).otherwise(_without(F.col("lines"), F.col("__gone")))
     return lines.withColumn("kept", kept).select(
         "doc_id", F.array_join("kept", "\n").alias("text"), F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"),

@@ -173,12 +173,13 @@ def op8_secret_scan(spark, sf):
 
 @query(
     "op1_line_dedup",
-    r"""WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
- unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS line_no FROM documents),
- f AS (SELECT doc_id, line_no, raw,
+    r"""WITH o AS (SELECT doc_id, text, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS owner FROM documents),
+ l AS (SELECT doc_id, owner, unnest(string_split(coalesce(text, ''), chr(10))) AS raw,
+ unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS line_no FROM o),
+ f AS (SELECT doc_id, owner, line_no, raw,
  regexp_replace(regexp_replace(trim(translate(raw, chr(9) || chr(13) || chr(12) || chr(11), '    '), ' '), '  +', ' ', 'g'), '[^ ]*[0-9][^ ]*', '<*>', 'g') AS masked FROM l),
  k AS (SELECT *, string_split(masked, ' ') AS tokens FROM f),
- c AS (SELECT *, len(tokens) AS n, tokens[1:3] AS lead FROM k WHERE masked <> '' AND len(tokens) >= 4),
+ c AS (SELECT *, len(tokens) AS n, tokens[1:3] AS lead FROM k WHERE masked <> ''),
  d AS (SELECT DISTINCT n, lead, masked, tokens FROM c),
  v AS (SELECT n, lead, place, token, count(*) AS votes FROM (SELECT n, lead, unnest(tokens) AS token, unnest(range(n)) AS place FROM d) GROUP BY ALL),
  t AS (SELECT n, lead, place, arg_min(token, (-votes, token)) AS token FROM v GROUP BY ALL),
@@ -187,7 +188,7 @@ def op8_secret_scan(spark, sf):
  CASE WHEN len(list_filter(list_zip(d.tokens, e.centre), lambda x: x[1] = x[2])) >= CAST(0.6 AS DOUBLE) * d.n THEN '' ELSE d.masked END AS own
  FROM d JOIN e ON d.n = e.n AND d.lead = e.lead),
  r AS (SELECT a.n, a.lead, a.own FROM c JOIN a ON c.n = a.n AND c.lead = a.lead AND c.masked = a.masked
- GROUP BY a.n, a.lead, a.own HAVING count(DISTINCT c.doc_id) >= 10),
+ GROUP BY a.n, a.lead, a.own HAVING count(DISTINCT c.owner) >= greatest(2, least(10, ceil(60 / a.n)))),
  g AS (SELECT a.masked FROM a JOIN r ON a.n = r.n AND a.lead = r.lead AND a.own = r.own)
  SELECT doc_id, count(*) AS n_lines, CAST(sum(CASE WHEN g.masked IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_dropped,
  sha256(coalesce(string_agg(raw, chr(10) ORDER BY line_no) FILTER (g.masked IS NULL), '')) AS kept_sha256
