@@ -14,12 +14,12 @@ from wardline.llm.components import components
 from wardline.llm.exact import drop_exact_copies, exact_groups
 
 
-@pytest.mark.parametrize("digest_all", [True, False])
-def test_exact_groups(corpus, corpus_rows, digest_all):
+@pytest.mark.parametrize(("digest_all", "filter_words"), [(True, 1 << 19), (False, 1 << 19), (False, 1)])
+def test_exact_groups(corpus, corpus_rows, digest_all, filter_words):
     groups = defaultdict(list)
     for d, t in corpus_rows:
         groups[t or ""].append(d)
-    got = exact_groups(corpus, digest_all=digest_all).collect()
+    got = exact_groups(corpus, digest_all=digest_all, filter_words=filter_words).collect()
     want = []
     for d, t in corpus_rows:
         members = groups[t or ""]
@@ -30,6 +30,16 @@ def test_exact_groups(corpus, corpus_rows, digest_all):
         assert {r.text_sha256 for r in got} == {hashlib.sha256(t.encode()).hexdigest() for t in groups}
 
 
+def test_refinement_hashes_few_texts_that_occur_once(spark):
+    """Whatever the number of repeated prefixes, all their rows pass the filter and few others do."""
+    rows = spark.range(60_000).select(F.when(F.col("id") < 20_000, F.col("id") % 10_000).otherwise(F.col("id")).alias("doc_id"))
+    rows = rows.withColumn("text", F.concat_ws(" ", F.lit("text"), "doc_id"))
+    got = exact_groups(rows).groupBy((F.col("group_size") > 1).alias("copy")).agg(F.count("*").alias("n"), F.count("text_sha256").alias("hashed"))
+    got = {r.copy: (r.n, r.hashed) for r in got.collect()}
+    assert got[True] == (20_000, 20_000)
+    assert got[False][0] == 40_000 and got[False][1] < 1_200
+
+
 def test_exact_copies_leave_one_row_of_each_text(corpus, corpus_rows, empty):
     kept = drop_exact_copies(corpus)
     assert kept.columns == corpus.columns

@@ -1,58 +1,73 @@
 """Exact deduplication by progressive refinement, in DataFrame functions only.
 
 Rows are grouped by length, then by a hash of their first characters, then by a hash of the whole
-text. Only rows whose length and prefix occur more than once get the full hash, and only narrow rows
-(id, length, hashes) are shuffled, never a text.
+text. Only rows whose length and prefix may occur more than once get the full hash, and only narrow rows
+(id, length, hashes) are shuffled, never a text. Repeated prefixes reach the rows as a Bloom filter of bounded size;
+a false positive costs one hash of a text and changes no group.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import store
 
 PREFIX_CHARS = 64
-# Surviving (length, prefix) keys are 16 bytes each, so at most 8 MB are broadcast.
-BROADCAST_KEYS = 500_000
+# The filter has 16 bits a repeated prefix, in words of 64 bits, and at most 524,288 words (some 20 MB as a broadcast table).
+# With more than two million repeated prefixes it lets more rows pass, by and by.
+FILTER_WORDS = 1 << 19
+_BITS = 3
 
 
 def _text():
     return F.coalesce(F.col("text"), F.lit(""))
 
 
-def exact_groups(docs: DataFrame, *, prefix_chars: int = PREFIX_CHARS, digest_all: bool = False) -> DataFrame:
+def _word(key: Column, n_words: int) -> Column:
+    return F.pmod(key, F.lit(n_words))
+
+
+def _mask(key: Column) -> Column:
+    """The bits of a key in its word."""
+    bits = F.lit(0).cast("long")
+    for i in range(_BITS):
+        bits = bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(key, 63 - 6 * i - 5).bitwiseAND(F.lit(63)).cast("int")))
+    return bits
+
+
+def _with_repeated(rows: DataFrame, keys: DataFrame, filter_words: int) -> DataFrame:
+    """``rows`` with ``repeated``: true wherever ``key`` is one of ``keys``, and rarely elsewhere."""
+    n_words = max(1, min(filter_words, math.ceil(keys.count() / 4)))
+    words = keys.groupBy(_word(F.col("key"), n_words).alias("word")).agg(F.bit_or(_mask(F.col("key"))).alias("bits"))
+    rows = rows.withColumn("word", _word(F.col("key"), n_words)).join(F.broadcast(store(words)), "word", "left")
+    mask = _mask(F.col("key"))
+    return rows.withColumn("repeated", F.coalesce(F.col("bits").bitwiseAND(mask) == mask, F.lit(False)))
+
+
+def exact_groups(
+    docs: DataFrame, *, prefix_chars: int = PREFIX_CHARS, digest_all: bool = False, filter_words: int = FILTER_WORDS,
+) -> DataFrame:
     """One row per input row: ``doc_id, n_bytes, text_sha256, keep_id, group_size, n_keep``.
 
     Equal texts (byte for byte, nothing normalised; null is the empty text) form a group; the largest
     ``doc_id`` stays. ``n_keep`` counts the rows of the group with that id, above 1 only if an id is
-    repeated. ``text_sha256`` is null for rows ruled out by length or prefix, unless ``digest_all``. Null
+    repeated. ``text_sha256`` is null for rows ruled out by the filter of repeated prefixes, unless ``digest_all``. Null
     ids are members like any other, but never stay unless the group has no other id. An empty table
     gives no rows; other columns of ``docs`` are ignored.
     """
+    n_bytes = F.octet_length(_text()).cast("long")
     keyed = docs.select(
-        "doc_id",
-        F.octet_length(_text()).cast("long").alias("n_bytes"),
-        F.xxhash64(F.substring(_text(), 1, prefix_chars)).alias("prefix"),
-        _text().alias("text"),
+        "doc_id", n_bytes.alias("n_bytes"), F.xxhash64(n_bytes, F.substring(_text(), 1, prefix_chars)).alias("key"), _text().alias("text"),
     )
     # Both refinements in one pass over narrow rows: lengths that occur once need no prefix count.
-    pairs = keyed.groupBy("n_bytes", "prefix").agg(F.count(F.lit(1)).alias("n"))
-    pairs = store(pairs.where("n > 1").select("n_bytes", "prefix"))
+    keys = store(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
     digest = F.sha2(F.col("text"), 256)
-    if pairs.count() <= BROADCAST_KEYS:
-        mark = F.broadcast(pairs.withColumn("repeated", F.lit(True)))
-        rows = keyed.join(mark, ["n_bytes", "prefix"], "left").select(
-            "doc_id", "n_bytes", "repeated",
-            (digest if digest_all else F.when(F.col("repeated"), digest)).alias("text_sha256"),
-        )
-    else:
-        # Too many keys to broadcast: hash on the scan side, so that no text is shuffled.
-        rows = keyed.select("doc_id", "n_bytes", "prefix", digest.alias("text_sha256"))
-        mark = pairs.withColumn("repeated", F.lit(True))
-        rows = rows.join(mark, ["n_bytes", "prefix"], "left").drop("prefix")
-        if not digest_all:
-            rows = rows.withColumn("text_sha256", F.when(F.col("repeated"), F.col("text_sha256")))
+    rows = _with_repeated(keyed, keys, filter_words).select(
+        "doc_id", "n_bytes", "repeated", (digest if digest_all else F.when(F.col("repeated"), digest)).alias("text_sha256"),
+    )
     # Repeated rows of one id are counted on the way, so the group sees one row per id and text.
     ids = rows.where("repeated").groupBy("n_bytes", "text_sha256", "doc_id").agg(F.count(F.lit(1)).alias("n"))
     groups = ids.groupBy("n_bytes", "text_sha256").agg(
