@@ -248,6 +248,56 @@ def test_quality_learns_from_document_labels(spark, corpus, corpus_rows, empty):
     assert corpus.select(quality.score_quality(corpus, prior).alias("s")).first().s == 0.5
 
 
+def plain_score(model, text):
+    """The forward pass of one text, passage by passage, in plain loops."""
+    data, size, p = text.encode(), quality.PASSAGE, model.weights
+    count = max(1, (len(data) + size // 2) // size)
+    bags = [data[i * size : (i + 1) * size if i + 1 < count else len(data)] for i in range(count)]
+    hidden, gates = [], []
+    for bag in bags:
+        pairs = Counter((int(quality._CLASS[a]), int(quality._CLASS[b])) for a, b in zip(bag, bag[1:]))
+        x = np.zeros(quality.N_FEATURES)
+        for (a, b), n in pairs.items():
+            x[a * quality._CLASSES + b] = math.sqrt(n / sum(pairs.values()))
+        h = np.tanh(x @ p["E"] + p["e"])
+        hidden.append(h)
+        gates.append(sum(np.tanh(h @ p["V"]) / (1 + np.exp(-(h @ p["U"]))) * p["w"]))
+    weights = [math.exp(g) / sum(math.exp(o) for o in gates) for g in gates]
+    return 1 / (1 + math.exp(-(sum(w * h for w, h in zip(weights, hidden)) @ p["c"] + p["b"][0])))
+
+
+def test_scores_equal_a_plain_forward_pass(corpus, corpus_rows):
+    model = quality.AttentionModel.start(3)
+    got = corpus.select("text", quality.score_quality(corpus, model).alias("s")).collect()
+    assert len(got) == len(corpus_rows)
+    for r in got:
+        assert math.isclose(r.s, plain_score(model, r.text or ""), abs_tol=1e-5)
+
+
+def test_training_reads_every_passage_of_the_sample(spark):
+    """One decisive passage far inside long texts is learned; the bounds leave out whole documents, never passages."""
+    plain = "the river runs past the winter stone. " * 400
+    rows = [(i, plain if i % 2 else plain[:9000] + "$$$ %%% " * 100 + plain[9000:]) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    scored = docs.select("doc_id", quality.score_quality(docs, quality.fit_quality(docs, labels)).alias("s")).collect()
+    assert all((r.s >= 0.5) == (r.doc_id % 2 == 1) for r in scored)
+    for documents, size in ((7, 1 << 30), (4000, 100_000), (4000, 10)):
+        sample = quality._training_texts(docs, labels, "quality", documents, size).collect()
+        assert all(r.text == rows[r.doc_id][1] and r["__label"] == r.doc_id % 2 for r in sample)
+        assert len(sample) == (7 if documents == 7 else 6 if size > 10 else 0)
+
+
+def test_sparse_rows_are_the_rows():
+    draw = np.random.default_rng(5)
+    dense = (draw.integers(0, 256, (9, quality.N_FEATURES)) * (draw.random((9, quality.N_FEATURES)) < 0.1)).astype(np.uint8)
+    dense[4] = 0
+    places = [np.flatnonzero(r) for r in dense]
+    rows = quality.SparseRows(np.concatenate(places), np.concatenate([r[p] for r, p in zip(dense, places)]), np.array([len(p) for p in places]))
+    for chosen in (np.arange(9), np.array([4]), np.array([8, 4, 0, 3])):
+        assert np.array_equal(rows[chosen], dense[chosen].astype(np.float32) / 255)
+
+
 def test_long_text_scores_as_all_its_passages():
     text = np.frombuffer(b"some words here. " * 5000, np.uint8)
     x, doc = quality.passages(text, np.array([0, 0, len(text)]))

@@ -6,8 +6,9 @@ Gated attention gives each passage a weight, ``softmax(w . (tanh(V h) * sigmoid(
 weighted mean of the passages is scored by a logistic unit. Only document labels are needed: the gate learns
 which passages decide.
 
-Training uses a bounded sample of labelled documents (``max_documents``, those with the least hash of their
-id, and ``max_passages`` evenly spaced passages of each), at most 32,000 rows of about 1,300 bytes. Scoring uses every passage of every text.
+Training uses a bounded sample of labelled documents, those with the least hash of their id: at most ``max_documents``
+of them and no more than ``max_bytes`` of text together, with every passage of each. Its passages reach the driver as
+the few features that are not zero. Scoring uses every passage of every text.
 """
 
 from __future__ import annotations
@@ -18,15 +19,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import store
 from .buffers import utf8_slices
 from .shipping import ship
 
 PASSAGE = 400
 MAX_DOCUMENTS = 4_000
-MAX_PASSAGES = 8
+MAX_BYTES = 64 << 20
 HIDDEN, GATE = 24, 12
 _SLICE = 2 << 20
 
@@ -66,6 +68,22 @@ def passages(data: np.ndarray, offsets: np.ndarray, size: int = PASSAGE) -> tupl
     return np.sqrt(features / np.maximum(total, 1)), doc
 
 
+class SparseRows:
+    """Passages kept as the places and values (0 to 255) of the features that are not zero; rows are filled on demand."""
+
+    def __init__(self, places: np.ndarray, values: np.ndarray, counts: np.ndarray):
+        self.places, self.values = places, values
+        self.ends = np.cumsum(counts)
+        self.starts = self.ends - counts
+
+    def __getitem__(self, rows: np.ndarray) -> np.ndarray:
+        counts = self.ends[rows] - self.starts[rows]
+        at = np.repeat(self.starts[rows] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        dense = np.zeros((len(rows), N_FEATURES), np.float32)
+        dense[np.repeat(np.arange(len(rows)), counts), self.places[at]] = self.values[at].astype(np.float32) / 255
+        return dense
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -145,42 +163,55 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", *, max_documents: int = MAX_DOCUMENTS, max_passages: int = MAX_PASSAGES) -> AttentionModel:
-    """Model fitted on at most ``max_documents`` labelled documents that are not held out.
+def _training_texts(docs: DataFrame, labels: DataFrame, label: str, max_documents: int, max_bytes: int) -> DataFrame:
+    """``(doc_id, text, __label)`` of the sample: whole texts in the order of their id's hash, up to both bounds. Texts of
+    more than a sixteenth of ``max_bytes`` come last, so that none fills the sample alone."""
+    usable = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+    chosen = usable.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("__label"))
+    chosen = store(chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_documents))
+    texts = docs.select("doc_id", "text")
+    # Sums over the sample's ids, at most max_documents rows.
+    sizes = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "__label").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("n"))
+    order = Window.orderBy(F.col("n") > max_bytes // 16, F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    within = sizes.withColumn("__all", F.sum("n").over(order)).where(F.col("__all") <= max_bytes).select("doc_id", "__label")
+    return texts.join(F.broadcast(within), "doc_id")
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", *, max_documents: int = MAX_DOCUMENTS, max_bytes: int = MAX_BYTES) -> AttentionModel:
+    """Model fitted on at most ``max_documents`` labelled documents that are not held out, with at most ``max_bytes`` of text.
 
     Null labels and ids are left out; a document labelled more than once counts as 1 if any label is 1. With no
     labelled text the untrained prior of an even score is returned.
     """
     ship(docs.sparkSession)
-    usable = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
-    chosen = usable.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("__label"))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_documents)
-    # The sample is bounded by max_documents rows of two numbers.
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sample = _training_texts(docs, labels, label, max_documents, max_bytes)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, end, data, offsets in utf8_slices(batch.column(1), _SLICE):
+            for first, _, data, offsets in utf8_slices(batch.column(1), _SLICE):
                 x, doc = passages(data, offsets)
-                counts = np.bincount(doc, minlength=end - first)
-                start = np.cumsum(counts) - counts
-                rank = np.arange(len(doc)) - start[doc]
-                # Evenly spaced: passage r stays if it is the first to reach the next multiple of n / limit.
-                limit = np.minimum(counts, max_passages)[doc]
-                keep = np.flatnonzero((rank * limit) // counts[doc] != ((rank - 1) * limit) // counts[doc])
-                own = batch.slice(first, end - first).take(pa.array(doc[keep]))
-                rows = pa.array([r.tobytes() for r in np.rint(255 * x[keep]).astype(np.uint8)], pa.binary())
-                yield pa.RecordBatch.from_arrays([own.column(0), own.column(2), pa.array(rank[keep]), rows], ["doc_id", "label", "rank", "x"])
-
-    encoded = sample.select("doc_id", "text", "__label").mapInArrow(encode, f"doc_id {kind}, label int, rank long, x binary")
+                start = np.searchsorted(doc, np.arange(len(offsets) - 1))
+                x = np.rint(255 * x).astype(np.uint8)
+                places = [np.flatnonzero(r).astype(np.uint16) for r in x]
+                own = batch.slice(first, len(offsets) - 1).take(pa.array(doc))
+                yield pa.RecordBatch.from_arrays([
+                    own.column(0), own.column(2), pa.array(np.arange(len(doc)) - start[doc]),
+                    pa.array([p.tobytes() for p in places], pa.binary()), pa.array([r[p].tobytes() for r, p in zip(x, places)], pa.binary()),
+                ], ["doc_id", "label", "rank", "places", "shares"])
+
+    encoded = sample.select("doc_id", "text", "__label").mapInArrow(encode, f"doc_id {kind}, label int, rank long, places binary, shares binary")
     table = encoded.toArrow().sort_by([("doc_id", "ascending"), ("rank", "ascending")])
     model = AttentionModel.start()
     if not table.num_rows:
         model.weights["c"][:] = 0
         return model
     ids = table.column("doc_id").combine_chunks().dictionary_encode().indices.to_numpy()
-    x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.uint8).reshape(-1, N_FEATURES).astype(np.float32) / 255
+    shares = table.column("shares").to_pylist()
+    x = SparseRows(
+        np.frombuffer(b"".join(table.column("places").to_pylist()), np.uint16), np.frombuffer(b"".join(shares), np.uint8),
+        np.array([len(r) for r in shares], np.int64),
+    )
     first = np.searchsorted(ids, np.arange(ids[-1] + 1))
     return model.fit(x, ids, table.column("label").to_numpy()[first].astype(np.float64))
 
