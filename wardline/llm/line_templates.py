@@ -64,11 +64,17 @@ def _recurring(docs: DataFrame, depth: int, similarity: float, min_documents: in
     keys = store(lines.select(
         "doc_id", "body", "line_no", "n", F.xxhash64("n", F.slice("tokens", 1, depth)).alias("leaf"), F.xxhash64("masked").alias("line"), "masked",
     ))
-    # A template is in no more documents than its leaf has lines, and all lines of a leaf have the same length.
-    leaves = keys.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows"), F.min("n").alias("n"))
-    leaves = store(leaves.where(F.col("rows") >= _needed(F.col("n"), min_documents, evidence)).select("leaf"))
-    hot = F.broadcast(leaves) if leaves.count() <= BROADCAST_LEAVES else leaves
-    distinct = keys.join(hot, "leaf").groupBy("leaf", "line").agg(F.first("masked").alias("masked"), F.first("n").alias("n"))
+    # A template is in no more documents than its leaf has lines, and in one only if these are lines of one text. All
+    # lines of a leaf have the same length.
+    leaves = keys.groupBy("leaf").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("n").alias("n"), F.min("line").alias("line"), (F.min("line") != F.max("line")).alias("mixed"),
+        (F.min("body") != F.max("body")).alias("texts"),
+    ).withColumn("needed", _needed(F.col("n"), min_documents, evidence))
+    leaves = store(leaves.where((F.col("rows") >= F.col("needed")) & (F.col("texts") | (F.col("needed") < 2))).select("leaf", "line", "mixed"))
+    few = leaves.count() <= BROADCAST_LEAVES
+    hot, mixed = (F.broadcast(x.select("leaf")) if few else x.select("leaf") for x in (leaves, leaves.where("mixed")))
+    # A leaf's only line is its template; the others take a vote.
+    distinct = keys.join(mixed, "leaf").groupBy("leaf", "line").agg(F.first("masked").alias("masked"), F.first("n").alias("n"))
     distinct = store(distinct.select("leaf", "line", "n", F.split("masked", " ", -1).alias("tokens")))
     votes = distinct.select("leaf", F.posexplode("tokens").alias("place", "token")).groupBy("leaf", "place", "token").agg(F.count(F.lit(1)).alias("votes"))
     top = votes.groupBy("leaf", "place").agg(F.min(F.struct((-F.col("votes")).alias("votes"), "token")).alias("top"))
@@ -79,7 +85,7 @@ def _recurring(docs: DataFrame, depth: int, similarity: float, min_documents: in
     assigned = distinct.join(centre, "leaf").select(
         "leaf", "line", F.when(agree >= similarity * F.col("n"), F.lit(None).cast("long")).otherwise(F.col("line")).alias("own")
     )
-    assigned = store(assigned)
+    assigned = store(assigned.unionByName(leaves.where("NOT mixed").select("leaf", "line", F.lit(None).cast("long").alias("own"))))
     # All copies of a text have the same lines, so its least id names it in each of its templates.
     texts = keys.join(hot, "leaf").join(assigned, ["leaf", "line"]).groupBy("leaf", "own", "body").agg(
         F.min("doc_id").alias("doc_id"), F.min("n").alias("n")
