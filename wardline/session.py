@@ -62,12 +62,13 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def store(df: DataFrame) -> DataFrame:
+def store(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     For lookup tables that are joined to many rows: they are computed once, and their row count is
-    in the file footers, so a join can check it before it broadcasts.
+    in the file footers, so a join can check it before it broadcasts. ``compression`` is the files' codec, the
+    session's by default.
     """
     path = scratch_path(df.sparkSession, "step")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
