@@ -30,8 +30,7 @@ def _lines(text: Column) -> Column:
 
 def _masked(text: Column) -> Column:
     """A text with the tokens of its lines joined by single blanks, those with a digit replaced by the wildcard."""
-    flat = F.translate(F.coalesce(text, F.lit("")), "\t\r\f\x0b", "    ")
-    flat = F.regexp_replace(flat, "  +", " ")
+    flat = F.regexp_replace(F.coalesce(text, F.lit("")), r"[ \t\r\f\x0B]{2,}|[\t\r\f\x0B]", " ")
     flat = F.replace(F.replace(flat, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n"))
     return F.regexp_replace(F.trim(flat), r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+", WILDCARD)
 
@@ -59,11 +58,14 @@ def recurring_lines(
 def _recurring(docs: DataFrame, depth: int, similarity: float, min_documents: int, evidence: int) -> DataFrame:
     """``(doc_id, body, line_no)`` of the lines to drop, by the hash of their whole text."""
     lines = docs.select("doc_id", _body(F.col("text")).alias("body"), F.posexplode(_lines(_masked(F.col("text")))).alias("line_no", "masked"))
-    lines = lines.where(F.col("masked") != "").withColumn("tokens", F.split("masked", " ", -1)).withColumn("n", F.size("tokens"))
+    # Tokens are counted by the blanks between them.
+    blanks = F.octet_length("masked") - F.octet_length(F.replace("masked", F.lit(" "), F.lit("")))
+    lines = lines.where(F.col("masked") != "").withColumn("n", blanks + 1)
     # Texts are masked once; the masked lines are read again only for leaves that can recur.
     keys = store(lines.select(
-        "doc_id", "body", "line_no", "n", F.xxhash64("n", F.slice("tokens", 1, depth)).alias("leaf"), F.xxhash64("masked").alias("line"), "masked",
-    ))
+        "doc_id", "body", "line_no", "n", F.xxhash64("n", F.substring_index("masked", " ", depth)).alias("leaf"),
+        F.xxhash64("masked").alias("line"), "masked",
+    ), compression="zstd")
     # A template is in no more documents than its leaf has lines, and in one only if these are lines of one text. All
     # lines of a leaf have the same length.
     leaves = keys.groupBy("leaf").agg(
@@ -75,7 +77,7 @@ def _recurring(docs: DataFrame, depth: int, similarity: float, min_documents: in
     hot, mixed = (F.broadcast(x.select("leaf")) if few else x.select("leaf") for x in (leaves, leaves.where("mixed")))
     # A leaf's only line is its template; the others take a vote.
     distinct = keys.join(mixed, "leaf").groupBy("leaf", "line").agg(F.first("masked").alias("masked"), F.first("n").alias("n"))
-    distinct = store(distinct.select("leaf", "line", "n", F.split("masked", " ", -1).alias("tokens")))
+    distinct = store(distinct).withColumn("tokens", F.split("masked", " ", -1)).drop("masked")
     votes = distinct.select("leaf", F.posexplode("tokens").alias("place", "token")).groupBy("leaf", "place", "token").agg(F.count(F.lit(1)).alias("votes"))
     top = votes.groupBy("leaf", "place").agg(F.min(F.struct((-F.col("votes")).alias("votes"), "token")).alias("top"))
     centre = top.groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("place", F.col("top.token").alias("token")))).alias("centre"))
@@ -115,8 +117,10 @@ def drop_recurring_lines(
     """
     gone = _recurring(docs, depth, similarity, min_documents, evidence).distinct()
     gone = gone.groupBy(F.col("doc_id").alias("__id"), F.col("body").alias("__body")).agg(F.sort_array(F.collect_list("line_no")).alias("__gone"))
-    lines = docs.select("doc_id", _body(F.col("text")).alias("body"), _lines(F.col("text")).alias("lines"))
-    lines = lines.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("body") == F.col("__body")), "left")
+    texts = docs.select("doc_id", "text", _body(F.col("text")).alias("body"))
+    texts = texts.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("body") == F.col("__body")), "left")
+    # Split behind the join, so that it moves texts and not their lines.
+    lines = texts.withColumn("lines", _lines(F.col("text")))
     kept = F.when(F.col("__gone").isNull(), F.col("lines")).otherwise(_without(F.col("lines"), F.col("__gone")))
     return lines.withColumn("kept", kept).select(
         "doc_id", F.array_join("kept", "\n").alias("text"), F.size("lines").cast("long").alias("n_lines"),
