@@ -15,10 +15,10 @@ from wardline.plans import ports
 from wardline.plans.export import engineered_export
 from wardline.plans.preprocess import enrich_log, serving_preprocess
 
-from .base import WITH_LOG, geo_ranges, netlog, query, raw_log, rounded, table
+from .base import GEO_SQL, WITH_LOG, geo_ranges, ip_number_sql, netlog, query, raw_log, rounded, table
 from .bins import _CUT, _QUARTILE, min_count_sql
 from .joins import tier_sql
-from .scalars import _PRIVATE, _long_port_sql
+from .scalars import _BUCKET_SQL, _PRIVATE, _long_port_sql
 
 _LINE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
@@ -113,6 +113,48 @@ def _(spark, sf):
     return out.select("event_id", *[F.col(f"`{old}`").alias(new) for old, new in zip(model.feature_columns, names)])
 
 
+# Columns of the log that part the rows as the key columns of each of the eleven crosstabs do; bins are added as ``<column>_lo``.
+# A crawler has no device type, so it has no key.
+_ALERT_KEYS = ("malware", "alert", "action", "severity", "log_source", "firewall", "ids")
+_NINE = (
+    ("src_port_lo",), ("dst_port_lo",), ("s_lon_lo", "s_lat_lo", *_ALERT_KEYS), ("d_lon_lo", "d_lat_lo", *_ALERT_KEYS), ("s_country", "d_country"),
+    ("day",), ("protocol", "control", "traffic_type", "signature", "segment", "has_proxy", "device"), (*_ALERT_KEYS, "device"),
+    ("mw", "wd", "h", "mo"), ("anomaly_lo",), ("packet_length_lo",),
+)
+_NINE_BINNED = ("src_port", "dst_port", "s_lon", "s_lat", "d_lon", "d_lat", "anomaly", "packet_length")
+
+
+def _nine_sql() -> str:
+    keys = f"""event_id, attack_type, src_port, dst_port, anomaly, packet_length, protocol, packet_type = 'Control' AS control, traffic_type, signature,
+ segment, proxy IS NOT NULL AS has_proxy, CASE WHEN user_id % 8 <> 7 THEN user_id % 8 END AS device, {', '.join(f"coalesce({c}, '') AS {c}" for c in _ALERT_KEYS)}, CAST(ts AS DATE) AS day,
+ {_BUCKET_SQL['week_of_month_bucket']} AS mw, {_BUCKET_SQL['weekday_bucket']} AS wd, {_BUCKET_SQL['hour_bucket']} AS h, {_BUCKET_SQL['month_bucket']} AS mo"""
+    geo = ", ".join(f"{p}.longitude AS {p}_lon, {p}.latitude AS {p}_lat, {p}.country AS {p}_country" for p in "sd")
+    ranges = " ".join(
+        f"LEFT JOIN geo {p} ON {ip_number_sql(c)} BETWEEN {p}.ip_start AND {p}.ip_end" for p, c in (("s", "src_ip"), ("d", "dst_ip"))
+    )
+    bins = ", ".join(_named_bins(c, 15).replace("netlog", "nine") for c in _NINE_BINNED)
+    binned = " ".join(f"LEFT JOIN {c}_bins ON nine.{c} BETWEEN {c}_bins.lo AND {c}_bins.hi" for c in _NINE_BINNED)
+    tables, joins, cells = "", "", ""
+    for i, names in enumerate(_NINE):
+        there = " AND ".join(f"{c} IS NOT NULL" for c in names)
+        tables += f", g{i} AS (SELECT {', '.join(names)}, count(*) AS n, {_P3} FROM b WHERE {there} GROUP BY ALL)"
+        joins += f" LEFT JOIN g{i} USING ({', '.join(names)})"
+        for j, c in enumerate(_CLASSES):
+            cells += f", CAST(coalesce({tier_sql(f'g{i}.p{j}', f'g{i}.n')}, 0) AS TINYINT) AS g{i}_{c.lower()}"
+    return f"""{WITH_LOG.replace('WITH ', 'WITH RECURSIVE ', 1)}, geo AS ({GEO_SQL}),
+ nine AS MATERIALIZED (SELECT {keys}, {geo} FROM netlog {ranges}), {bins},
+ b AS MATERIALIZED (SELECT nine.*, {', '.join(f'{c}_bins.lo AS {c}_lo' for c in _NINE_BINNED)} FROM nine {binned}){tables}
+ SELECT event_id{cells} FROM b{joins}"""
+
+
+@query("bias_all_groups", _nine_sql())
+def _(spark, sf):
+    log = enrich_log(raw_log(spark, sf), geo_ranges(spark, sf), daily=False)
+    out, model = B.fit_bias_features(log, "Attack Type", B.BIAS_GROUPS, n_obs=15)
+    names = [f"g{i}_{c.lower()}" for i in range(len(B.BIAS_GROUPS)) for c in _CLASSES]
+    return out.select("event_id", *[F.col(f"`{old}`").alias(new) for old, new in zip(model.feature_columns, names)])
+
+
 def _md5_rank(target: str, seed: int, source: str, id_col: str = "event_id") -> str:
     return f"""(SELECT *, row_number() OVER (PARTITION BY {target} ORDER BY md5(concat('{seed}:', CAST({id_col} AS STRING))), {id_col}) AS rn,
  count(*) OVER (PARTITION BY {target}) AS cn FROM {source})"""

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from wardline.operators import bias as B
 from wardline.operators import encoders as E
-from wardline.operators.crosstab import crosstab_bias
+from wardline.operators.crosstab import crosstab_bias, crosstab_bias_sets
 from wardline.operators.split import stratified_kfold, stratified_split
 
 
@@ -114,3 +114,29 @@ def test_trained_levels_hold_for_null_keys_and_other_types(spark):
     want = {r.id: tuple(r[n] for n in names) for r in fitted.collect()}
     assert {r.id: tuple(r[n] for n in names) for r in applied.collect()} == want
     assert any(any(v) for v in want.values())
+
+
+def test_crosstabs_by_grouping_sets_equal_single_crosstabs(spark):
+    df = spark.range(400).selectExpr(
+        "CASE WHEN id % 7 > 0 THEN concat('a', id % 7) END AS `x y`", "CAST(id % 5 AS INT) AS z", "id % 3 AS w",
+        "CASE WHEN id % 11 > 0 THEN concat('c', id * id % 2) END AS c",
+    )
+    sets = [["x y"], ["z", "x y"], ["w"], ["w", "z"]]
+    for null_key in (None, "none"):
+        got = crosstab_bias_sets(df, sets, "c", classes=["c0", "c1"], null_key=null_key).collect()
+        assert {r.set_no for r in got} == {0, 1, 2, 3}
+        for number, keys in enumerate(sets):
+            cols = [*keys, "c0", "c1", "n obs", "% obs"]
+            want = crosstab_bias(df, keys, "c", classes=["c0", "c1"], null_key=null_key).collect()
+            assert sorted(tuple(r[c] for c in cols) for r in got if r.set_no == number) == sorted(tuple(r[c] for c in cols) for r in want)
+
+
+def test_bias_groups_of_empty_rows_and_without_levels(spark):
+    df = spark.range(10).selectExpr("id", "id AS k", "concat('k', id) AS t", "'A' AS c")
+    groups = [B.BiasGroup("k", keys=("k",)), B.BiasGroup("t", keys=("t", "k"))]
+    out, model = B.fit_bias_features(df, "c", groups)
+    # One row a key is below the line of every level.
+    assert {(r["k , bias A"], r["{ t , k } , bias A"]) for r in out.collect()} == {(0, 0)}
+    assert model.crosstabs["k"].count() == 10
+    out, model = B.fit_bias_features(df.limit(0), "c", groups)
+    assert model.classes == [] and out.collect() == [] and model.crosstabs["k"].collect() == []

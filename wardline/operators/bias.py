@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.encoding import dynamic_threshold
-from ..session import store
+from ..session import store, store_by
 from .binning import assign_trained_bins, attach_bins, min_count_bins
 from .columns import class_labels
-from .crosstab import N_OBS, crosstab_bias, crosstab_name
+from .crosstab import N_OBS, PCT_OBS, crosstab_bias_sets, crosstab_name
 from .joins import attach
 
 # Level limits in ascending order, and the order in which earlier tooling applied them
@@ -238,25 +238,40 @@ def fit_bias_features(
     for c in dict.fromkeys(c for g in chosen for c in g.binned):
         by_value[c], bins = min_count_bins(base, c, n_obs)
         model.bins[c] = store(bins)
-    out = df
-    for g in chosen:
-        keys, name = g.key_columns, crosstab_name(g.key_columns)
-        # Only the columns of this group, so a crosstab does not repeat the joins of the others.
-        rows = base.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*g.binned, *g.keys, target])])
-        for c in g.binned:
-            rows = attach_bins(rows, by_value[c], c)
-        crosstab = crosstab_bias(rows, keys, target, classes=model.classes, null_key=null_key)
-        model.crosstabs[name] = store(crosstab)
-        for c in g.binned:
-            if f"{c} classes" not in out.columns:
-                out = attach_bins(out, by_value[c], c)
+    rows, out = base, df
+    for c, values in by_value.items():
+        rows, out = attach_bins(rows, values, c), attach_bins(out, values, c)
+    sets = {crosstab_name(g.key_columns): g.key_columns for g in chosen}
+    # One aggregate and one write for the crosstabs of all groups, and one write for their levels.
+    tables = crosstab_bias_sets(store(rows), list(sets.values()), target, classes=model.classes, null_key=null_key)
+    stored = store_by(tables, "set_no")
+    empty = tables.drop("set_no").limit(0)
+    levels = [tier_level(F.col(f"`{c}`"), F.col(f"`{N_OBS}`"), **settings) for c in model.classes]
+    named = [f"__level{i}" for i in range(len(levels))]
+    reached = None
+    for number, keys in enumerate(sets.values()):
+        one = stored.get(number, empty).select(F.lit(number).alias("set_no"), "*", *[x.alias(a) for x, a in zip(levels, named)])
+        reached = one if reached is None else reached.unionByName(one)
+    some = F.greatest(*[F.col(a) for a in named], F.lit(0).cast("byte"), F.lit(0).cast("byte")) > 0
+    lookups = store_by(reached.where(some).drop(*map(str, model.classes), N_OBS, PCT_OBS), "set_no") if chosen else {}
+    for number, (name, keys) in enumerate(sets.items()):
+        cells = [bias_column(name, c) for c in model.classes]
+        columns = [F.col(f"`{k}`") for k in keys]
+        model.crosstabs[name] = stored.get(number, empty).select(
+            *columns, *[F.col(f"`{c}`") for c in model.classes], F.col(f"`{N_OBS}`"), F.col(f"`{PCT_OBS}`")
+        )
+        if number not in lookups:
+            out = out.withColumns({cell: F.lit(0).cast("byte") for cell in cells})
+            continue
+        # Where the crosstab counts nulls under a name, the rows look it up under it.
+        by = {k: k if null_key is None else f"__key {k}" for k in keys}
+        if null_key is not None:
+            out = out.withColumns({a: F.coalesce(F.col(f"`{k}`").cast("string"), F.lit(null_key)) for k, a in by.items()})
+        lookup = lookups[number].select(*[F.col(f"`{k}`").alias(a) for k, a in by.items()], *[F.col(a).alias(b) for a, b in zip(named, cells)])
+        out = attach(out, lookup, list(by.values()))
+        out = out.withColumns({cell: F.coalesce(F.col(f"`{cell}`"), F.lit(0).cast("byte")) for cell in cells})
         if null_key is not None:
-            # The crosstab counts nulls under this name, so the rows must look it up under it.
-            named = {f"__key {k}": F.coalesce(F.col(f"`{k}`").cast("string"), F.lit(null_key)) for k in keys}
-            lookup = model.crosstabs[name].withColumnsRenamed(dict(zip(keys, named)))
-            out = bias_levels(out.withColumns(named), list(named), lookup, model.classes, name=name, **settings).drop(*named)
-        else:
-            out = bias_levels(out, keys, model.crosstabs[name], model.classes, name=name, **settings)
+            out = out.drop(*by.values())
     return out, model
 
 

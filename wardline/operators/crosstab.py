@@ -112,3 +112,38 @@ def crosstab_bias(
         n,
         pct_obs.alias(PCT_OBS),
     )
+
+
+def crosstab_bias_sets(
+    df: DataFrame, key_sets: Sequence[Sequence[str]], target: str, *, classes: Sequence[object], null_key: str | None = None,
+) -> DataFrame:
+    """``crosstab_bias`` of every key tuple in ``key_sets`` by one aggregate over grouping sets.
+
+    ``set_no`` is the tuple's position; key columns that it lacks are null. At most 64 different key columns.
+    """
+    columns = list(dict.fromkeys(c for keys in key_sets for c in keys))
+    aliases = {c: f"__k{i}" for i, c in enumerate(columns)}
+    rows = df.where(F.col(f"`{target}`").isNotNull()).select(
+        F.col(f"`{target}`").alias("__class"),
+        *[(F.col(f"`{c}`") if null_key is None else F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(null_key))).alias(a) for c, a in aliases.items()],
+    )
+    counts = rows.groupingSets([[F.col(aliases[c]) for c in keys] for keys in key_sets], *[F.col(a) for a in aliases.values()]).agg(
+        F.grouping_id().alias("__gid"),
+        *[F.count_if(F.col("__class") == F.lit(c)).alias(f"__n{i}") for i, c in enumerate(classes)],
+        F.count(F.lit(1)).alias("__n"),
+    )
+    # The leftmost column has the highest bit, which is set where a tuple lacks the column.
+    set_no, whole = F.lit(None).cast("int"), F.lit(True)
+    for number, keys in enumerate(key_sets):
+        bits = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in keys)
+        here = F.col("__gid") == F.lit(bits)
+        set_no = F.when(here, F.lit(number)).otherwise(set_no)
+        for c in keys:
+            # Null keys are dropped, as in a crosstab of its own.
+            whole = whole & (~here | F.col(aliases[c]).isNotNull())
+    n = F.col("__n")
+    return counts.where(whole).select(
+        set_no.alias("set_no"), *[F.col(a).alias(c) for c, a in aliases.items()],
+        *[(F.col(f"__n{i}") * 100.0 / n).alias(str(c)) for i, c in enumerate(classes)],
+        n.alias(N_OBS), (n * 100.0 / row_total(df)).alias(PCT_OBS),
+    )

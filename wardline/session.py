@@ -72,3 +72,15 @@ def store(df: DataFrame, compression: str | None = None) -> DataFrame:
     path = scratch_path(df.sparkSession, "step")
     df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def store_by(df: DataFrame, part: str) -> dict:
+    """Write ``df`` once, in one folder per value of ``part``, and give the stored rows of each value, without ``part``.
+
+    Each part is a table of its own size, as a size check sees it. For a whole-number column of few values.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "parts")
+    df.write.partitionBy(part).parquet(path)
+    schema = df.drop(part).schema
+    found = [r[0] for r in spark.read.schema(df.schema).parquet(path).select(part).distinct().collect()]
+    return {value: spark.read.schema(schema).parquet(f"{path}/{part}={value}") for value in found}
