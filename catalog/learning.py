@@ -9,6 +9,7 @@ from wardline.operators.bias import RAW_ROW_GROUPS
 from wardline.operators.columns import select_feature_vector
 from wardline.operators.split import train_test
 from wardline.plans.preprocess import serving_preprocess
+from wardline.plans.scoring import load_trained, save_trained, score_file
 from wardline.plans.training import (
     leakage_comparison,
     serving_bias_features,
@@ -17,6 +18,7 @@ from wardline.plans.training import (
 )
 from wardline.session import materialize, scratch_path
 from wardline.sources.bundle import load_model_bundle, save_model_bundle
+from wardline.sources.tables import write_csv
 
 from .base import WITH_LOG, netlog, query, raw_log, rounded, table
 
@@ -291,6 +293,16 @@ def _(spark, sf):
     return trained.predictions.select("event_id", "label", "prediction")
 
 
+@query("score_file")
+def _(spark, sf):
+    """A stored port model, loaded again, scores the log written as a raw CSV file; the share of hits by class."""
+    raw, run, source, out = raw_log(spark, sf), *(scratch_path(spark, n) for n in ("run", "log", "scored"))
+    save_trained(train_ports_model(raw, "Attack Type", "event_id", L.decision_tree()), run)
+    write_csv(raw.drop("event_id"), source)
+    done = score_file(spark, load_trained(spark, run), source, out, target="Attack Type", as_of=raw.agg(F.max("Timestamp").cast("date")).scalar())
+    return done.summary if done.report is None else done.report
+
+
 @query("leakage_comparison")
 def _(spark, sf):
     log = materialize(

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from wardline.operators import models as L
 from wardline.operators.bias import RAW_ROW_GROUPS
+from wardline.operators.columns import select_feature_vector
 from wardline.operators.metrics import accuracy
 from wardline.plans.export import engineered_export
-from wardline.plans.ports import PORT_FEATURES
+from wardline.plans.ports import DEFAULT_DEVICE, PORT_FEATURES, base_features, serving_ports_features
 from wardline.plans.preprocess import enrich_log, serving_preprocess
 from wardline.plans.scoring import load_trained, save_trained, score_file
 from wardline.plans.training import leakage_comparison, serving_bias_features, train_bias_classifier, train_ports_model
@@ -100,6 +101,28 @@ def test_ports_model_features(raw):
     assert trained.side["dst_port_means"].count() == 30
 
 
+def test_stored_port_model_scores_a_file(spark, raw, tmp_path):
+    trained = train_ports_model(raw, "Attack Type", "id", L.decision_tree())
+    save_trained(trained, str(tmp_path / "run"))
+    again = load_trained(spark, str(tmp_path / "run"))
+    assert again.bias is None and again.features == list(PORT_FEATURES)
+    write_csv(raw.drop("id"), str(tmp_path / "log.csv"))
+    done = score_file(spark, again, str(tmp_path / "log.csv"), str(tmp_path / "scored"), target="Attack Type", as_of=date(2025, 1, 1))
+    assert done.scored.count() == 900 and spark.read.option("header", True).csv(str(tmp_path / "scored")).count() == 900
+    rows = serving_ports_features(raw, trained.side["src_port_means"], trained.side["dst_port_means"])
+    direct = L.predict(trained.model, select_feature_vector(rows, trained.features, ["id"])).join(
+        trained.classes.withColumnRenamed("label", "prediction"), "prediction"
+    ).groupBy("Attack Type").count()
+    assert {r["prediction"]: r["n"] for r in done.report.collect()} == {r[0]: r[1] for r in direct.collect()}
+
+
+def test_port_scoring_without_user_agent(raw):
+    bare = base_features(raw.drop("Device Information"), serving=True)
+    assert {tuple(r) for r in bare.select(*DEFAULT_DEVICE).distinct().collect()} == {("Windows", "Chrome", "PC")}
+    empty = base_features(raw.where("id < 3").withColumn("Device Information", F.lit(None).cast("string")), serving=True)
+    assert {tuple(r) for r in empty.select(*DEFAULT_DEVICE).distinct().collect()} == {("Other", "Other", "Other")}
+
+
 def test_leakage_shows(raw):
     rows = raw.select("id", F.col("Source Port").alias("port"), (F.hash("id") % 2 + 1).alias("noise")).withColumn(
         "target", F.abs("noise") % 2

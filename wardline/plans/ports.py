@@ -35,6 +35,7 @@ PORT_FEATURES = (
 )
 # Defaults when scoring rows without time, device or encoding.
 DEFAULT_HOUR_AND_DAY, DEFAULT_ENCODING = (12, 0), 1.0
+DEFAULT_DEVICE, OTHER_DEVICE = {"OS family": "Windows", "Browser family": "Chrome", "Device type": "PC"}, "Other"
 
 
 def base_features(df: DataFrame, serving: bool = False) -> DataFrame:
@@ -57,7 +58,14 @@ def base_features(df: DataFrame, serving: bool = False) -> DataFrame:
             "total_alerts": total_alerts([F.col(f"`{c}`") for c in ALERT_COLUMNS]),
         }
     )
-    return parse_user_agent(out, "Device Information") if "Device Information" in present else out
+    if "Device Information" in present:
+        out = parse_user_agent(out, "Device Information")
+    if not serving:
+        return out
+    # Rows without the column count as the commonest device, a null or unknown user agent as another one.
+    if "Device Information" not in present:
+        return out.withColumns({c: F.lit(v) for c, v in DEFAULT_DEVICE.items()})
+    return out.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit(OTHER_DEVICE)) for c in DEFAULT_DEVICE})
 
 
 def ports_features(

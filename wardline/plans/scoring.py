@@ -15,6 +15,7 @@ from ..operators.quality import validate_rows, validation_summary
 from ..session import store
 from ..sources.bundle import load_model_bundle, save_model_bundle
 from ..sources.tables import raw_schema, read_raw_csv, write_csv
+from .ports import serving_ports_features
 from .preprocess import serving_preprocess
 from .training import TrainedModel
 
@@ -63,7 +64,7 @@ class ScoredFile:
 def score_file(
     spark: SparkSession, trained: TrainedModel, source: str, out: str, *, target: str, as_of: date | Column, multi_line: bool = False,
 ) -> ScoredFile:
-    """Read a raw CSV file as text, validate it, and if every row is valid score it with a bias classifier.
+    """Read a raw CSV file as text, validate it, and if every row is valid score it with a bias classifier or a port model.
 
     The scored rows, with ``prediction`` as a class, go to ``out`` as CSV. Where the file has the class, the report tells the
     share of hits. With any invalid row nothing is scored or written.
@@ -77,8 +78,12 @@ def score_file(
     typed = validated.drop("errors", "is_valid").withColumns(
         {f.name: F.col(f"`{f.name}`").try_cast("double").cast(f.dataType) for f in numeric}
     )
-    prepared = serving_preprocess(typed)
-    rows = select_feature_vector(apply_bias_features(prepared, trained.bias), trained.features, prepared.columns)
+    if trained.bias is not None:
+        prepared = serving_preprocess(typed)
+        featured = apply_bias_features(prepared, trained.bias)
+    else:
+        prepared, featured = typed, serving_ports_features(typed, trained.side["src_port_means"], trained.side["dst_port_means"])
+    rows = select_feature_vector(featured, trained.features, prepared.columns)
     coded = predict(trained.model, rows).drop("features").withColumnRenamed("prediction", "__code")
     known = trained.classes.select(F.col(f"`{target}`").alias("prediction"), "label")
     scored = store(label_decode(coded, known, "prediction", "__code").drop("__code"))
