@@ -53,6 +53,16 @@ def test_collocations(spark, phrase_rows, shard, range_bytes, bits):
     assert C.collocations(docs.limit(0)).count() == 0
 
 
+def test_collocations_of_words_that_are_languages(spark):
+    """Shards with and without a language are cut alike at paths through a word of that name."""
+    draw = random.Random(11)
+    langs = ["fr"] * 60 + ["de"] * 5 + [draw.choice(["en", "de", "fr", None]) for _ in range(85)]
+    rows = [(lang, " ".join(draw.choice(["en", "de", "fr", "und", "la", "a"]) for _ in range(draw.randint(0, 60)))) for lang in langs]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    got = C.collocations(docs, min_count=3, shard_bytes=300, range_bytes=1_000, filter_bits=1 << 12)
+    assert sorted(map(tuple, got.collect())) == brute_phrases(rows, 3, 80, 2000)
+
+
 def test_minimal_automaton():
     draw = random.Random(7)
     paths = sorted({tuple(draw.choice([b"a", b"ab", b"b", b"c"]) for _ in range(draw.randint(1, 5))) for _ in range(300)})

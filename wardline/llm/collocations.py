@@ -48,6 +48,15 @@ _BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
 Path = tuple[bytes, ...]
 
 
+def _numbered(symbols: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The distinct ``symbols``, sorted, and the number of each symbol among them."""
+    coded = symbols.dictionary_encode()
+    order = pc.sort_indices(coded.dictionary).to_numpy()
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return coded.dictionary.take(pa.array(order)), rank[coded.indices.to_numpy(zero_copy_only=False)]
+
+
 class Words:
     """The words of a shard: numbers into a sorted table of distinct words, with the row and piece of each."""
 
@@ -64,12 +73,7 @@ class Words:
         ends_in = np.zeros(len(starts) + 1, np.int64)
         np.cumsum(ends - starts, out=ends_in[1:])
         words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends_in), pa.py_buffer(np.ascontiguousarray(data[inside]))])
-        coded = words.dictionary_encode()
-        order = pc.sort_indices(coded.dictionary).to_numpy()
-        self.table = coded.dictionary.take(pa.array(order))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        self.word = rank[coded.indices.to_numpy(zero_copy_only=False)]
+        self.table, self.word = _numbered(words)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -111,11 +115,8 @@ class Transducer:
     @classmethod
     def union(cls, parts: Sequence[Transducer]) -> Transducer:
         """One automaton of all paths; weights of equal paths are summed."""
-        coded = pa.concat_arrays([p.symbols for p in parts]).dictionary_encode()
-        order = pc.sort_indices(coded.dictionary).to_numpy()
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        numbers = np.split(rank[coded.indices.to_numpy(zero_copy_only=False)], np.cumsum([len(p.symbols) for p in parts])[:-1])
+        symbols, numbers = _numbered(pa.concat_arrays([p.symbols for p in parts]))
+        numbers = np.split(numbers, np.cumsum([len(p.symbols) for p in parts])[:-1])
         columns = [np.concatenate(c) for c in zip(*([own[c] for c in p.columns()] for p, own in zip(parts, numbers)))]
         weights = np.concatenate([p.weights for p in parts])
         at = np.lexsort(columns[::-1])
@@ -125,7 +126,7 @@ class Transducer:
         for c in columns:
             fresh[1:] |= c[1:] != c[:-1]
         first = np.flatnonzero(fresh)
-        return cls(coded.dictionary.take(pa.array(order)), [c[first] for c in columns], np.add.reduceat(weights[at], first))
+        return cls(symbols, [c[first] for c in columns], np.add.reduceat(weights[at], first))
 
 
 class MinimalAutomaton:
@@ -226,15 +227,13 @@ def shard_transducer(words: Words, langs: np.ndarray, table: list[bytes], k: int
     counts = np.bincount(path)
     first = np.empty(len(counts), np.int64)
     first[path[::-1]] = at[::-1]
-    # Languages and words share one table of symbols; both stay sorted in it.
-    symbols = pa.concat_arrays([words.table, pa.array(table, pa.large_binary())])
-    order = pc.sort_indices(symbols).to_numpy()
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
+    # Languages and words share one table of symbols, in which a word that is also a language stands once: ``cut`` finds
+    # symbols in it, and has to cut alike whether or not a shard has that language.
+    symbols, rank = _numbered(pa.concat_arrays([words.table, pa.array(table, pa.large_binary())]))
     columns = [rank[n_words + langs[words.row[first]]], *[rank[words.word[first + j]] for j in range(k)]]
     by_path = np.lexsort(columns[::-1])
     columns = [c[by_path] for c in columns]
-    return Transducer(symbols.take(pa.array(order)), columns, counts[by_path])
+    return Transducer(symbols, columns, counts[by_path])
 
 
 def cut(whole: Transducer, cuts: Sequence[Path]) -> Iterator[tuple[int, Transducer]]:
