@@ -179,12 +179,11 @@ def _chunk_entries(counts: DataFrame, n_obs: int, rounds: int) -> DataFrame:
     def leave(pdf: pd.DataFrame) -> pd.DataFrame:
         starts = np.sort(pdf["start"].to_numpy())
         size = len(starts)
-        # Position of the next bin start inside the chunk; `size` means outside.
-        step = np.append(np.searchsorted(starts, starts + n_obs), size)
-        last = np.arange(size + 1)
-        hop = step.copy()
-        while True:  # follow all positions to their last bin start in the chunk
-            moved = np.where(hop[last] < size, hop[last], last)
+        # Position of the next bin start inside the chunk; the last one in the chunk stays where it is.
+        step = np.searchsorted(starts, starts + n_obs)
+        last = np.where(step < size, step, np.arange(size))
+        while True:  # pointer doubling: as many rounds as the logarithm of the bins
+            moved = last[last]
             if np.array_equal(moved, last):
                 break
             last = moved
