@@ -1,6 +1,7 @@
 """Forests against a plain recursion, over partitions and over node sizes."""
 
 import math
+import time
 
 import numpy as np
 import pytest
@@ -123,3 +124,40 @@ def test_odd_tables(spark, table):
     assert [r.prediction for r in model.transform(odd.where("label IS NOT NULL").orderBy("label")).collect()] == [0.0, 0.0, 1.0]
     one = Forest(Growth(trees=2)).fit(odd.where("label = 0"))
     assert {r.prediction for r in one.transform(odd).collect()} == {0.0}
+
+
+@pytest.mark.parametrize("growth", [
+    Growth(trees=5, seed=3), Growth(trees=4, min_leaf=4, max_depth=5, max_features="all", seed=8), Growth(trees=4, drawn=True, bootstrap=False),
+    Growth(trees=4, drawn=True, min_split=9, seed=2), Growth(trees=3, bootstrap=False, max_features=0.7),
+])
+@pytest.mark.parametrize("local_rows", [50_000, 60])
+def test_whole_trees_equal_those_grown_by_all_tasks(spark, table, growth, local_rows):
+    gaps = table.selectExpr("transform(features, (v, i) -> if(i = 1 AND v < -1, double('nan'), v)) AS features", "label")
+    for rows in (table, gaps):
+        stored = spark.createDataFrame(rows.collect(), rows.schema).repartition(3)
+        whole, shared = (grow_forest(stored, growth, local_rows=local_rows, whole_bytes=size)[0] for size in (1 << 30, 0))
+        assert len(whole) == len(shared) == growth.trees
+        for a, b in zip(whole, shared):
+            assert nested(a) == nested(b)
+            assert [n[5] for n in a] == [n[5] for n in b] and all(n[5] == 0 for n in a if n[0] < 0)
+
+
+def test_drawn_trees_of_all_tasks_equal_a_plain_recursion(rows, table):
+    growth = Growth(trees=3, min_leaf=2, max_depth=6, drawn=True, bootstrap=False, seed=9)
+    for t, tree in enumerate(grow_forest(table, growth, local_rows=70, whole_bytes=0)[0]):
+        assert nested(tree) == drawn_tree(growth, KERNEL["root"](growth, t), rows, 3)
+
+
+@pytest.fixture(scope="module")
+def long_table(spark):
+    draw = np.random.default_rng(1)
+    x = draw.normal(size=(30_000, 6))
+    label = (x[:, 0] * x[:, 1] > 0).astype(int) + (draw.random(30_000) < 0.2)
+    return spark.createDataFrame([(i, x[i].tolist(), int(label[i])) for i in range(30_000)], "id long, features array<double>, label int").repartition(4)
+
+
+def test_extra_trees_of_many_nodes_end_in_time(long_table):
+    began = time.monotonic()
+    model = L.extra_trees(numTrees=250).fit(long_table)
+    assert len(model.trees) == 250 and all(tree[0][4].sum() == 30_000 for tree in model.trees)
+    assert time.monotonic() - began < 45
