@@ -161,3 +161,10 @@ def test_extra_trees_of_many_nodes_end_in_time(long_table):
     model = L.extra_trees(numTrees=250).fit(long_table)
     assert len(model.trees) == 250 and all(tree[0][4].sum() == 30_000 for tree in model.trees)
     assert time.monotonic() - began < 45
+
+
+def test_random_forest_and_importances_of_many_nodes_end_in_time(long_table):
+    began = time.monotonic()
+    top = L.feature_importance(L.random_forest().fit(long_table), list("abcdef"), 2)
+    assert {r["feature"] for r in top.collect()} == {"a", "b"}
+    assert time.monotonic() - began < 45
