@@ -168,3 +168,10 @@ def test_random_forest_and_importances_of_many_nodes_end_in_time(long_table):
     top = L.feature_importance(L.random_forest().fit(long_table), list("abcdef"), 2)
     assert {r["feature"] for r in top.collect()} == {"a", "b"}
     assert time.monotonic() - began < 45
+
+
+def test_search_of_deep_forests_ends_in_time(long_table):
+    began = time.monotonic()
+    found = L.random_forest_search(long_table, "id", {"numTrees": (30,), "maxDepth": (None,)}, folds=3)
+    assert len(found.bestModel.trees) == 30 and len(found.avgMetrics) == 1
+    assert time.monotonic() - began < 45
