@@ -148,6 +148,21 @@ def test_drawn_trees_of_all_tasks_equal_a_plain_recursion(rows, table):
         assert nested(tree) == drawn_tree(growth, KERNEL["root"](growth, t), rows, 3)
 
 
+def test_importances_are_the_summed_gains(table):
+    model = L.random_forest(numTrees=7, minInstancesPerNode=2).fit(table)
+    want = np.zeros(5)
+    for tree in model.trees:
+        own = np.zeros(5)
+        for feature, _, left, right, counts, gain in tree:
+            if feature >= 0:
+                parts = [tree[i][4].tolist() for i in (left, right)]
+                assert (sum(map(np.array, parts)) == counts).all()
+                assert gain == pytest.approx(sum(sum(c) - sum(n * n for n in c) / sum(c) for c in (counts.tolist(),)) - sum(sum(c) - sum(n * n for n in c) / sum(c) for c in parts), abs=1e-9)
+                own[feature] += gain
+        want += own / own.sum()
+    assert model.featureImportances == pytest.approx(want / want.sum())
+
+
 @pytest.fixture(scope="module")
 def long_table(spark):
     draw = np.random.default_rng(1)
